@@ -14,19 +14,34 @@ from rollcall.constants import (
     INFRASTRUCTURE_PREFIXES,
     KEYWORD_SKIP_LABELS,
 )
-from rollcall.functions.text import any_of, strip_space
+from rollcall.functions.text import alternatives, let, strip_space
 
 
 @lru_cache(maxsize=1)
 def _ambiguous_authority() -> str:
-    """Class of characters that would turn into a URL delimiter under compatibility folding."""
+    """Characters (for a class) that would turn into a URL delimiter under compatibility folding."""
     hits = [
         f"\\u{cp:04x}"
         for cp in range(0x80, 0x10000)
         if not 0xD800 <= cp <= 0xDFFF
         and any(d in unicodedata.normalize("NFKC", chr(cp)) for d in "/?#@:")
     ]
-    return "[" + "".join(hits) + "]"
+    return "".join(hits)
+
+
+@lru_cache(maxsize=1)
+def _host_of_url() -> str:
+    """One pattern for a whole URL: group 1 is a plain host, group 2 a bracketed address.
+
+    Groups that settle where the host starts are possessive: the scheme and everything up to the
+    last '@' are taken whenever present.  Text that fits neither form matches with empty groups.
+    """
+    user = r"(?:[^/?#]*@)?+"
+    plain = rf"(?![^/?#]*[\[\]{_ambiguous_authority()}]){user}(?:www\.)?+([^:/?#]*)"
+    bracketed = (
+        rf"{user}\[([0-9a-f:.]*:[0-9a-f:.]*)(?:%[^\]/?#]*)?\](?::[^/?#\[\]]*)?(?=[/?#]|$)"
+    )
+    return rf"(?s)^(?:https?://)?+(?:{plain}|{bracketed}|).*$"
 
 
 def normalize_host(c: Column) -> Column:
@@ -35,17 +50,7 @@ def normalize_host(c: Column) -> Column:
     ``parse_url`` is not used: it rejects underscores and raises on bad escapes.
     """
     text = F.regexp_replace(F.lower(strip_space(c)), r"[\t\r\n]", "")
-    text = F.when(F.regexp_like(text, F.lit("^https?://")), text).otherwise(
-        F.concat(F.lit("http://"), text)
-    )
-    authority = F.regexp_extract(text, r"^https?://([^/?#]*)", 1)
-    bad = F.regexp_like(authority, F.lit(_ambiguous_authority()))
-    info = F.regexp_replace(authority, r"^.*@", "")
-    bracketed = F.regexp_extract(info, r"^\[([0-9a-f:.]*:[0-9a-f:.]*)(?:%[^\]]*)?\]", 1)
-    plain = F.regexp_extract(info, r"^[^:]*", 0)
-    host = F.when(F.regexp_like(authority, F.lit(r"[\[\]]")), bracketed).otherwise(plain)
-    host = F.regexp_replace(host, r"^www\.", "")
-    return F.coalesce(F.when(bad, F.lit("")).otherwise(host), F.lit(""))
+    return F.coalesce(F.regexp_replace(text, _host_of_url(), "$1$2"), F.lit(""))
 
 
 def valid_host(c: Column) -> Column:
@@ -61,9 +66,12 @@ def subdomain_of(line: Column, root: Column) -> Column:
     suffix = F.concat(F.lit("."), F.lower(root))
     runs = F.regexp_extract_all(F.lower(strip_space(line)), F.lit("[a-z0-9._-]+"), F.lit(0))
     run = F.get(F.filter(runs, lambda r: F.position(suffix, r, F.lit(2)) > 0), F.lit(0))
-    tail = F.position(F.reverse(suffix), F.reverse(run))
-    host = F.btrim(F.left(run, F.length(run) - tail + 1), F.lit("."))
-    return F.when((root != "") & valid_host(host), host)
+
+    def cut(r: Column) -> Column:
+        tail = F.position(F.reverse(suffix), F.reverse(r))
+        return F.btrim(F.left(r, F.length(r) - tail + 1), F.lit("."))
+
+    return let(let(run, cut), lambda h: F.when((root != "") & valid_host(h), h))
 
 
 def host_matches_name(host: Column, name: Column, abbreviation: Column) -> Column:
@@ -83,17 +91,14 @@ def host_matches_name(host: Column, name: Column, abbreviation: Column) -> Colum
 
 def denylisted(host: Column, label_boundary: bool = False) -> Column:
     """Ends with a denied name.  Without ``label_boundary`` 'fedex.com' ends with 'x.com'."""
-    if label_boundary:
-        dotted = F.concat(F.lit("."), host)
-        return any_of(dotted, DENYLIST, lambda h, d: h.endswith("." + d))
-    return any_of(host, DENYLIST, lambda h, d: h.endswith(d))
+    start = r"(?:^|\.)" if label_boundary else ""
+    return F.regexp_like(host, F.lit(rf"{start}{alternatives(DENYLIST)}\z"))
 
 
 def infrastructure_host(c: Column) -> Column:
     h = F.lower(strip_space(c))
-    return F.coalesce(
-        any_of(h, INFRASTRUCTURE_PREFIXES, lambda x, p: x.startswith(p)), F.lit(False)
-    )
+    hit = F.regexp_like(h, F.lit("^" + alternatives(INFRASTRUCTURE_PREFIXES)))
+    return F.coalesce(hit, F.lit(False))
 
 
 def host_keyword(c: Column) -> Column:

@@ -21,7 +21,7 @@ from rollcall.constants import (
     TIER_ORDER,
 )
 from rollcall.functions.hosts import host_keyword
-from rollcall.functions.text import acronym, any_of, contains_any, fold_for_match, strip_space, words
+from rollcall.functions.text import acronym, contains_any, contains_phrase, fold_for_match, strip_space, words
 
 
 def _fold_word(word: str) -> str:
@@ -174,5 +174,5 @@ def page_is_live(text: Column, first: Column, last: Column, phrases=None) -> Col
         fold_for_match,
     )
     named = (F.size(parts) == 0) | F.exists(parts, lambda n: F.contains(low, n))
-    dead = any_of(low, phrases or DEAD_PAGE_PHRASES, lambda x, p: x.contains(p))
+    dead = contains_phrase(low, phrases or DEAD_PAGE_PHRASES)
     return F.when(text.isNull(), True).when(F.length(body) < 40, False).when(dead, False).otherwise(named)
