@@ -1,5 +1,7 @@
 """Importing this module registers every query."""
 
 from rollcall.plans import (  # noqa: F401
+    queries_addresses,
+    queries_documents,
     queries_hosts,
 )
