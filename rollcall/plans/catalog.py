@@ -3,5 +3,7 @@
 from rollcall.plans import (  # noqa: F401
     queries_addresses,
     queries_documents,
+    queries_events,
     queries_hosts,
+    queries_people,
 )
