@@ -259,4 +259,6 @@ def audit_log(shaped: DataFrame, documents: DataFrame, warnings: DataFrame) -> D
 
 
 def exclusion_counts(audit: DataFrame) -> DataFrame:
-    return audit.groupBy("tenant", "label").agg(F.count("*").alias("value"))
+    """Rows per tenant and exclusion label, zeros included."""
+    labels = [shown for _, shown in EXCLUSION_LABELS] + [DOCUMENTS_NOT_USABLE]
+    return long_counts(audit, {name: F.count_if(F.col("label") == name) for name in labels})

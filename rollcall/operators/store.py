@@ -84,11 +84,15 @@ def write_version(batch: DataFrame, path: str, version: int) -> None:
 
 
 def current(spark: SparkSession, path: str) -> DataFrame:
-    """The latest row of every key over all versions; partition filters reach the scan."""
+    """The latest row of every key over all versions; partition filters reach the scan.
+
+    Latest is by ``updated_at``, then by version, so files that arrive late change nothing.
+    """
     rows = spark.read.option("basePath", f"{path}/records").schema(
         f"{RECORDS}, version bigint"
     ).parquet(f"{path}/records")
-    return last_wins(rows, KEYS, "version").drop("version")
+    placed = rows.withColumn("_at", F.struct("updated_at", "version")).drop("version")
+    return last_wins(placed, KEYS, "_at").drop("_at")
 
 
 def compact(spark: SparkSession, path: str, out: str) -> None:

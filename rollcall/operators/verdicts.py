@@ -252,9 +252,10 @@ def document_outcome(documents: DataFrame) -> DataFrame:
 
 
 def output_shape(parts: dict[str, DataFrame], identifiers: dict[str, str]) -> DataFrame:
-    """(category, identifier, keep, note, tier) over all categories, absent ones with no rows.
+    """(tenant, category, identifier, keep, note, tier) over all categories given.
 
-    One table with a ``keep`` flag in place of two lists per category.
+    One table with a ``keep`` flag in place of two lists per category; a category that is not
+    given simply has no rows, the columns are always the same.
     """
     out = None
     for category in CATEGORIES:
@@ -264,7 +265,7 @@ def output_shape(parts: dict[str, DataFrame], identifiers: dict[str, str]) -> Da
         cols = [F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c)
                 for c in ("note", "tier")]
         rows = df.select(
-            F.lit(category).alias("category"),
+            "tenant", F.lit(category).alias("category"),
             F.col(identifiers[category]).cast("string").alias("identifier"), "keep", *cols,
         )
         out = rows if out is None else out.unionByName(rows)

@@ -6,4 +6,5 @@ from rollcall.plans import (  # noqa: F401
     queries_events,
     queries_hosts,
     queries_people,
+    queries_review,
 )

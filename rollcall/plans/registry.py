@@ -79,6 +79,28 @@ CTES = {
                quality = 1 AS content_verified, quality, toxic,
                labels.doc_id IS NOT NULL AS labelled
         FROM documents LEFT JOIN labels ON labels.doc_id = documents.doc_id""",
+    "records": r"""
+        SELECT 'raw' AS tier, 'documents' AS entity, source AS tenant,
+               lang || '-' || (n_chars // 100) AS record_key,
+               '{"doc":' || max(doc_id) || '}' AS data, max(doc_id) AS stamp
+        FROM documents GROUP BY ALL
+        UNION ALL
+        SELECT 'reviewed', 'documents', source, lang || '-' || (n_chars // 100),
+               '{"doc":' || max(doc_id) || ',"ok":true}', max(doc_id)
+        FROM documents JOIN labels USING (doc_id) WHERE quality = 1
+        GROUP BY source, lang || '-' || (n_chars // 100)
+        UNION ALL
+        SELECT 'raw', 'emails', 'src' || c_nationkey,
+               c_mktsegment || '-' || floor(c_acctbal / 1000)::INT,
+               '{"email":' || max(c_custkey) || '}', max(c_custkey)
+        FROM customer GROUP BY c_nationkey, c_mktsegment, floor(c_acctbal / 1000)
+        UNION ALL
+        SELECT 'reviewed', 'infrastructure', 'only' || r_regionkey, r_name, '{}', 0 FROM region""",
+    "status": r"""
+        SELECT 'raw_documents' AS source_table, source AS tenant,
+               lang || '-' || (n_chars // 100) AS record_key,
+               CASE arg_max(quality, doc_id) WHEN 1 THEN 'approved' ELSE 'rejected' END AS status
+        FROM documents JOIN labels USING (doc_id) GROUP BY ALL""",
 }
 NEEDS = {"addr": ("persons",)}
 

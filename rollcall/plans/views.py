@@ -191,3 +191,47 @@ def profile_items(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.to_json(item).alias("raw"),
         )
     )
+
+
+def _doc_key() -> Column:
+    return F.concat("lang", F.lit("-"), F.expr("n_chars div 100").cast("string"))
+
+
+def records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A record store: documents raw and reviewed, customers as raw addresses, some more."""
+    d = table(spark, sf_dir, "documents")
+    good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+
+    def rows(df, tier, entity, tenant, key, number, head, tail):
+        n = F.max(number)
+        return df.groupBy(tenant.alias("tenant"), key.alias("record_key")).agg(
+            F.concat(F.lit(head), n.cast("string"), F.lit(tail)).alias("data"), n.alias("stamp")
+        ).select(F.lit(tier).alias("tier"), F.lit(entity).alias("entity"), "tenant",
+                 "record_key", "data", F.timestamp_seconds("stamp").alias("updated_at"))
+
+    email_key = F.concat("c_mktsegment", F.lit("-"),
+                         F.floor(C("c_acctbal") / 1000).cast("string"))
+    region = table(spark, sf_dir, "region").select(
+        F.lit("reviewed").alias("tier"), F.lit("infrastructure").alias("entity"),
+        F.concat(F.lit("only"), C("r_regionkey").cast("string")).alias("tenant"),
+        C("r_name").alias("record_key"), F.lit("{}").alias("data"),
+        F.timestamp_seconds(F.lit(0)).alias("updated_at"))
+    return (
+        rows(d, "raw", "documents", C("source"), _doc_key(), "doc_id", '{"doc":', "}")
+        .unionByName(rows(d.join(good, "doc_id", "left_semi"), "reviewed", "documents",
+                          C("source"), _doc_key(), "doc_id", '{"doc":', ',"ok":true}'))
+        .unionByName(rows(table(spark, sf_dir, "customer"), "raw", "emails",
+                          F.concat(F.lit("src"), C("c_nationkey").cast("string")), email_key,
+                          "c_custkey", '{"email":', "}"))
+        .unionByName(region)
+    )
+
+
+def review_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels as review decisions already taken."""
+    d = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id")
+    return d.groupBy(C("source").alias("tenant"), _doc_key().alias("record_key")).agg(
+        F.when(F.max_by("quality", "doc_id") == 1, "approved").otherwise("rejected")
+        .alias("status")
+    ).select(F.lit("raw_documents").alias("source_table"), "tenant", "record_key", "status",
+             F.timestamp_seconds(F.lit(0)).alias("reviewed_at"))
