@@ -7,19 +7,20 @@ import unicodedata
 from collections.abc import Callable
 from functools import lru_cache
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.constants import ABBREVIATION_STOP_WORDS
 
-# Unicode white space plus the four separators that count as blank in Python but not in Java.
+# White space by the rule of Python's str.isspace, which Java's classes only approximate.
+SPACES = "".join(chr(c) for c in range(0x10000) if chr(c).isspace())
 SPACE = r"[\s\x1c-\x1f]"
-LINE_BREAK = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85  ]"
+LINE_BREAK = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
 
 
 def strip_space(c: Column) -> Column:
-    """Trim Unicode white space on both ends; ``trim`` only knows the ASCII space."""
-    return F.regexp_replace(c, f"(?U)^{SPACE}+|{SPACE}+$", "")
+    """Trim white space of any alphabet on both ends; only the ends are looked at."""
+    return F.btrim(c, F.lit(SPACES))
 
 
 def words(c: Column) -> Column:
@@ -51,10 +52,14 @@ def _fold_table() -> tuple[str, str]:
 
 
 def fold_accents(c: Column) -> Column:
-    """Base letters of accented characters; every other non-ASCII character is dropped."""
+    """Base letters of accented characters; every other non-ASCII character is dropped.
+
+    Text of as many bytes as characters is ASCII and passes through untouched.
+    """
     src, dst = _fold_table()
     folded = F.regexp_replace(F.translate(c, src, dst), r"[^\x00-\x7F]", "")
-    return F.coalesce(folded, F.lit(""))
+    plain = F.octet_length(c) == F.length(c)
+    return F.coalesce(F.when(plain, c).otherwise(folded), F.lit(""))
 
 
 def fold_for_match(c: Column) -> Column:
@@ -112,6 +117,19 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def bind(df: DataFrame, value: Column, fields: Callable[[Column], dict[str, Column]]) -> DataFrame:
+    """Adds columns made from a costly value that is computed once per row.
+
+    Filters on the new columns are not pushed below a generator, so the value is never inlined
+    into them the way it would be with ``withColumn``.
+    """
+
+    def row(v: Column) -> Column:
+        return F.struct(*[c.alias(name) for name, c in fields(v).items()])
+
+    return df.select("*", F.inline(F.transform(F.array(value), row)))
+
+
 def alternatives(values) -> str:
     """Regular expression for any of some literal texts."""
     return "(?:" + "|".join(re.sub(r"([^\w ])", r"\\\1", v) for v in values) + ")"

@@ -30,24 +30,28 @@ def _fold_word(word: str) -> str:
     return "".join(c for c in unicodedata.normalize("NFD", word) if ord(c) < 128).lower()
 
 
-def position_matches(company: Column, keyword: Column, name: Column) -> Column:
+def name_keys(name: Column) -> Column:
+    """struct(short, initials): what a name is looked for by; both '' when it has no such form."""
+    short = strip_space(fold_for_match(name))
+    initials = acronym(F.coalesce(name, F.lit("")))
+    return F.struct(
+        F.when(F.length(short) <= 6, short).otherwise("").alias("short"),
+        F.when(F.length(initials) >= 2, initials).otherwise("").alias("initials"),
+    )
+
+
+def position_matches(company: Column, keyword: Column, keys: Column) -> Column:
     """The position's company plausibly is the target.
 
-    Keyword inside the spaceless text, or a short name or the initials of the name as a whole
-    word.
+    Keyword inside the spaceless text, or a short name or the initials of the name (see
+    :func:`name_keys`) as a whole word.
     """
     text = F.regexp_replace(fold_for_match(company), "[-_]", " ")
     tokens = words(text)
     by_keyword = (keyword != "") & F.contains(F.replace(text, F.lit(" "), F.lit("")), keyword)
-    short = strip_space(fold_for_match(name))
-    initials = acronym(name)
-    by_name = (short != "") & (F.length(short) <= 6) & F.array_contains(tokens, short)
-    by_initials = (F.length(initials) >= 2) & F.array_contains(tokens, initials)
-    named = (name != "") & (by_name | by_initials)
-    return F.coalesce(
-        (company != "") & (F.coalesce(by_keyword, F.lit(False)) | F.coalesce(named, F.lit(False))),
-        F.lit(False),
-    )
+    by_name = (keys["short"] != "") & F.array_contains(tokens, keys["short"])
+    by_initials = (keys["initials"] != "") & F.array_contains(tokens, keys["initials"])
+    return F.coalesce((company != "") & (by_keyword | by_name | by_initials), F.lit(False))
 
 
 def ongoing(end_date: Column) -> Column:
@@ -82,7 +86,7 @@ def classify(
     org = F.col("company_name") if name is None else name
 
     # the per-row parts of the test are made once, not once per position
-    staged = people.withColumn("_key", key).withColumn("_org", org)
+    staged = people.withColumn("_key", key).withColumn("_org", name_keys(org))
 
     def fits(p: Column) -> Column:
         return position_matches(p["company_name"], F.col("_key"), F.col("_org"))
@@ -105,7 +109,9 @@ def classify(
     joined = F.array_join(
         F.transform("_now", lambda p: F.coalesce(p["title"], F.lit(""))), " "
     )
-    tested = matched.withColumn("_text", fold_for_match(joined)).withColumn(
+    tested = matched.withColumn("_joined", joined).withColumn(
+        "_text", fold_for_match(F.col("_joined"))
+    ).withColumn(
         "_t", F.when(F.size("_now") > 0, _titled(F.col("_now"))).otherwise(_titled(F.col("_past")))
     )
     none = (F.size("_now") == 0) & (F.size("_past") == 0)
@@ -125,7 +131,7 @@ def classify(
         .when(t == "intern", F.format_string(INTERN_REASON, "_t"))
         .when(t == "leadership", F.format_string(LEADERSHIP_REASON, "_t"))
         .otherwise(F.format_string(CURRENT_REASON, "_t")),
-    ).drop("_key", "_org", "_cur", "_all", "_now", "_past", "_text", "_t")
+    ).drop("_key", "_org", "_cur", "_all", "_now", "_past", "_joined", "_text", "_t")
 
 
 def tier_rank(tier: Column) -> Column:
@@ -137,17 +143,18 @@ def tier_rank(tier: Column) -> Column:
 
 def with_current_position(people: DataFrame) -> DataFrame:
     """An empty ``current_position`` is filled by the first history element at the target domain."""
-    key = host_keyword(F.col("matched_domain"))
+    no_name = name_keys(F.lit(None).cast("string"))
+    staged = people.withColumn("_key", host_keyword(F.col("matched_domain")))
     first = F.get(
         F.filter("all_positions",
-                 lambda p: position_matches(p["company_name"], key, F.lit(None).cast("string"))),
+                 lambda p: position_matches(p["company_name"], F.col("_key"), no_name)),
         F.lit(0),
     )
     here = F.get(F.col("current_position"), F.lit(0))
     has = F.size("current_position") > 0
-    return people.withColumn("position_now", F.struct(*[
+    return staged.withColumn("position_now", F.struct(*[
         F.when(has, here[f]).otherwise(first[f]).alias(f) for f in ("title", "company_name")
-    ]))
+    ])).drop("_key")
 
 
 def tier_raw_people(people: DataFrame) -> DataFrame:

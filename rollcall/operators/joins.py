@@ -52,6 +52,7 @@ def salted_join(
     ``MAX_HOT_KEYS`` of them (the hottest) are broadcast, which bounds the broadcast whatever the
     data.  Only their lookup rows are replicated.  A key missing from that list is joined
     unsalted: slower, never wrong.  ``spread_by`` must differ between rows of one key.
+    The count reads ``facts`` once more, so use it where ``facts`` is (close to) a scan.
     """
     hot = (
         facts.select(*on).groupBy(*on).agg(F.count("*").alias("_n"))
@@ -82,7 +83,7 @@ def lexical_candidates(found: DataFrame, organisations: DataFrame, label_boundar
     hosts = found.where(
         valid_host(F.col("host")) & ~denylisted(F.col("host"), label_boundary)
     ).select("tenant", "host").distinct()
-    return salted_join(hosts, organisations, ["tenant"], "host", "inner").where(
+    return hosts.join(organisations, "tenant").where(
         host_matches_name(F.col("host"), F.col("name"), F.col("abbreviation"))
     ).select("tenant", "host")
 
@@ -172,13 +173,17 @@ def apply_catch_all(addresses: DataFrame, domains: DataFrame) -> DataFrame:
     )
 
 
-def split_catch_all(addresses: DataFrame, confirmed: DataFrame, spread_by: str = "email") -> DataFrame:
-    """``at_catch_all`` for each kept address: one flag, not two copies of the data."""
+def split_catch_all(addresses: DataFrame, confirmed: DataFrame) -> DataFrame:
+    """``at_catch_all`` for each kept address: one flag, not two copies of the data.
+
+    The addresses are the outcome of a long chain, so they are not counted first as
+    :func:`salted_join` would do; AQE splits a hot domain on the left of this join.
+    """
     keyed = addresses.withColumn("_d", address_domain(F.col("email")))
     flags = confirmed.where("confirmed_catch_all").select(
         "tenant", F.col("domain").alias("_d"), F.lit(True).alias("_c")
     ).distinct()
-    return salted_join(keyed, flags, ["tenant", "_d"], spread_by).withColumn(
+    return keyed.join(flags, ["tenant", "_d"], "left").withColumn(
         "at_catch_all", F.coalesce("_c", F.lit(False))
     ).drop("_d", "_c")
 

@@ -65,7 +65,7 @@ def current_position_of(p: Column) -> Column:
 def typed_items(df: DataFrame, raw: str) -> DataFrame:
     """Raw items given as JSON text, with their fields as columns."""
     rest = [c for c in df.columns if c != raw]
-    return df.select(*rest, F.from_json(raw, RAW_PROFILE).alias("_i")).select(*rest, "_i.*")
+    return df.select(*rest, F.inline(F.array(F.from_json(raw, RAW_PROFILE))))
 
 
 def flatten_profiles(items: DataFrame) -> DataFrame:

@@ -31,7 +31,7 @@ def quoted(text: str) -> str:
     SELECT doc_id, md5({fold('text')}) AS folded, md5(lower({fold('text')})) AS for_match
     FROM documents""")
 def _(spark, sf):
-    return views.table(spark, sf, "documents").select(
+    return views.spread(spark, views.table(spark, sf, "documents")).select(
         "doc_id", F.md5(X.fold_accents(C("text"))).alias("folded"),
         F.md5(X.fold_for_match(C("text"))).alias("for_match"),
     )
@@ -72,7 +72,7 @@ def _(spark, sf):
     WITH f AS (SELECT doc_id, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS t FROM documents)
     SELECT doc_id, left(t, 400) AS text, length(t) > 400 AS truncated FROM f""")
 def _(spark, sf):
-    return views.table(spark, sf, "documents").select(
+    return views.spread(spark, views.table(spark, sf, "documents")).select(
         "doc_id", X.truncate_text(C("text"), 400).alias("cut")
     ).select("doc_id", "cut.text", "cut.truncated")
 
@@ -146,7 +146,7 @@ def _(spark, sf):
     event = F.concat(
         F.lit('\n{"type": "EMAILADDR", "data": " D'), C("doc_id").cast("string"),
         F.lit('@X.example.com "}\n{"type": "OTHER", "data": "no@x.example.com"}\n["l@x.example.com"]'))
-    d = views.table(spark, sf, "documents").select(
+    d = views.spread(spark, views.table(spark, sf, "documents")).select(
         "doc_id", F.concat("text", event).alias("output"))
     found = eventlines.address_events(eventlines.split_lines(d, "output"), "line")
     return found.select("doc_id", "email").distinct()

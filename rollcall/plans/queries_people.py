@@ -44,7 +44,7 @@ RANK = """CASE tier WHEN 'leadership' THEN 0 WHEN 'current_employee' THEN 1 WHEN
 
 
 def _items(spark, sf):
-    return profiles.typed_items(views.profile_items(spark, sf), "raw")
+    return views.profile_items(spark, sf)
 
 
 def _people(spark, sf):
@@ -66,7 +66,8 @@ def _named(spark, sf):
     FROM people"""))
 def _(spark, sf):
     now, past = F.get("current_position", F.lit(0)), F.get("all_positions", F.lit(0))
-    return _people(spark, sf).select(
+    items = profiles.typed_items(views.profile_json(spark, sf), "raw")
+    return profiles.flatten_profiles(items).select(
         "seq", "tenant", "name", "job_title", "linkedin_url", "public_identifier",
         C("location.text").alias("location_text"), C("location.country").alias("country"), "about",
         joined("emails"), now["title"].alias("now_title"), now["company_name"].alias("now_company"),
@@ -148,12 +149,12 @@ def _(spark, sf):
     company = F.concat_ws("_", F.upper("p_name"), C("p_type"))
     return views.table(spark, sf, "part").select(
         "p_partkey",
-        classify.position_matches(F.replace(company, F.lit("_"), F.lit("")), F.lit("ring"), none)
+        classify.position_matches(F.replace(company, F.lit("_"), F.lit("")), F.lit("ring"), classify.name_keys(none))
         .alias("by_keyword"),
         classify.position_matches(F.replace(C("p_name"), F.lit(" "), F.lit("-")), F.lit("zzz"),
-                                  F.lit(" Bôlt ")).alias("by_name"),
+                                  classify.name_keys(F.lit(" Bôlt "))).alias("by_name"),
         classify.position_matches(F.lit("The EX Bank"), F.lit(""),
-                                  F.concat("p_type", F.lit(" Xylo"))).alias("by_initials"),
+                                  classify.name_keys(F.concat("p_type", F.lit(" Xylo")))).alias("by_initials"),
         classify.ongoing(F.when(C("p_size") > 40, None).when(C("p_size") > 25, " PRESENT ")
                          .otherwise("2001")).alias("ongoing"))
 

@@ -13,6 +13,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # groups a task keeps in memory before it sorts; the groups here are a few small values
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "65536",
 }
 
 

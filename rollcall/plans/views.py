@@ -7,8 +7,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rollcall.functions.hosts import normalize_host
+from rollcall.schemas import RAW_PROFILE
 
 C = F.col
 
@@ -17,6 +19,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """A scan of fewer partitions than cores, dealt out before costly per-row work.
+
+    Decided from the scan's own partitions: a table of many files is left as it is, so at scale
+    this adds no shuffle.
+    """
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() * 2 <= cores else df
+
+
 def case(column: str, values: dict[str, object], default=None) -> Column:
     """CASE over one column; values may be Columns or literals."""
     out = None
@@ -29,7 +41,7 @@ def case(column: str, values: dict[str, object], default=None) -> Column:
 
 def hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages as host observations: tenant is the top-level domain, tags are language and scheme."""
-    p = table(spark, sf_dir, "pages")
+    p = spread(spark, table(spark, sf_dir, "pages"))
     return p.select(
         C("page_id").alias("seq"), "url", "html",
         F.regexp_extract("url", r"example\.(com|net|org)", 1).alias("tenant"),
@@ -105,7 +117,7 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "error": F.when(C("value") > 10, "   ").otherwise(F.concat(
             F.lit('{"type": "LEAKSITE_CONTENT", "data": "e'), e, F.lit('"}'))),
     })
-    return table(spark, sf_dir, "events").select(
+    return spread(spark, table(spark, sf_dir, "events")).select(
         "event_id", "user_id", "event_type", "value", "props", line.alias("line")
     )
 
@@ -114,7 +126,7 @@ def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as downloaded files; labels are the checks some of them got."""
     labels = table(spark, sf_dir, "labels").withColumn("labelled", F.lit(True))
     ext = case("lang", {"en": ".pdf", "fr": ".docx", "de": ".doc"}, ".pptx")
-    return table(spark, sf_dir, "documents").join(labels, "doc_id", "left").select(
+    return spread(spark, table(spark, sf_dir, "documents")).join(labels, "doc_id", "left").select(
         C("doc_id").alias("seq"), C("source").alias("tenant"), "text", "lang", "n_chars",
         F.concat("source", F.lit(".example.com")).alias("source_domain"),
         F.concat("lang", F.lit("-"), F.expr("n_chars div 100").cast("string"), ext)
@@ -126,73 +138,82 @@ def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _shaped(kind: T.DataType, given) -> Column:
+    """A value of a nested type from the parts that are given; the other fields are null."""
+    if isinstance(given, dict):
+        return F.struct(*[_shaped(f.dataType, given.get(f.name)).alias(f.name) for f in kind])
+    if isinstance(given, list):
+        return F.array(*[_shaped(kind.elementType, g) for g in given])
+    return (F.lit(None) if given is None else given).cast(kind)
+
+
 def profile_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as raw profile items (JSON text): nested history made from the order's own row."""
+    """Orders as raw profile items: nested history made from the order's own row."""
     st, pr = C("o_orderstatus"), C("o_orderpriority")
     present = case("o_orderstatus", {"O": "Present", "F": "1998"}, "")
     title = case("o_orderpriority", {
         "1-URGENT": "Sales Director", "2-HIGH": "International Clerk",
         "3-MEDIUM": "Software Engineer", "4-NOT SPECIFIED": "Factory Worker",
     }, "Events Coordinator")
-
-    def date(c):
-        return F.struct(c.alias("text"))
-
-    company = F.when(C("o_totalprice") > 250000, F.concat(C("c_mktsegment"), F.lit("-Works")))
-    item = F.struct(
-        F.concat(F.lit("id"), C("o_orderkey").cast("string")).alias("id"),
-        F.when(st != "P", C("name")).alias("name"),
-        F.when(pr != "5-LOW", C("first_name")).alias("firstName"),
-        F.when(pr != "5-LOW", C("last_name")).alias("lastName"),
-        F.when(st == "F", "").otherwise(title).alias("position"),
-        C("p_type").alias("headline"),
-        F.concat(F.lit("https://People.example/in/"), C("o_custkey").cast("string"),
-                 F.lit("/?ref="), pr).alias("linkedinUrl"),
-        F.when(st == "O", F.concat(F.lit("P-"), C("o_custkey").cast("string")))
-        .alias("publicIdentifier"),
-        F.struct(
-            C("c_mktsegment").alias("linkedinText"),
-            F.struct(
-                F.when(st == "F", "").otherwise(C("p_brand")).alias("text"),
-                C("p_type").alias("city"),
-                F.concat(F.lit("N"), C("c_nationkey").cast("string")).alias("country"),
-            ).alias("parsed"),
-        ).alias("location"),
-        C("p_type").alias("summary"),
-        F.array(F.struct(F.concat(C("first_name"), F.lit("@x.example.com")).alias("email")),
-                F.struct(F.lit("").alias("email"))).alias("emails"),
-        F.array(F.struct(
-            title.alias("position"), F.lit("").alias("companyName"),
-            F.struct(company.alias("name"), F.lit("w").alias("website")).alias("company"),
-        )).alias("currentPosition"),
-        F.array(
-            F.struct(
-                title.alias("position"),
-                F.concat(F.lit("The "), C("c_mktsegment"), F.lit("_Group")).alias("companyName"),
-                date(F.lit("1995")).alias("startDate"), date(present).alias("endDate"),
-            ),
-            F.struct(
-                F.lit("Stagiaire").alias("position"), C("p_brand").alias("companyName"),
-                date(F.lit("1990")).alias("startDate"), date(F.lit("1991")).alias("endDate"),
-            ),
-        ).alias("experience"),
-        F.array(F.struct(
-            C("p_brand").alias("schoolName"), date(F.lit("1985")).alias("startDate")
-        )).alias("education"),
-        F.struct(F.array(pr, C("p_type")).alias("servicesList")).alias("services"),
-    )
+    key = C("o_custkey").cast("string")
+    item = {
+        "id": F.concat(F.lit("id"), C("o_orderkey").cast("string")),
+        "name": F.when(st != "P", C("name")),
+        "firstName": F.when(pr != "5-LOW", C("first_name")),
+        "lastName": F.when(pr != "5-LOW", C("last_name")),
+        "position": F.when(st == "F", "").otherwise(title),
+        "headline": C("p_type"),
+        "linkedinUrl": F.concat(F.lit("https://People.example/in/"), key, F.lit("/?ref="), pr),
+        "publicIdentifier": F.when(st == "O", F.concat(F.lit("P-"), key)),
+        "location": {
+            "linkedinText": C("c_mktsegment"),
+            "parsed": {
+                "text": F.when(st == "F", "").otherwise(C("p_brand")), "city": C("p_type"),
+                "country": F.concat(F.lit("N"), C("c_nationkey").cast("string")),
+            },
+        },
+        "summary": C("p_type"),
+        "emails": [{"email": F.concat(C("first_name"), F.lit("@x.example.com"))},
+                   {"email": F.lit("")}],
+        "currentPosition": [{
+            "position": title, "companyName": F.lit(""),
+            "company": {
+                "name": F.when(C("o_totalprice") > 250000,
+                               F.concat(C("c_mktsegment"), F.lit("-Works"))),
+                "website": F.lit("w"),
+            },
+        }],
+        "experience": [
+            {"position": title,
+             "companyName": F.concat(F.lit("The "), C("c_mktsegment"), F.lit("_Group")),
+             "startDate": {"text": F.lit("1995")}, "endDate": {"text": present}},
+            {"position": F.lit("Stagiaire"), "companyName": C("p_brand"),
+             "startDate": {"text": F.lit("1990")}, "endDate": {"text": F.lit("1991")}},
+        ],
+        "education": [{"schoolName": C("p_brand"), "startDate": {"text": F.lit("1985")}}],
+        "services": {"servicesList": F.array(pr, C("p_type"))},
+    }
+    raw = T._parse_datatype_string(f"struct<{RAW_PROFILE}>")
     return (
-        table(spark, sf_dir, "orders")
+        spread(spark, table(spark, sf_dir, "orders"))
         .join(persons(spark, sf_dir), C("c_custkey") == C("o_custkey"))
         .select(
-            "tenant", C("o_orderkey").alias("seq"), "o_custkey",
+            "tenant", C("o_orderkey").alias("seq"),
             F.concat(F.lit("www."), "tenant", F.lit(".example.com")).alias("matched_domain"),
-            C("c_mktsegment").alias("org_name"),
-            F.to_json(item).alias("raw"),
+            *[_shaped(f.dataType, item.get(f.name)).alias("_" + f.name) for f in raw],
         )
+        .withColumnsRenamed({"_" + f.name: f.name for f in raw})
     )
 
 
+def profile_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same items as JSON text, the form a search tool returns them in."""
+    items = profile_items(spark, sf_dir)
+    own = ["tenant", "seq", "matched_domain"]
+    return items.select(*own, F.to_json(F.struct(*[c for c in items.columns if c not in own]))
+                        .alias("raw"))
+
+
 def _doc_key() -> Column:
     return F.concat("lang", F.lit("-"), F.expr("n_chars div 100").cast("string"))
 

@@ -19,7 +19,7 @@ from rollcall.constants import (
     MENTION_EVENT_TYPES,
 )
 from rollcall.functions.addresses import normalize_address
-from rollcall.functions.text import LINE_BREAK, contains_any, strip_space
+from rollcall.functions.text import LINE_BREAK, bind, contains_any, strip_space
 from rollcall.functions.variants import kind, text_of
 
 
@@ -30,14 +30,10 @@ def split_lines(df: DataFrame, text: str, out: str = "line", place: str = "line_
 
 
 def _parsed(df: DataFrame, line: str) -> tuple[DataFrame, list[str]]:
+    """Non-blank lines with their parsed value ``_v`` and its kind ``_k``, parsed once each."""
     rest = [c for c in df.columns if c != line]
-    out = (
-        df.withColumn(line, strip_space(F.col(line)))
-        .where(F.col(line) != "")
-        .withColumn("_v", F.try_parse_json(line))
-        .withColumn("_k", kind(F.col("_v")))
-    )
-    return out, rest
+    lines = df.withColumn(line, strip_space(F.col(line))).where(F.col(line) != "")
+    return bind(lines, F.try_parse_json(line), lambda v: {"_v": v, "_k": kind(v)}), rest
 
 
 def _event(v: Column) -> list[Column]:
@@ -101,7 +97,7 @@ def mention_events(df: DataFrame, line: str) -> DataFrame:
 def host_events(df: DataFrame, text: str) -> DataFrame:
     """Host names out of a whole tool output: events of host types, else host-shaped text."""
     rest = [c for c in df.columns if c != text]
-    parsed = df.withColumn("_v", F.try_parse_json(text)).withColumn("_k", kind(F.col("_v")))
+    parsed = bind(df, F.try_parse_json(text), lambda v: {"_v": v, "_k": kind(v)})
     items = F.when(F.col("_k") == "ARRAY", F.try_variant_get("_v", "$", "array<variant>"))
     from_events = F.transform(
         F.filter(items, lambda e: (kind(e) == "OBJECT")
