@@ -138,15 +138,3 @@ def alternatives(values) -> str:
 def contains_any(c: Column, needles) -> Column:
     """Contains one of a few needles: one regular expression, one use of the argument."""
     return F.regexp_like(c, F.lit(alternatives(needles)))
-
-
-def contains_phrase(c: Column, phrases) -> Column:
-    """As :func:`contains_any` for many phrases in long text, where plain searches are faster."""
-
-    def search(x: Column) -> Column:
-        cond = x.contains(phrases[0])
-        for p in phrases[1:]:
-            cond = cond | x.contains(p)
-        return cond
-
-    return let(c, search)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from rollcall.constants import (
     CURRENT_REASON,
+    DEAD_PAGE_PHRASES,
     FORMER_REASON,
     INTERN_REASON,
     INTERN_WORDS,
@@ -21,7 +22,7 @@ from rollcall.constants import (
     TIER_ORDER,
 )
 from rollcall.functions.hosts import host_keyword
-from rollcall.functions.text import acronym, contains_any, contains_phrase, fold_for_match, strip_space, words
+from rollcall.functions.text import acronym, contains_any, fold_for_match, let, strip_space, words
 
 
 def _fold_word(word: str) -> str:
@@ -172,14 +173,19 @@ def page_is_live(text: Column, first: Column, last: Column, phrases=None) -> Col
     Null text (not fetched) counts as live; short pages and pages with a dead-page phrase do not;
     a name part of three characters or more must appear when there is one.
     """
-    from rollcall.constants import DEAD_PAGE_PHRASES
-
     body = strip_space(text)
     low = F.lower(body)
     parts = F.transform(
         F.filter(F.array(first, last), lambda n: F.coalesce(F.length(n) >= 3, F.lit(False))),
         fold_for_match,
     )
-    named = (F.size(parts) == 0) | F.exists(parts, lambda n: F.contains(low, n))
-    dead = contains_phrase(low, phrases or DEAD_PAGE_PHRASES)
-    return F.when(text.isNull(), True).when(F.length(body) < 40, False).when(dead, False).otherwise(named)
+    words_of = phrases or DEAD_PAGE_PHRASES
+
+    def judge(x: Column) -> Column:
+        dead = x.contains(words_of[0])
+        for p in words_of[1:]:
+            dead = dead | x.contains(p)
+        named = (F.size(parts) == 0) | F.exists(parts, lambda n: F.contains(x, n))
+        return ~dead & named
+
+    return F.when(text.isNull(), True).when(F.length(body) < 40, False).otherwise(let(low, judge))

@@ -64,16 +64,14 @@ def union_tags(tag: Column) -> Column:
 def distinct_elements(df: DataFrame, keys: list[str], elements: str, seq: str) -> DataFrame:
     """Distinct elements per key with the place each was first seen: one row per element.
 
-    ``elements`` is an array of JSON texts; equality ignores the order of object keys.
+    ``elements`` is an array of JSON texts; equality ignores the order of object keys.  Repeats
+    inside one array go first, so the rest is a hash aggregation over plain numbers:
+    ``first_pos`` counts the distinct elements of the array.
     """
-    flat = df.select(
-        *keys, F.col(seq).alias("_s"), F.posexplode(elements).alias("_p", "_e")
-    ).withColumn("element", canonical(F.col("_e")))
+    flat = df.select(*keys, F.col(seq).alias("_s"), F.posexplode(
+        F.array_distinct(F.transform(elements, canonical))).alias("_p", "element"))
     return flat.groupBy(*keys, "element").agg(
-        F.min(F.struct("_s", "_p")).alias("_f")
-    ).select(
-        *keys, "element",
-        F.col("_f._s").alias("first_seq"), F.col("_f._p").alias("first_pos"),
+        F.min("_s").alias("first_seq"), F.min_by("_p", "_s").alias("first_pos")
     )
 
 

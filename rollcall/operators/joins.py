@@ -31,7 +31,7 @@ from rollcall.functions.addresses import (
 )
 from rollcall.functions.hosts import denylisted, host_matches_name, infrastructure_host, valid_host
 from rollcall.functions.names import capitalize, name_terms, person_parts
-from rollcall.functions.text import first_truthy, strip_space
+from rollcall.functions.text import first_truthy, let, strip_space
 
 HOT_ROWS = 1_000_000
 MAX_HOT_KEYS = 10_000
@@ -101,10 +101,9 @@ def documents_mentioning(documents: DataFrame, organisations: DataFrame) -> Data
         ).alias("terms"),
     )
     joined = salted_join(documents, terms, ["tenant"], "seq")
-    low = F.lower("text")
+    found = let(F.lower("text"), lambda low: F.exists("terms", lambda t: F.contains(low, t)))
     return joined.withColumn(
-        "content_verified",
-        F.coalesce(F.exists("terms", lambda t: F.contains(low, t)), F.lit(False)),
+        "content_verified", F.coalesce(found, F.lit(False))
     ).drop("terms")
 
 
@@ -327,15 +326,12 @@ def attach_profiles(people: DataFrame, profiles: DataFrame, keys: list[str]) ->
 def profile_hits(hits: DataFrame) -> DataFrame:
     """``hits(tenant, person, pattern, site, url, status)``: claimed hits per person and pattern.
 
-    A person has a few patterns and a pattern one hit per known site, so the lists are bounded by
-    the list of sites; repeated hits are dropped before they are packed.
+    A person has a few patterns and a pattern one hit per known site, so the sets are bounded by
+    the list of sites and partly merged before the shuffle.
     """
-    claimed = hits.where(F.col("status") == CLAIMED_STATUS).select(
-        "tenant", "person", "pattern", "site", "url"
-    ).distinct()
-    return claimed.groupBy("tenant", "person", "pattern").agg(
-        F.array_sort(F.collect_list(F.struct("site", "url"))).alias("platforms")
-    )
+    return hits.where(F.col("status") == CLAIMED_STATUS).groupBy(
+        "tenant", "person", "pattern"
+    ).agg(F.array_sort(F.collect_set(F.struct("site", "url"))).alias("platforms"))
 
 
 def merge_metadata(left: Column, right: Column) -> Column:

@@ -84,15 +84,24 @@ def write_version(batch: DataFrame, path: str, version: int) -> None:
 
 
 def current(spark: SparkSession, path: str) -> DataFrame:
-    """The latest row of every key over all versions; partition filters reach the scan.
+    """The latest row of every key over all versions.
 
-    Latest is by ``updated_at``, then by version, so files that arrive late change nothing.
+    Latest is by ``updated_at``, then by version, so files that arrive late change nothing.  Only
+    the versions since the last :func:`compact` are aggregated; against them the base (version 0)
+    is anti-joined, which streams it through without a shuffle while they are small.
     """
     rows = spark.read.option("basePath", f"{path}/records").schema(
         f"{RECORDS}, version bigint"
     ).parquet(f"{path}/records")
-    placed = rows.withColumn("_at", F.struct("updated_at", "version")).drop("version")
-    return last_wins(placed, KEYS, "_at").drop("_at")
+    base = rows.where("version = 0").drop("version")
+    placed = rows.where("version > 0").withColumn("_at", F.struct("updated_at", "version"))
+    newest = last_wins(placed.drop("version"), KEYS, "_at").drop("_at")
+    # the few new rows that are older than what the base has (late arrivals)
+    late = base.select(*KEYS, F.col("updated_at").alias("_u")).join(newest, KEYS).where(
+        F.col("_u") > F.col("updated_at")
+    ).select(*KEYS)
+    fresh = newest.join(late, KEYS, "left_anti").select(*base.columns)
+    return base.join(fresh.select(*KEYS), KEYS, "left_anti").unionByName(fresh)
 
 
 def compact(spark: SparkSession, path: str, out: str) -> None:

@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rollcall.constants import (
     CATCH_ALL_STATUS,
@@ -32,6 +33,15 @@ def identity(c: Column) -> Column:
     return F.coalesce(F.lower(strip_space(c.cast("string"))), F.lit(""))
 
 
+def _spread_blank(records: DataFrame, key: Column) -> Column:
+    """The identity to join on; blank ones match nothing and are spread over the partitions."""
+    plain = ("string", "bigint", "int", "double", "boolean")
+    cols = [c for c, t in records.dtypes if t in plain]
+    return F.when(key != "", key).otherwise(
+        F.concat(F.lit("\x00"), F.xxhash64(*cols).cast("string"))
+    )
+
+
 def _no_warnings() -> Column:
     return F.array().cast("array<string>")
 
@@ -57,7 +67,8 @@ def attach_verdicts(
         .agg(F.max_by(F.struct(F.coalesce(keep, F.lit(True)).alias("keep"), *fields), "seq")
              .alias("_v"))
     )
-    joined = records.withColumn("_id", identity(F.col(identifier))).join(last, "_id", "left")
+    key = _spread_blank(records, identity(F.col(identifier)))
+    joined = records.withColumn("_id", key).join(last, "_id", "left")
     v, unseen = F.col("_v"), F.col("_v").isNull()
     out = joined.withColumn("keep", F.when(unseen, True).otherwise(v["keep"]))
     for f in fields:
@@ -101,12 +112,11 @@ def score(
                 try:
                     yield scorer(part).assign(error=None)
                 except Exception as problem:  # a failed batch must not fail the job
-                    yield pd.DataFrame(
-                        {"error": [f"{problem}: keeping {len(part)} record(s) unfiltered"]}
-                    ).reindex(columns=names)
+                    told = f"{problem}: keeping {len(part)} record(s) unfiltered"
+                    yield pd.DataFrame({**dict.fromkeys(names, [None]), "error": [told]})
 
     full = f"{schema}, error string"
-    names = [f.strip().split()[0] for f in full.split(",")]
+    names = T._parse_datatype_string(full).names
     return records.select(*columns).mapInPandas(run, full)
 
 

@@ -88,7 +88,7 @@ def _(spark, sf):
 EXPOSED = """
     x AS (SELECT 'u' || user_id || '@x.example.com' AS email, replace(props, ' ', '') AS element,
                  event_id AS s, 0 AS p FROM events WHERE event_type <> 'view'
-          UNION ALL SELECT 'u' || user_id || '@x.example.com', '"' || event_type || '"', event_id, 2
+          UNION ALL SELECT 'u' || user_id || '@x.example.com', '"' || event_type || '"', event_id, 1
           FROM events WHERE event_type <> 'view'),
     el AS (SELECT email, element, min(s) AS first_seq, arg_min(p, s) AS first_pos FROM x GROUP BY 1, 2)"""
 

@@ -29,7 +29,7 @@ def _files(spark: SparkSession, root: str, name: str) -> DataFrame | None:
     pattern = f"{root}/*/{name}.json"
     if not path_exists(spark, pattern):
         return None
-    return spark.read.option("wholetext", True).text(pattern).select(
+    return spark.read.text(pattern, wholetext=True).select(
         _tenant().alias("tenant"), F.try_parse_json("value").alias("doc"), "value"
     )
 
@@ -43,7 +43,7 @@ def read_array(spark: SparkSession, root: str, name: str) -> DataFrame:
     files = _files(spark, root, name)
     if files is None:
         return spark.createDataFrame([], f"tenant string, seq bigint, {ddl}")
-    items = F.from_json("value", f"array<struct<{_as_fields(ddl)}>>")
+    items = F.from_json("value", T.ArrayType(T._parse_datatype_string(ddl)))
     return (
         files.where(kind(F.col("doc")) == "ARRAY")
         .select("tenant", F.posexplode(items).alias("seq", "item"))
@@ -51,6 +51,19 @@ def read_array(spark: SparkSession, root: str, name: str) -> DataFrame:
     )
 
 
+def read_rows(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """The same observations as JSON Lines below ``root/<tenant>/<name>.jsonl``.
+
+    Each line carries its own ``seq``, so files of any size are split over tasks; the form to use
+    when one tenant holds a large part of the data.
+    """
+    pattern = f"{root}/*/{name}.jsonl"
+    schema = f"seq bigint, {ARTIFACTS[name]}"
+    if not path_exists(spark, pattern):
+        return spark.createDataFrame([], f"tenant string, {schema}")
+    return spark.read.schema(schema).json(pattern).select(_tenant().alias("tenant"), "*")
+
+
 def read_map(spark: SparkSession, root: str, name: str) -> DataFrame:
     """``root/<tenant>/<name>.json`` holding one object: one row per key."""
     ddl = MAP_ARTIFACTS[name]
@@ -62,11 +75,6 @@ def read_map(spark: SparkSession, root: str, name: str) -> DataFrame:
     )
 
 
-def _as_fields(ddl: str) -> str:
-    """'a string, b int' -> 'a:string,b:int' (the form inside struct<>)."""
-    return T._parse_datatype_string(f"struct<{ddl}>").simpleString()[len("struct<"):-1]
-
-
 def document_path(tenant: Column, method: Column, source_domain: Column, filename: Column) -> Column:
     """Where a document of a known discovery method lies; null for an unknown method."""
     folder = None
