@@ -305,6 +305,11 @@ def merge_people(people: DataFrame) -> DataFrame:
     ).select("tenant", "person_key", *[F.col("_w").getField(c).alias(c) for c in rest], "first_seq")
 
 
+def people_order() -> list[Column]:
+    """By name, then by first appearance."""
+    return [F.coalesce("name", F.lit("")), F.col("first_seq")]
+
+
 def fall_back_to_raw(enriched: DataFrame, raw: DataFrame) -> DataFrame:
     """Raw rows only of tenants that have no enriched row at all."""
     have = enriched.select("tenant").distinct()

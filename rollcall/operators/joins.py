@@ -15,6 +15,7 @@ from rollcall.constants import (
     CATCH_ALL_STATUS,
     CLAIMED_STATUS,
     INFERRED_TAG,
+    MENTION_MODULES,
     TARGET_TYPES,
     VALID_TARGET_STATUSES,
 )
@@ -225,6 +226,15 @@ def exposure_elements(events: DataFrame, reports: DataFrame) -> DataFrame:
     ))
 
 
+def mention_elements(events: DataFrame) -> DataFrame:
+    """One row per mention: the event with the target that triggered it and the module list."""
+    return events.select(
+        "tenant", "target", "target_type", "type", "data",
+        F.lit(MENTION_MODULES).alias("module_hint"),
+        F.col("target").alias("triggering_target"),
+    )
+
+
 def attach_exposure(checked: DataFrame, elements: DataFrame) -> DataFrame:
     """Checked addresses with exposure counts and the catch-all confirmation."""
     n = elements.groupBy("tenant", "email").agg(F.count("*").alias("n_exposures"))

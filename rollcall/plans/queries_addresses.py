@@ -414,12 +414,13 @@ def _(spark, sf):
 
 
 @query("exclude_infrastructure", sql("addr", body=f"""
-    SELECT seq, email, CASE WHEN o_orderpriority = '1-URGENT' THEN false END AS keep,
+    SELECT seq, email, CASE WHEN o_orderpriority = '1-URGENT' THEN 'false' ELSE '-' END AS keep,
            CASE WHEN o_orderpriority = '1-URGENT' THEN 'noise' END AS tier,
            CASE WHEN o_orderpriority = '1-URGENT' THEN {INFRA_NOTE} END AS note
     FROM addr"""))
 def _(spark, sf):
-    return verdicts.exclude_infrastructure(views.addresses(spark, sf).select("seq", "email"))
+    out = verdicts.exclude_infrastructure(views.addresses(spark, sf).select("seq", "email"))
+    return out.withColumn("keep", F.coalesce(C("keep").cast("string"), F.lit("-")))
 
 
 # --- report rows ------------------------------------------------------------------------------

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from rollcall.constants import DEAD_PAGE_PHRASES
 from rollcall.functions import names as N
 from rollcall.functions import text as X
 from rollcall.functions import variants as V
-from rollcall.operators import classify, compact, dedup, joins, report, verdicts
+from rollcall.operators import classify, compact, dedup, joins, report, store, verdicts
 from rollcall.plans import views
 from rollcall.plans.registry import query, sql
+from rollcall.plans.session import checkpoint_dir
 from rollcall.sources import artifacts, eventlines
 
 C = F.col
@@ -362,10 +365,24 @@ OUTCOME = """
 
 @query("document_outcome", sql("docs", body=f"""
     WITH {OUTCOME}
-    SELECT seq, tenant, filename, error, summary, usability, mentions_target_company FROM outcome"""))
+    SELECT seq, tenant, filename, error, summary, usability,
+           coalesce(mentions_target_company::VARCHAR, '-') AS mentions
+    FROM outcome"""))
 def _(spark, sf):
     return _outcome(spark, sf).select(
-        "seq", "tenant", "filename", "error", "summary", "usability", "mentions_target_company")
+        "seq", "tenant", "filename", "error", "summary", "usability",
+        F.coalesce(C("mentions_target_company").cast("string"), F.lit("-")).alias("mentions"))
+
+
+@query("save_json", """
+    SELECT conv_id, turn, role, CASE WHEN role = 'user' THEN text END AS text FROM conversations""")
+def _(spark, sf):
+    """Written as JSON and read back: nulls stay, text of any alphabet survives."""
+    path = f"{checkpoint_dir(spark)}/save_json-{uuid.uuid4().hex}"
+    c = views.table(spark, sf, "conversations").withColumn(
+        "text", F.when(C("role") == "user", C("text")))
+    store.save_json(c, path)
+    return spark.read.schema(c.schema).json(path)
 
 
 @query("usable_documents", sql("docs", body=f"""

@@ -48,6 +48,19 @@ def _(spark, sf):
     return eventlines.mention_events(_lines(spark, sf), "line").select("event_id", "type", "data")
 
 
+@query("mention_elements", sql("lines", body=f"""
+    WITH {MENTION}
+    SELECT 't' AS tenant, 'u' || user_id AS target, 'HUMAN_NAME' AS target_type, type, data,
+           'sfp_ahmia,sfp_torch,sfp_onionsearchengine' AS module_hint,
+           'u' || user_id AS triggering_target
+    FROM m"""))
+def _(spark, sf):
+    found = eventlines.mention_events(_lines(spark, sf), "line").select(
+        F.lit("t").alias("tenant"), F.concat(F.lit("u"), C("user_id").cast("string")).alias("target"),
+        F.lit("HUMAN_NAME").alias("target_type"), "type", "data")
+    return joins.mention_elements(found)
+
+
 @query("canonical", """
     SELECT count(DISTINCT props) AS n_values, count(*) AS n_rows FROM events""")
 def _(spark, sf):

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from rollcall.functions import hosts as H
 from rollcall.functions import names as N
-from rollcall.operators import compact, dedup, joins, report
+from rollcall.operators import compact, dedup, joins, report, verdicts
 from rollcall.plans import views
 from rollcall.plans.registry import query, sql
 from rollcall.sources import eventlines, references
@@ -336,9 +336,14 @@ def _(spark, sf):
          b AS (SELECT tenant, host AS domain, max(authority) AS raw_hits, count(*) AS n_certificates
                FROM hosts WHERE lang = 'en' GROUP BY ALL)
     SELECT coalesce(a.tenant, b.tenant) AS tenant, coalesce(a.domain, b.domain) AS domain,
-           harvest, raw_hits, n_certificates
+           harvest, raw_hits, coalesce(n_certificates, 0) AS n_certificates
     FROM a FULL JOIN b ON a.tenant = b.tenant AND a.domain = b.domain"""))
 def _(spark, sf):
+    return _infrastructure(spark, sf).withColumn(
+        "n_certificates", F.coalesce("n_certificates", F.lit(0).cast("bigint")))
+
+
+def _infrastructure(spark, sf):
     h = views.hosts(spark, sf).withColumnRenamed("host", "domain")
     a = h.where("scheme = 'https'").groupBy("tenant", "domain").agg(F.max("url").alias("harvest"))
     b = h.where("lang = 'en'").groupBy("tenant", "domain").agg(
@@ -346,6 +351,40 @@ def _(spark, sf):
     return joins.merge_infrastructure(a, b, ["harvest"], ["raw_hits", "n_certificates"])
 
 
+HOST_VERDICTS = """
+    hv AS (SELECT host AS domain, arg_max(lang, seq) AS note, arg_max(scheme, seq) = 'https' AS keep
+           FROM hosts WHERE lang <> 'es' GROUP BY host)"""
+
+
+def _host_verdicts(spark, sf):
+    return views.hosts(spark, sf).where("lang <> 'es'").select(
+        F.upper("host").alias("identifier"), (C("scheme") == "https").alias("keep"),
+        C("lang").alias("note"), "seq")
+
+
+@query("filter_infrastructure", sql("hosts", body=f"""
+    WITH {HOST_VERDICTS},
+    i AS (SELECT DISTINCT tenant, host AS domain FROM hosts WHERE scheme = 'https' OR lang = 'en')
+    SELECT tenant, i.domain, coalesce(keep, true) AS keep,
+           coalesce(note, 'not_evaluated_by_model_fail_open') AS note
+    FROM i LEFT JOIN hv USING (domain)"""))
+def _(spark, sf):
+    return verdicts.attach_verdicts(
+        _infrastructure(spark, sf), _host_verdicts(spark, sf), "domain", ["note"]
+    ).select("tenant", "domain", "keep", "note")
+
+
+@query("filter_domains", sql("hosts", body=f"""
+    WITH {HOST_VERDICTS}
+    SELECT DISTINCT tenant, host AS domain, coalesce(keep, true) AS keep,
+           coalesce(note, 'not_evaluated_by_model_fail_open') AS note
+    FROM hosts LEFT JOIN hv ON hv.domain = host"""))
+def _(spark, sf):
+    return verdicts.attach_verdicts(
+        _domain_table(spark, sf), _host_verdicts(spark, sf), "domain", ["note"]
+    ).select("tenant", "domain", "keep", "note")
+
+
 @query("compact_certificates", sql("hosts", body="""
     SELECT seq, host AS dns_names, CASE lang WHEN 'en' THEN 'Friendly ' || tenant
                ELSE 'CN=' || tenant END AS issuer, lang AS not_before, scheme = 'http' AS revoked

@@ -85,7 +85,8 @@ def _(spark, sf):
     p = _people(spark, sf).select(
         "tenant", "seq", "name", "job_title", "linkedin_url", "public_identifier")
     return dedup.merge_people(p).select(
-        "tenant", "person_key", "seq", "first_seq", "name", "job_title")
+        "tenant", "person_key", "seq", "first_seq", "name", "job_title"
+    ).orderBy("tenant", *dedup.people_order())
 
 
 @query("fall_back_to_raw", sql("persons", body=f"""
