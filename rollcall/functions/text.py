@@ -82,9 +82,9 @@ def abbreviation(c: Column) -> Column:
 
 def acronym(c: Column) -> Column:
     """Lower-case initials of ALL words, stop words included."""
-    return F.array_join(
-        F.transform(words(fold_for_match(c)), lambda w: F.left(w, F.lit(1))), ""
-    )
+    text = strip_space(fold_for_match(c))
+    word = r"([^\s\x1c-\x1f])[^\s\x1c-\x1f]*" + SPACE + "*"
+    return F.regexp_replace(text, word, "$1")
 
 
 def truncate_text(c: Column, max_chars: int) -> Column:

@@ -22,7 +22,7 @@ from rollcall.constants import (
     TIER_ORDER,
 )
 from rollcall.functions.hosts import host_keyword
-from rollcall.functions.text import acronym, contains_any, fold_for_match, let, strip_space, words
+from rollcall.functions.text import acronym, contains_any, fold_for_match, let, strip_space
 
 
 def _fold_word(word: str) -> str:
@@ -32,12 +32,21 @@ def _fold_word(word: str) -> str:
 
 
 def name_keys(name: Column) -> Column:
-    """struct(short, initials): what a name is looked for by; both '' when it has no such form."""
+    """struct(short, initials): the words a name is looked for by, padded with spaces.
+
+    Both are null when the name has no such form (a short name must be one word of at most six
+    characters, initials at least two).
+    """
+
+    def padded(word: Column) -> Column:
+        return F.concat(F.lit(" "), word, F.lit(" "))
+
     short = strip_space(fold_for_match(name))
     initials = acronym(F.coalesce(name, F.lit("")))
+    one_word = F.regexp_like(short, F.lit(r"^[^\s\x1c-\x1f]{1,6}$"))
     return F.struct(
-        F.when(F.length(short) <= 6, short).otherwise("").alias("short"),
-        F.when(F.length(initials) >= 2, initials).otherwise("").alias("initials"),
+        F.when(one_word, padded(short)).alias("short"),
+        F.when(F.length(initials) >= 2, padded(initials)).alias("initials"),
     )
 
 
@@ -45,14 +54,19 @@ def position_matches(company: Column, keyword: Column, keys: Column) -> Column:
     """The position's company plausibly is the target.
 
     Keyword inside the spaceless text, or a short name or the initials of the name (see
-    :func:`name_keys`) as a whole word.
+    :func:`name_keys`) as a whole word: a padded word inside the padded text.
     """
-    text = F.regexp_replace(fold_for_match(company), "[-_]", " ")
-    tokens = words(text)
-    by_keyword = (keyword != "") & F.contains(F.replace(text, F.lit(" "), F.lit("")), keyword)
-    by_name = (keys["short"] != "") & F.array_contains(tokens, keys["short"])
-    by_initials = (keys["initials"] != "") & F.array_contains(tokens, keys["initials"])
-    return F.coalesce((company != "") & (by_keyword | by_name | by_initials), F.lit(False))
+    text = F.replace(F.replace(fold_for_match(company), F.lit("-"), F.lit(" ")),
+                     F.lit("_"), F.lit(" "))
+
+    def test(t: Column) -> Column:
+        spaced = F.concat(F.lit(" "), F.regexp_replace(t, r"[\t-\r\x1c-\x1f]", " "), F.lit(" "))
+        by_keyword = (keyword != "") & F.contains(F.replace(t, F.lit(" "), F.lit("")), keyword)
+        by_name = [F.coalesce(F.contains(spaced, keys[k]), F.lit(False))
+                   for k in ("short", "initials")]
+        return F.coalesce(by_keyword, F.lit(False)) | by_name[0] | by_name[1]
+
+    return F.coalesce((company != "") & let(text, test), F.lit(False))
 
 
 def ongoing(end_date: Column) -> Column:

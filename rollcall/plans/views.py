@@ -19,14 +19,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """A scan of fewer partitions than cores, dealt out before costly per-row work.
+def spread(spark: SparkSession, df: DataFrame, scan: DataFrame | None = None) -> DataFrame:
+    """Rows of a scan of fewer partitions than cores, dealt out before costly per-row work.
 
-    Decided from the scan's own partitions: a table of many files is left as it is, so at scale
-    this adds no shuffle.
+    Decided from the partitions of the scan (``df`` itself unless it is a join on one): a table of
+    many files is left as it is, so at scale this adds no shuffle.
     """
     cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() * 2 <= cores else df
+    found = (df if scan is None else scan).rdd.getNumPartitions()
+    return df.repartition(cores) if found * 2 <= cores else df
 
 
 def case(column: str, values: dict[str, object], default=None) -> Column:
@@ -84,9 +85,10 @@ def addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
         "4-NOT SPECIFIED": "Manual-Generation",
     }, "Inferred-Pattern")
     price = C("o_totalprice")
+    orders = table(spark, sf_dir, "orders")
+    joined = orders.join(persons(spark, sf_dir), C("c_custkey") == C("o_custkey"))
     return (
-        table(spark, sf_dir, "orders")
-        .join(persons(spark, sf_dir), C("c_custkey") == C("o_custkey"))
+        spread(spark, joined, orders)
         .select(
             C("o_orderkey").alias("seq"), "tenant", C("name").alias("employee"),
             "first_name", "last_name", email.alias("email"), tag.alias("tag"),
@@ -126,7 +128,8 @@ def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as downloaded files; labels are the checks some of them got."""
     labels = table(spark, sf_dir, "labels").withColumn("labelled", F.lit(True))
     ext = case("lang", {"en": ".pdf", "fr": ".docx", "de": ".doc"}, ".pptx")
-    return spread(spark, table(spark, sf_dir, "documents")).join(labels, "doc_id", "left").select(
+    documents = table(spark, sf_dir, "documents")
+    return spread(spark, documents.join(labels, "doc_id", "left"), documents).select(
         C("doc_id").alias("seq"), C("source").alias("tenant"), "text", "lang", "n_chars",
         F.concat("source", F.lit(".example.com")).alias("source_domain"),
         F.concat("lang", F.lit("-"), F.expr("n_chars div 100").cast("string"), ext)
@@ -194,9 +197,10 @@ def profile_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         "services": {"servicesList": F.array(pr, C("p_type"))},
     }
     raw = T._parse_datatype_string(f"struct<{RAW_PROFILE}>")
+    orders = table(spark, sf_dir, "orders")
+    joined = orders.join(persons(spark, sf_dir), C("c_custkey") == C("o_custkey"))
     return (
-        spread(spark, table(spark, sf_dir, "orders"))
-        .join(persons(spark, sf_dir), C("c_custkey") == C("o_custkey"))
+        spread(spark, joined, orders)
         .select(
             "tenant", C("o_orderkey").alias("seq"),
             F.concat(F.lit("www."), "tenant", F.lit(".example.com")).alias("matched_domain"),
