@@ -125,6 +125,7 @@ def personal_mailbox_domains(domains: DataFrame, confirmed: DataFrame) -> DataFr
 def merge_infrastructure(left: DataFrame, right: DataFrame, left_cols, right_cols) -> DataFrame:
     """Full outer merge per (tenant, domain) as one aggregation over the union.
 
+    Each side has one row per key (they are maps), so each column has at most one value to take.
     A full outer join cannot be split when a key is hot; the union pre-aggregates instead.
     """
     cols = [*left_cols, *right_cols]
