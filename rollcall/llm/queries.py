@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.llm import secrets, sharding
-from rollcall.llm.common import table, written
+from rollcall.llm import ann, language, packing, quality, secrets, sharding, toxicity
+from rollcall.llm.common import in_fold, table, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -19,12 +19,37 @@ def query(fn):
     return fn
 
 
+@query
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.grade(docs, model).select(
+        "doc_id", "toxicity.severity", "toxicity.grade", "toxicity.chance",
+        (F.col("toxicity.chance") >= toxicity.REJECT).cast("int").alias("toxic"))
+
+
 @query
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return secrets.scan(docs).select("doc_id", "found.*")
 
 
+@query
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held = in_fold(F.col("doc_id"), 5, 0)
+    labels = table(spark, sf_dir, "labels").where(~held)
+    model = quality.fit(quality.label_rows(docs, labels, "quality"))
+    return quality.score(docs, model).select(
+        "doc_id", held.alias("held_out"), "score",
+        quality.predicted(F.col("score")).alias("predicted"))
+
+
+@query
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -34,3 +59,18 @@ def op8_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(docs, F.col("content"), ["doc_id", "size", "text_crc32"]).select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held = in_fold(F.col("doc_id"), 3, 1)
+    model = language.fit(docs.where(~held))
+    return language.predict(docs.select("doc_id", "text"), model).select(
+        "doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return ann.nearest(vectors, lambda key: key % 20 == 0)

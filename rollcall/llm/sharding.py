@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from rollcall.llm.common import free_name, ranked
 
 RING = 1 << 32
-ROWS_PER_CELL = 4096
+ROWS_PER_CELL = 1024
 
 
 def ring(shards: int, vnodes: int) -> tuple[np.ndarray, np.ndarray]:
