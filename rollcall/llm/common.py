@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import pickle
 import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
@@ -60,6 +62,12 @@ def per_batch(make):
     return run
 
 
+def handed_out(df: DataFrame, value):
+    """A function that gives ``value`` inside tasks; it is broadcast, so its size must be bounded."""
+    held = df.sparkSession.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: pickle.loads(held.value)
+
+
 def ranked(df: DataFrame, group: list[str], order: list[str], rank: str, per_task: int) -> DataFrame:
     """Adds ``rank``, 0-based and gapless within ``group``, in the order of a hash of ``order``.
 

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rollcall.llm import linear
-from rollcall.llm.common import free_name, per_batch, with_fields
+from rollcall.llm.common import free_name, handed_out, per_batch, with_fields
 from rollcall.llm.textgrams import language_features
 
 BITS = 18
@@ -155,10 +155,10 @@ def predict(df: DataFrame, model: Model, text: str = "text", out: str = "lang_pr
             score: str = "score") -> DataFrame:
     """``df`` with the predicted language and its score."""
     slots = [free_name(df, out), free_name(df, score)]
-    shared = df.sparkSession.sparkContext.broadcast(model)      # arrays of 2^bits
+    shared = handed_out(df, model)      # arrays of 2^bits
 
     def make():
-        model = shared.value
+        model = shared()
 
         def run(batch):
             got = [model.predict(t) for t in batch.column(text).to_pylist()]

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.llm import linear
-from rollcall.llm.common import free_name, per_batch, with_fields
+from rollcall.llm.common import free_name, handed_out, per_batch, with_fields
 from rollcall.llm.textgrams import Distinct, quality_features
 
 BITS = 18
@@ -134,10 +134,10 @@ def score(df: DataFrame, model: Model, text: str = "text", out: str = "score",
           features=quality_features, bits: int = BITS) -> DataFrame:
     """``df`` with the score of each whole text."""
     slot = free_name(df, out)
-    shared = df.sparkSession.sparkContext.broadcast(model)      # two arrays of 2^bits
+    shared = handed_out(df, model)      # two arrays of 2^bits
 
     def make():
-        m, distinct = shared.value, Distinct(bits)
+        m, distinct = shared(), Distinct(bits)
 
         def run(batch):
             got = [m.margin(distinct(features(t, bits))) for t in batch.column(text).to_pylist()]

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import free_name, per_batch, with_struct
+from rollcall.llm.common import free_name, handed_out, per_batch, with_struct
 from rollcall.llm.linear import sigmoid
 from rollcall.llm.quality import feature_counts, label_rows, sample_features
 from rollcall.llm.textgrams import Distinct, word_features
@@ -56,7 +56,7 @@ class Model:
 
 
 def fit_ordinal(rows: list[np.ndarray], grades: np.ndarray, dims: int, top: int,
-                weight: np.ndarray | None = None, ridge: float = 2e-4,
+                weight: np.ndarray | None = None, ridge: float = 2e-5,
                 steps: int = 500) -> tuple[np.ndarray, np.ndarray]:
     """(weights, thresholds) of the weighted likelihood, by Adam over all rows."""
     lengths = np.array([len(r) for r in rows])
@@ -146,10 +146,10 @@ def set_features(kept: np.ndarray):
 def grade(df: DataFrame, model: Model, text: str = "text", out: str = "toxicity") -> DataFrame:
     """``df`` with a struct: expected severity, chance of any toxicity, likeliest grade."""
     slot = free_name(df, out)
-    shared = df.sparkSession.sparkContext.broadcast(model)      # at most KEPT features
+    shared = handed_out(df, model)      # at most KEPT features
 
     def make():
-        model, distinct = shared.value, Distinct(BITS)
+        model, distinct = shared(), Distinct(BITS)
         kind = pa.struct([("severity", pa.float64()), ("chance", pa.float64()),
                           ("grade", pa.int32())])
 
