@@ -17,7 +17,9 @@ gives no rows; a text of any length is encoded whole.
 from __future__ import annotations
 
 import os
+import struct
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,8 +32,8 @@ CAPACITY = 4096
 UNIT = 16
 CLOSING_ID = 2
 VOCABULARY = "word_bpe_49k.json"
-KEPT_WORDS = 300_000         # encodings a task remembers before it starts afresh
-LONGEST_KEPT = 48
+KEPT_WORDS = 1_000_000       # encodings a task remembers before it starts afresh
+TOGETHER = 500_000
 ROWS_PER_CELL = 1024
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
@@ -42,40 +44,69 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
+# How the vocabulary file splits lower-cased text (its own pattern).
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
+# texts without these characters and the vocabulary's special marks are lower-cased and composed
+# by Python as by the vocabulary's normaliser
+ODD = r"[^\t-\r -~\u00a0-\u017f]"
+
+
 class Encoder:
-    """Ids of texts as little-endian 32-bit bytes, with encodings of words remembered.
+    """Ids of texts as little-endian 32-bit bytes, with the encodings of words remembered.
 
-    The vocabulary's normaliser and splitter drop blanks and never look across one, so the ids of
-    a text are those of its blank-separated parts in turn.
+    The vocabulary lower-cases, splits by ``SPLIT`` and encodes the parts one by one; the parts of
+    a text are looked up, new ones encoded together.  Texts with ``ODD`` characters or a
+    special mark are encoded as they are.
     """
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.split = regex.compile(SPLIT).findall
+        self.odd = regex.compile(ODD).search
         self.kept: dict[str, bytes] = {}
 
-    def _encode(self, parts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes()
-                for e in self.tokenizer.encode_batch(parts, add_special_tokens=False)]
-
     def __call__(self, text: str | None) -> bytes:
+        return next(self.each([text]))
+
+    def each(self, texts: list[str | None]) -> Iterator[bytes]:
+        """Ids of the texts in turn; new words are encoded for ``TOGETHER`` characters at once."""
+        held, size = [], 0
+        for text in texts:
+            held.append(text)
+            size += len(text or "")
+            if size >= TOGETHER:
+                yield from self._together(held)
+                held, size = [], 0
+        yield from self._together(held)
+
+    def _together(self, texts: list[str | None]) -> Iterator[bytes]:
+        parts = [self._parts(t) for t in texts]
+        kept = self.kept
+        words = set().union(*[p for p in parts if p is not None])
+        new = [w for w in words if w not in kept]
+        if len(kept) + len(new) > KEPT_WORDS:
+            kept = self.kept = {}
+            new = list(words)
+        encoded = self.tokenizer.encode_batch_fast(new, add_special_tokens=False) if new else []
+        kept.update(zip(new, [struct.pack(f"<{len(i)}I", *i) for i in (e.ids for e in encoded)]))
+        for text, own in zip(texts, parts):
+            if own is None:
+                ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+                yield struct.pack(f"<{len(ids)}I", *ids)
+            else:
+                yield b"".join(map(kept.__getitem__, own))
+
+    def _parts(self, text: str | None) -> list[str] | None:
+        """Parts as the vocabulary would split; none where Python may differ."""
         if not text:
-            return b""
-        parts = text.replace("\n", " ").split(" ")
-        new = [p for p in set(parts) if p not in self.kept]
-        here: dict[str, bytes] = {}
-        if new:
-            if len(self.kept) + len(new) > KEPT_WORDS:
-                self.kept = {}
-                new = list(set(parts))
-            for p, ids in zip(new, self._encode(new)):
-                (self.kept if len(p) <= LONGEST_KEPT and len(self.kept) < KEPT_WORDS
-                 else here)[p] = ids
-        if here:
-            return b"".join([here[p] if p in here else self.kept[p] for p in parts])
-        return b"".join(map(self.kept.__getitem__, parts))
+            return []
+        if "<|" in text or "\u0130" in text or self.odd(text):
+            return None
+        return self.split(text.lower())
 
 
 def cut(df: DataFrame, path: str, capacity: int = CAPACITY, closing: int = CLOSING_ID) -> DataFrame:
@@ -87,9 +118,9 @@ def cut(df: DataFrame, path: str, capacity: int = CAPACITY, closing: int = CLOSI
         encode = Encoder(path)
         for batch in batches:
             out = []
-            for doc, text in zip(batch.column("doc_id").to_pylist(),
-                                 batch.column("text").to_pylist()):
-                raw = memoryview(encode(text) + last)
+            for doc, ids in zip(batch.column("doc_id").to_pylist(),
+                                encode.each(batch.column("text").to_pylist())):
+                raw = memoryview(ids + last)
                 total = len(raw) // 4
                 for start in range(0, total, capacity):
                     piece = raw[4 * start:4 * (start + capacity)]
@@ -132,31 +163,29 @@ def column_generation(demand: np.ndarray, rounds: int = 4000) -> list[tuple[np.n
     types = np.flatnonzero(demand)
     if not len(types):
         return []
-    columns = np.zeros((len(types), len(types)))
-    columns[np.arange(len(types)), np.arange(len(types))] = room // (types + 1)
-    inverse = np.linalg.inv(columns)
-    uses = inverse @ demand[types].astype(float)
-    for turn in range(rounds):
+    # One row per size.  Plain array arithmetic: the matrices are small and a threaded library call
+    # on them costs more than it saves.
+    columns = np.diag((room // (types + 1)).astype(float))
+    inverse = np.diag(1.0 / np.diag(columns))
+    uses = demand[types] / np.diag(columns)
+    for _ in range(rounds):
         price = np.zeros(room)
         price[types] = np.maximum(inverse.sum(axis=0), 0.0)
         worth, pattern = best_pattern(price, room)
-        if worth <= 1 + 1e-7:
+        if worth <= 1 + 1e-6:
             break
         new = pattern[types].astype(float)
-        along = inverse @ new
+        along = (inverse * new).sum(axis=1)
         ahead = np.flatnonzero(along > 1e-9)
         ratio = uses[ahead] / along[ahead]
         leave = int(ahead[np.argmin(ratio)])
         step = max(float(ratio.min()), 0.0)
-        uses -= step * along
+        uses = np.maximum(uses - step * along, 0.0)
         uses[leave] = step
         columns[:, leave] = new
-        inverse[leave] /= along[leave]
-        others = np.arange(len(types)) != leave
-        inverse[others] -= np.outer(along[others], inverse[leave])
-        if turn % 200 == 199:                            # rounding errors do not build up
-            inverse = np.linalg.inv(columns)
-            uses = np.maximum(inverse @ demand[types], 0.0)
+        row = inverse[leave] / along[leave]
+        inverse -= along[:, None] * row
+        inverse[leave] = row
     out = []
     for j in range(len(types)):
         full = np.zeros(room, np.int64)
