@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from rollcall.constants import (
     CATCH_ALL_STATUS,
+    CATCH_ALL_WARNING,
     CATEGORIES,
     EMPTY_TEXT_ERROR,
     FAIL_OPEN_NOTE,
@@ -18,8 +19,11 @@ from rollcall.constants import (
     INFRASTRUCTURE_NOTE,
     MISSING_FILE_ERROR,
     NO_MENTIONS_NOTE,
+    OVERRATED_WARNING,
+    RECONCILED_NOTE,
     REJECT_NOTE,
     TEXT_FILE_TYPES,
+    UNPROVEN_WARNING,
     UNSUPPORTED_ERROR,
     USABILITY_LEVELS,
 )
@@ -49,13 +53,15 @@ def _no_warnings() -> Column:
 # --- the scoring pass -------------------------------------------------------------------------
 
 def attach_verdicts(
-    records: DataFrame, verdicts: DataFrame, identifier: str, fields: list[str] | None = None
+    records: DataFrame, verdicts: DataFrame, identifier: str, fields: list[str] | None = None,
+    tenant: str = "tenant",
 ) -> DataFrame:
     """Every record with ``keep`` and its verdict; records without one are kept with a note.
 
-    ``verdicts`` has ``identifier``, ``keep`` (VARIANT or boolean), ``seq`` and the descriptive
-    ``fields``.  The last verdict of an identifier wins; a ``keep`` that is no boolean is true.
-    The left join is also the grounding: a verdict for an unknown identifier meets no record.
+    ``verdicts`` has ``tenant``, ``identifier``, ``keep`` (VARIANT or boolean), ``seq`` and the
+    descriptive ``fields``.  Within a tenant the last verdict of an identifier wins; a ``keep``
+    that is no boolean is true.  The left join is also the grounding: a verdict for an identifier
+    unknown to its tenant meets no record, whoever else may have it.
     """
     fields = fields if fields is not None else ["tier", "note"]
     is_variant = dict(verdicts.dtypes)["keep"] == "variant"
@@ -63,14 +69,14 @@ def attach_verdicts(
     last = (
         verdicts.withColumn("_id", identity(F.col("identifier")))
         .where(F.col("_id") != "")
-        .groupBy("_id")
+        .groupBy(tenant, "_id")
         .agg(F.max_by(F.struct(F.coalesce(keep, F.lit(True)).alias("keep"), *fields), "seq")
              .alias("_v"))
     )
     key = _spread_blank(records, identity(F.col(identifier)))
-    joined = records.withColumn("_id", key).join(last, "_id", "left")
+    joined = records.withColumn("_id", key).join(last, [tenant, "_id"], "left")
     v, unseen = F.col("_v"), F.col("_v").isNull()
-    out = joined.withColumn("keep", F.when(unseen, True).otherwise(v["keep"]))
+    out = joined.select(*records.columns, "_id", "_v").withColumn("keep", F.when(unseen, True).otherwise(v["keep"]))
     for f in fields:
         value = F.when(unseen, FAIL_OPEN_NOTE).otherwise(v["note"]) if f == "note" else v[f]
         out = out.withColumn(f, value)
@@ -78,17 +84,19 @@ def attach_verdicts(
 
 
 def verdict_warnings(
-    verdicts: DataFrame, records: DataFrame, identifier: str, category: str
+    verdicts: DataFrame, records: DataFrame, identifier: str, category: str,
+    tenant: str = "tenant",
 ) -> DataFrame:
-    """Verdicts dropped for a blank identifier or one that is not in the input."""
-    keyed = verdicts.select("identifier", "seq", identity(F.col("identifier")).alias("_id"))
-    known = records.select(identity(F.col(identifier)).alias("_id")).distinct()
+    """Verdicts dropped for a blank identifier or one that their tenant's input does not have."""
+    keyed = verdicts.select(tenant, "identifier", "seq", identity(F.col("identifier")).alias("_id"))
+    known = records.select(tenant, identity(F.col(identifier)).alias("_id")).distinct()
     blank = keyed.where(F.col("_id") == "").withColumn("warning", F.lit("missing identifier"))
-    unknown = keyed.where(F.col("_id") != "").join(known, "_id", "left_anti").withColumn(
+    unknown = keyed.where(F.col("_id") != "").join(known, [tenant, "_id"], "left_anti").withColumn(
         "warning", F.lit("identifier not present in input")
     )
     return blank.unionByName(unknown).select(
-        F.lit(category).alias("category"), "identifier", "seq", "warning"
+        F.col(tenant).alias("tenant"), F.lit(category).alias("category"), "identifier", "seq",
+        "warning",
     )
 
 
@@ -96,12 +104,12 @@ Scorer = Callable[[pd.DataFrame], pd.DataFrame]
 
 
 def score(
-    records: DataFrame, scorer: Scorer, schema: str, columns: list[str], batch_size: int = 8
+    records: DataFrame, scorer: Scorer, schema: str, columns: list[str], batch_size: int = 0
 ) -> DataFrame:
-    """Verdict rows of a user-given scorer, called on batches of at most ``batch_size`` records.
+    """Verdict rows of a user-given scorer, called once per Arrow batch, or on at most ``batch_size`` records.
 
     Only ``columns`` travel to Python.  A batch that raises yields one row with ``error`` set and
-    no verdict, so its records fail open.  ``batch_size <= 0``: one batch per Arrow batch.
+    no verdict, so its records fail open (see ``batch_warnings``).
     """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -131,6 +139,10 @@ def _warn(df: DataFrame, hit: Column, text: Column) -> DataFrame:
     )
 
 
+def _shown(name: str) -> Column:
+    return F.coalesce(F.col(name).cast("string"), F.lit("None"))
+
+
 def enforce_tier_rules(df: DataFrame) -> DataFrame:
     """'confirmed' needs a deliverable status, 'likely' a confidence above zero."""
     zero = F.coalesce("confidence", F.lit(0.0)) == 0
@@ -138,8 +150,9 @@ def enforce_tier_rules(df: DataFrame) -> DataFrame:
     over = F.coalesce((F.col("tier") == "confirmed") & ~deliverable, F.lit(False))
     weak = F.coalesce((F.col("tier") == "likely") & zero, F.lit(False))
     new = F.when(over, F.when(zero, "speculative").otherwise("likely")).when(weak, "speculative")
-    warned = _warn(df, over | weak, F.concat(
-        F.lit("Downgraded from tier="), F.col("tier"), F.lit(" to tier="), new))
+    warned = _warn(df, over | weak, F.when(over, F.format_string(
+        OVERRATED_WARNING, _shown("email"), new, _shown("validation_status"),
+    )).otherwise(F.format_string(UNPROVEN_WARNING, _shown("email"))))
     return warned.withColumn("tier", F.coalesce(new, F.col("tier")))
 
 
@@ -147,9 +160,8 @@ def enforce_catch_all(df: DataFrame) -> DataFrame:
     """Addresses at a catch-all domain are flagged and speculative, excluded ones too."""
     hit = F.coalesce(F.col("validation_status") == CATCH_ALL_STATUS, F.lit(False))
     moved = hit & ~F.coalesce(F.col("tier") == "speculative", F.lit(False))
-    warned = _warn(df, moved, F.concat(
-        F.lit("Downgraded from tier="), F.coalesce("tier", F.lit("None")),
-        F.lit(" to tier=speculative: domain is confirmed catch-all")))
+    warned = _warn(df, moved, F.format_string(
+        CATCH_ALL_WARNING, _shown("email"), _shown("tier")))
     return warned.withColumn("catchall_unverifiable", hit).withColumn(
         "tier", F.when(hit, "speculative").otherwise(F.col("tier"))
     )
@@ -163,12 +175,10 @@ def reconcile_guesses(df: DataFrame, markers=GUESS_SOURCES) -> DataFrame:
         & (F.coalesce("confidence", F.lit(0.0)) == 0)
         & guess_only(F.col("sources"), markers)
     )
-    addition = F.concat(
-        F.lit("Reconciled from kept to excluded: tier="), F.col("tier"),
-        F.lit(", confidence=0, every source is pattern-generated ("),
-        F.array_join("sources", ", "), F.lit(")"),
-    )
-    warned = _warn(df, hit, addition)
+    listed = F.concat(F.lit("['"), F.array_join("sources", "', '"), F.lit("']"))
+    addition = F.format_string(RECONCILED_NOTE, _shown("tier"), listed)
+    warned = _warn(df, hit, F.concat(
+        F.lit("[emails] "), addition, F.lit(" ("), _shown("email"), F.lit(")")))
     return warned.withColumn(
         "note", F.when(hit, F.concat_ws(" ", F.nullif(F.col("note"), F.lit("")), addition))
         .otherwise(F.col("note"))
@@ -189,6 +199,20 @@ def filter_addresses(addresses: DataFrame, verdicts: DataFrame, markers=GUESS_SO
     return reconcile_guesses(enforce_catch_all(enforce_tier_rules(structural)), markers)
 
 
+def address_warnings(judged: DataFrame) -> DataFrame:
+    """(tenant, category, identifier, warning): one row per correction of an address."""
+    return judged.select(
+        "tenant", F.lit("emails").alias("category"), F.col("email").alias("identifier"),
+        F.explode("warnings").alias("warning"))
+
+
+def batch_warnings(scores: DataFrame, category: str, tenant: Column) -> DataFrame:
+    """(tenant, category, identifier, warning) of the scoring batches that failed."""
+    return scores.where(F.col("error").isNotNull()).select(
+        tenant.alias("tenant"), F.lit(category).alias("category"),
+        F.lit(None).cast("string").alias("identifier"), F.col("error").alias("warning"))
+
+
 def exclude_infrastructure(addresses: DataFrame) -> DataFrame:
     """Addresses at infrastructure hosts with the fixed verdict, the others without one."""
     infra = infrastructure_address(F.col("email"))

@@ -316,25 +316,26 @@ def _(spark, sf):
 def _verdicts(spark, sf):
     """One verdict per address that has an order on time; tiers follow the last order."""
     last = views.addresses(spark, sf).where("o_orderpriority <> '4-NOT SPECIFIED'").groupBy(
-        "email").agg(F.max_by("o_totalprice", "seq").alias("price"), F.max("seq").alias("seq"))
+        "tenant", "email").agg(F.max_by("o_totalprice", "seq").alias("price"),
+                               F.max("seq").alias("seq"))
     p = C("price")
-    return last.select(
-        F.upper("email").alias("identifier"), (p > 60000).alias("keep"),
+    return views.with_strangers(last.select(
+        "tenant", F.upper("email").alias("identifier"), (p > 60000).alias("keep"),
         F.when(p > 350000, "confirmed").when(p > 200000, "likely").when(p > 120000, "noise")
         .alias("tier"),
-        F.when(p > 200000, "judged").alias("note"), "seq")
+        F.when(p > 200000, "judged").alias("note"), "seq"))
 
 
 TIERED = """
-    v AS (SELECT lower(email) AS email, arg_max(o_totalprice, seq) AS p FROM addr
-          WHERE o_orderpriority <> '4-NOT SPECIFIED' GROUP BY 1),
+    v AS (SELECT tenant, lower(email) AS email, arg_max(o_totalprice, seq) AS p FROM addr
+          WHERE o_orderpriority <> '4-NOT SPECIFIED' GROUP BY 1, 2),
     j AS (SELECT m.*, p IS NULL AS unseen, starts_with(split_part(m.email, '@', 2), 'mail.') AS infra,
                  coalesce(p > 60000, true) AS keep0,
                  CASE WHEN p > 350000 THEN 'confirmed' WHEN p > 200000 THEN 'likely'
                       WHEN p > 120000 THEN 'noise' END AS tier0,
                  CASE WHEN p IS NULL THEN 'not_evaluated_by_model_fail_open'
                       WHEN p > 200000 THEN 'judged' END AS note0
-          FROM merged m LEFT JOIN v USING (email)),
+          FROM merged m LEFT JOIN v USING (tenant, email)),
     t AS (SELECT *, CASE WHEN tier0 = 'confirmed' AND validation_status <> 'deliverable'
                               THEN CASE WHEN confidence = 0 THEN 'speculative' ELSE 'likely' END
                          WHEN tier0 = 'likely' AND confidence = 0 THEN 'speculative'
@@ -346,6 +347,17 @@ TIERED = """
                         ('Pattern-Generation', 'Manual-Generation'))) = 0 AS guess FROM c)"""
 
 
+TIER_WARNING = """CASE WHEN tier1 IS DISTINCT FROM tier0 THEN
+    CASE tier0 WHEN 'confirmed' THEN '[emails] Downgraded ''' || email
+        || ''' from tier=confirmed to tier=' || tier1 || ': validation_status is '''
+        || validation_status || ''', not ''deliverable''.'
+    ELSE '[emails] Downgraded ''' || email || ''' from tier=likely to tier=speculative: confidence '
+        || 'is 0 (unvalidated / SMTP inconclusive), regardless of naming pattern.' END END"""
+CATCH_ALL_WARNING = """CASE WHEN tier2 IS DISTINCT FROM tier1 THEN '[emails] Downgraded ''' || email
+    || ''' from tier=' || coalesce(tier1, 'None') || ' to tier=speculative: domain is confirmed '
+    || 'catch-all, so SMTP validation is fundamentally inconclusive for every candidate at it.' END"""
+
+
 def _judged(spark, sf):
     return verdicts.attach_verdicts(_merged(spark, sf), _verdicts(spark, sf), "email")
 
@@ -353,8 +365,7 @@ def _judged(spark, sf):
 @query("enforce_tier_rules", sql("addr", body=f"""
     WITH {MERGED}, {TIERED}
     SELECT tenant, email, tier1 AS tier, keep0 AS keep, note0 AS note,
-           CASE WHEN tier1 IS DISTINCT FROM tier0 THEN 'Downgraded from tier=' || tier0 || ' to tier='
-                || tier1 ELSE '' END AS warnings
+           coalesce({TIER_WARNING}, '') AS warnings
     FROM t"""))
 def _(spark, sf):
     out = verdicts.enforce_tier_rules(_judged(spark, sf))
@@ -365,18 +376,17 @@ def _(spark, sf):
     WITH {MERGED}, {TIERED}
     SELECT tenant, email, tier2 AS tier, validation_status = 'smtp_inconclusive_catchall'
                AS catchall_unverifiable,
-           (CASE WHEN tier1 IS DISTINCT FROM tier0 THEN 1 ELSE 0 END
-            + CASE WHEN tier2 IS DISTINCT FROM tier1 THEN 1 ELSE 0 END) AS n_warnings
+           concat_ws(',', {TIER_WARNING}, {CATCH_ALL_WARNING}) AS warnings
     FROM c"""))
 def _(spark, sf):
     out = verdicts.enforce_catch_all(verdicts.enforce_tier_rules(_judged(spark, sf)))
-    return out.select("tenant", "email", "tier", "catchall_unverifiable",
-                      F.size("warnings").alias("n_warnings"))
+    return out.select("tenant", "email", "tier", "catchall_unverifiable", joined("warnings"))
 
 
-GUESS_NOTE = """CASE WHEN guess THEN concat_ws(' ', note0, 'Reconciled from kept to excluded: tier='
-    || tier2 || ', confidence=0, every source is pattern-generated ('
-    || list_aggregate(sources, 'string_agg', ', ') || ')') ELSE note0 END"""
+RECONCILED = """'Reconciled from kept to excluded: tier=' || tier2
+    || ', confidence=0, and every source is pattern-generated ([''' || list_aggregate(sources,
+    'string_agg', ''', ''') || ''']) - no independent discovery confirms this address exists.'"""
+GUESS_NOTE = f"CASE WHEN guess THEN concat_ws(' ', note0, {RECONCILED}) ELSE note0 END"
 
 
 @query("reconcile_guesses", sql("addr", body=f"""
@@ -400,7 +410,14 @@ FILTERED = f"""
                CASE WHEN infra AND validation_status = 'smtp_inconclusive_catchall' THEN 'speculative'
                     WHEN infra THEN 'noise' ELSE tier2 END AS tier,
                CASE WHEN infra THEN {INFRA_NOTE} ELSE {GUESS_NOTE} END AS note
-        FROM g)"""
+        FROM g),
+    corrected AS (
+        SELECT * REPLACE (CASE WHEN infra THEN 'noise' ELSE tier0 END AS tier0,
+                          CASE WHEN infra THEN 'noise' ELSE tier1 END AS tier1,
+                          CASE WHEN infra AND tier2 <> 'speculative' THEN 'noise'
+                               WHEN infra AND validation_status <> 'smtp_inconclusive_catchall' THEN 'noise'
+                               WHEN infra AND tier2 IS NULL THEN 'noise' ELSE tier2 END AS tier2,
+                          guess AND NOT infra AS guess) FROM g)"""
 
 
 def _filtered(spark, sf):

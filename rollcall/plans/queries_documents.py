@@ -280,24 +280,29 @@ def _(spark, sf):
 
 def _verdict_rows(spark, sf):
     """Labels as verdicts: twice for some, under odd spellings, and for unknown or blank ids."""
-    lab = views.table(spark, sf, "labels")
+    lab = views.docs(spark, sf).where("labelled").withColumnRenamed("seq", "doc_id")
     keep = F.when(C("toxic") == 1, F.lit('"no"')).when(C("quality") == 1, F.lit("true")) \
         .otherwise("false")
     note = F.concat(F.lit("q"), C("quality").cast("string"))
     base = lab.select(
-        F.concat(F.lit(" D"), C("doc_id").cast("string"), F.lit("\t")).alias("identifier"),
+        "tenant", F.concat(F.lit(" D"), C("doc_id").cast("string"), F.lit("\t")).alias("identifier"),
         F.parse_json(keep).alias("keep"), F.lit(None).cast("string").alias("tier"),
         note.alias("note"), C("doc_id").alias("seq"))
     later = lab.where("quality = 0 and toxic = 0").select(
-        F.concat(F.lit("d"), C("doc_id").cast("string")).alias("identifier"),
+        "tenant", F.concat(F.lit("d"), C("doc_id").cast("string")).alias("identifier"),
         F.parse_json(F.lit("false")).alias("keep"), F.lit("late").alias("tier"),
         F.lit("again").alias("note"), (C("doc_id") + 1000000000).alias("seq"))
     lost = lab.where("toxic = 1").select(
-        F.when(C("quality") == 1, F.lit("  ")).otherwise(
+        "tenant", F.when(C("quality") == 1, F.lit("  ")).otherwise(
             F.concat(F.lit("zz"), C("doc_id").cast("string"))).alias("identifier"),
         F.parse_json(F.lit("true")).alias("keep"), F.lit(None).cast("string").alias("tier"),
         F.lit("lost").alias("note"), (C("doc_id") + 2000000000).alias("seq"))
-    return base.unionByName(later).unionByName(lost)
+    strange = lab.where("toxic = 1").select(
+        F.lit("elsewhere").alias("tenant"),
+        F.concat(F.lit("d"), C("doc_id").cast("string")).alias("identifier"),
+        F.parse_json(F.lit("false")).alias("keep"), F.lit("noise").alias("tier"),
+        F.lit("not theirs").alias("note"), (C("doc_id") + 3000000000).alias("seq"))
+    return base.unionByName(later).unionByName(lost).unionByName(strange)
 
 
 def _doc_records(spark, sf):
@@ -317,12 +322,18 @@ def _(spark, sf):
         _doc_records(spark, sf), _verdict_rows(spark, sf), "record")
 
 
-@query("verdict_warnings", """
-    SELECT 'documents' AS category, CASE WHEN quality = 1 THEN '  ' ELSE 'zz' || doc_id END AS identifier,
-           doc_id + 2000000000 AS seq,
-           CASE WHEN quality = 1 THEN 'missing identifier' ELSE 'identifier not present in input' END
-               AS warning
-    FROM labels WHERE toxic = 1""")
+WARNED = """
+    warned AS (
+        SELECT tenant, 'documents' AS category, seq + 2000000000 AS seq,
+               CASE WHEN quality = 1 THEN '  ' ELSE 'zz' || seq END AS identifier,
+               CASE WHEN quality = 1 THEN 'missing identifier'
+                    ELSE 'identifier not present in input' END AS warning
+        FROM docs WHERE toxic = 1
+        UNION ALL SELECT 'elsewhere', 'documents', seq + 3000000000, 'd' || seq,
+                         'identifier not present in input' FROM docs WHERE toxic = 1)"""
+
+
+@query("verdict_warnings", sql("docs", body=f"WITH {WARNED} SELECT * FROM warned"))
 def _(spark, sf):
     return verdicts.verdict_warnings(
         _verdict_rows(spark, sf), _doc_records(spark, sf), "record", "documents")

@@ -162,10 +162,10 @@ def _judged_exposures(spark, sf):
     v = views.table(spark, sf, "events").where("event_type = 'error'").groupBy("user_id").agg(
         F.max_by("props", "event_id").alias("p"), F.max("event_id").alias("seq"),
         F.max_by("value", "event_id").alias("value"))
-    v = v.select(F.concat(F.lit("u"), C("user_id").cast("string"), F.lit("@X.example.com")).alias("identifier"),
+    v = v.select(F.lit("t").alias("tenant"), F.concat(F.lit("u"), C("user_id").cast("string"), F.lit("@X.example.com")).alias("identifier"),
                  (C("value") < 20).alias("keep"), F.lit(None).cast("string").alias("note"),
                  F.when(C("value") < 10, C("p")).alias("exposure_summary"), "seq")
-    return verdicts.attach_verdicts(heads, v, "email", ["note", "exposure_summary"])
+    return verdicts.attach_verdicts(heads, views.with_strangers(v), "email", ["note", "exposure_summary"])
 
 
 @query("exposure_rows", """
@@ -244,10 +244,10 @@ def _judged_mentions(spark, sf):
     v = views.table(spark, sf, "events").where("event_type = 'view'").groupBy("user_id").agg(
         F.max("event_id").alias("seq"), F.max_by("value", "event_id").alias("value"))
     v = v.select(
-        F.concat(F.lit("U"), C("user_id").cast("string"), F.lit("||view")).alias("identifier"),
+        F.lit("t").alias("tenant"), F.concat(F.lit("U"), C("user_id").cast("string"), F.lit("||view")).alias("identifier"),
         (C("value") < 20).alias("keep"), F.lit("seen").alias("note"),
         C("value").cast("int").cast("string").alias("exposure_summary"), "seq")
-    return verdicts.filter_mentions(counted, v, "n", ("note", "exposure_summary"))
+    return verdicts.filter_mentions(counted, views.with_strangers(v), "n", ("note", "exposure_summary"))
 
 
 JUDGED = f"""{HEADS},

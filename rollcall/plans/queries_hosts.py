@@ -352,14 +352,15 @@ def _infrastructure(spark, sf):
 
 
 HOST_VERDICTS = """
-    hv AS (SELECT host AS domain, arg_max(lang, seq) AS note, arg_max(scheme, seq) = 'https' AS keep
-           FROM hosts WHERE lang <> 'es' GROUP BY host)"""
+    hv AS (SELECT tenant, host AS domain, arg_max(lang, seq) AS note,
+                  arg_max(scheme, seq) = 'https' AS keep
+           FROM hosts WHERE lang <> 'es' GROUP BY ALL)"""
 
 
 def _host_verdicts(spark, sf):
-    return views.hosts(spark, sf).where("lang <> 'es'").select(
-        F.upper("host").alias("identifier"), (C("scheme") == "https").alias("keep"),
-        C("lang").alias("note"), "seq")
+    return views.with_strangers(views.hosts(spark, sf).where("lang <> 'es'").select(
+        "tenant", F.upper("host").alias("identifier"), (C("scheme") == "https").alias("keep"),
+        C("lang").alias("note"), "seq"))
 
 
 @query("filter_infrastructure", sql("hosts", body=f"""
@@ -367,7 +368,7 @@ def _host_verdicts(spark, sf):
     i AS (SELECT DISTINCT tenant, host AS domain FROM hosts WHERE scheme = 'https' OR lang = 'en')
     SELECT tenant, i.domain, coalesce(keep, true) AS keep,
            coalesce(note, 'not_evaluated_by_model_fail_open') AS note
-    FROM i LEFT JOIN hv USING (domain)"""))
+    FROM i LEFT JOIN hv USING (tenant, domain)"""))
 def _(spark, sf):
     return verdicts.attach_verdicts(
         _infrastructure(spark, sf), _host_verdicts(spark, sf), "domain", ["note"]
@@ -376,9 +377,9 @@ def _(spark, sf):
 
 @query("filter_domains", sql("hosts", body=f"""
     WITH {HOST_VERDICTS}
-    SELECT DISTINCT tenant, host AS domain, coalesce(keep, true) AS keep,
+    SELECT DISTINCT hosts.tenant, host AS domain, coalesce(keep, true) AS keep,
            coalesce(note, 'not_evaluated_by_model_fail_open') AS note
-    FROM hosts LEFT JOIN hv ON hv.domain = host"""))
+    FROM hosts LEFT JOIN hv ON hv.domain = host AND hv.tenant = hosts.tenant"""))
 def _(spark, sf):
     return verdicts.attach_verdicts(
         _domain_table(spark, sf), _host_verdicts(spark, sf), "domain", ["note"]

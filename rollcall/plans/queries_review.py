@@ -399,20 +399,24 @@ def _(spark, sf):
 def _audit(spark, sf):
     warned = verdicts.verdict_warnings(
         QD._verdict_rows(spark, sf), QD._doc_records(spark, sf), "record", "documents")
+    corrected = verdicts.address_warnings(QA._filtered(spark, sf))
     return report.audit_log(_shaped(spark, sf), QD._outcome(spark, sf),
-                            warned.withColumn("tenant", F.lit("all")))
+                            warned.drop("seq").unionByName(corrected))
 
 
-AUDIT = f"""{SHAPED}, {QD.OUTCOME},
+AUDIT = f"""{SHAPED}, {QD.OUTCOME}, {QD.WARNED},
+    correction AS (
+        SELECT tenant, email AS identifier, unnest([{QA.TIER_WARNING}, {QA.CATCH_ALL_WARNING},
+            CASE WHEN guess THEN '[emails] ' || {QA.RECONCILED} || ' (' || email || ')' END]) AS w
+        FROM corrected),
     audit AS (
         SELECT tenant, CASE category WHEN 'domains' THEN 'Domains excluded' WHEN 'emails' THEN 'Emails excluded'
                    ELSE 'Breach records excluded' END AS label, identifier,
                coalesce(note, tier, '-') AS reason
         FROM shaped WHERE NOT keep
         UNION ALL SELECT tenant, 'Documents not usable', filename, error FROM outcome WHERE error <> ''
-        UNION ALL SELECT 'all', 'Pipeline Warnings', CASE WHEN quality = 1 THEN '  ' ELSE 'zz' || doc_id END,
-               CASE WHEN quality = 1 THEN 'missing identifier' ELSE 'identifier not present in input' END
-        FROM labels WHERE toxic = 1)"""
+        UNION ALL SELECT tenant, 'Pipeline Warnings', identifier, warning FROM warned
+        UNION ALL SELECT tenant, 'Pipeline Warnings', identifier, w FROM correction WHERE w IS NOT NULL)"""
 
 
 @query("audit_log", sql("hosts", "addr", "docs", body=f"WITH {AUDIT} SELECT * FROM audit"))
@@ -457,6 +461,8 @@ def _scored(spark, sf):
 def _(spark, sf):
     records, scores = _scored(spark, sf)
     return verdicts.attach_verdicts(
-        records, scores.where("error is null"), "record").select("record", "keep", "note")
+        records.withColumn("tenant", F.lit("t")),
+        scores.where("error is null").withColumn("tenant", F.lit("t")), "record").select(
+        "record", "keep", "note")
 
 

@@ -260,3 +260,15 @@ def review_status(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("status")
     ).select(F.lit("raw_documents").alias("source_table"), "tenant", "record_key", "status",
              F.timestamp_seconds(F.lit(0)).alias("reviewed_at"))
+
+
+def with_strangers(verdicts: DataFrame) -> DataFrame:
+    """The verdicts, and their opposites under a tenant that has none of the records.
+
+    The same identifiers then stand under two tenants with different verdicts, the strangers' ones
+    later; they must decide nothing.
+    """
+    boolean = dict(verdicts.dtypes)["keep"] == "boolean"
+    return verdicts.unionByName(verdicts.withColumn("tenant", F.lit("elsewhere")).withColumn(
+        "keep", ~F.col("keep") if boolean else F.parse_json(F.lit("false"))).withColumn(
+        "seq", F.col("seq") + 5_000_000_000))

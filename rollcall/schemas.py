@@ -81,12 +81,12 @@ REVIEW_STATUS = (
     "reviewed_at timestamp"
 )
 VERDICTS = (
-    "category string, identifier string, keep variant, tier string, note string, "
+    "tenant string, category string, identifier string, keep variant, tier string, note string, "
     "exposure_summary string, connection_to_target string, key_facts array<string>, "
     "ips array<string>, asns array<string>, whois_data array<string>, "
     "banners_and_tech array<string>"
 )
-WARNINGS = "category string, identifier string, warning string"
+WARNINGS = "tenant string, category string, identifier string, warning string"
 # a raw profile item as the search tool returns it
 _DATE = "struct<text:string>"
 RAW_PROFILE = (

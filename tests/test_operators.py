@@ -173,11 +173,12 @@ def test_keyword_across_titles(spark):
 
 def verdict_table(spark, data):
     df = spark.createDataFrame(data, "identifier string, k string, tier string, note string, seq bigint")
-    return df.withColumn("keep", F.parse_json("k")).drop("k")
+    return df.withColumn("keep", F.parse_json("k")).drop("k").withColumn("tenant", F.lit("t"))
 
 
 def test_grounding_and_fail_open(spark):
-    recs = spark.createDataFrame([("A",), ("b",), ("c",), ("",), (None,)], "id string")
+    recs = spark.createDataFrame([("A",), ("b",), ("c",), ("",), (None,)], "id string").withColumn(
+        "tenant", F.lit("t"))
     v = verdict_table(spark, [(" a ", "false", None, "n", 0), ("zz", "true", None, None, 1),
                               ("b", '"no"', None, "m", 2), ("", "false", None, None, 3)])
     got = {r.id: (r.keep, r.note) for r in verdicts.attach_verdicts(recs, v, "id").collect()}
@@ -187,6 +188,20 @@ def test_grounding_and_fail_open(spark):
     assert sorted(r.identifier for r in warned.collect()) == ["", "zz"]
 
 
+def test_a_verdict_stays_with_its_tenant(spark):
+    """Two tenants with one name: neither verdicts nor grounding cross over."""
+    recs = spark.createDataFrame([("a", "John Smith"), ("b", "John Smith"), ("b", "Only B")],
+                                 "tenant string, id string")
+    v = verdict_table(spark, [("john smith", "false", None, "a's", 9), ("only b", "true", None, "", 8)])
+    v = v.withColumn("tenant", F.lit("a")).unionByName(
+        verdict_table(spark, [("john smith", "true", None, "b's", 1)]).withColumn("tenant", F.lit("b")))
+    got = {(r.tenant, r.id): (r.keep, r.note) for r in verdicts.attach_verdicts(recs, v, "id").collect()}
+    assert got == {("a", "John Smith"): (False, "a's"), ("b", "John Smith"): (True, "b's"),
+                   ("b", "Only B"): (True, "not_evaluated_by_model_fail_open")}
+    warned = verdicts.verdict_warnings(v, recs, "id", "x").collect()
+    assert [(w.tenant, w.identifier) for w in warned] == [("a", "only b")]
+
+
 EMAIL = ("email string, sources array<string>, validation_status string, confidence double, "
          "keep boolean, tier string, note string")
 
@@ -213,6 +228,7 @@ def test_structural_exclusion_at_a_catch_all_becomes_speculative(spark):
     df = spark.createDataFrame(
         [("a@mail.x.com", ["s"], "smtp_inconclusive_catchall", 0.0)],
         "email string, sources array<string>, validation_status string, confidence double")
+    df = df.withColumn("tenant", F.lit("t"))
     r = verdicts.filter_addresses(df, verdict_table(spark, [("q", "true", None, None, 0)])).first()
     assert (r.keep, r.tier) == (False, "speculative")
 
