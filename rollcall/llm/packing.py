@@ -17,7 +17,9 @@ gives no rows; a text of any length is encoded whole.
 from __future__ import annotations
 
 import os
+import re
 import struct
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -44,29 +46,48 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
-# How the vocabulary file splits lower-cased text (its own pattern).
-SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
-# texts without these characters and the vocabulary's special marks are lower-cased and composed
-# by Python as by the vocabulary's normaliser
-ODD = r"[^\t-\r -~\u00a0-\u017f]"
+# Texts of these characters, without the vocabulary's special marks, are lower-cased, composed and
+# split by Python as by the vocabulary file.
+PLAIN = [*map(chr, range(9, 14)), *map(chr, range(32, 127)), *map(chr, range(0xA0, 0x180))]
+
+
+def splitter() -> tuple[re.Pattern, re.Pattern]:
+    """(pattern of a part, pattern of a character that is not plain).
+
+    Fixed value: the vocabulary file splits by 's|'t|'re|'ve|'m|'ll|'d|\\p{L}+|\\p{N}|[^\\s\\p{L}\\p{N}]+;
+    letters begin no other alternative and may come first, where they are found sooner.
+    """
+    kinds: dict[str, str] = {"L": "", "N": "", "": ""}
+    for c in PLAIN:
+        if not c.isspace():
+            kind = unicodedata.category(c)[0]
+            kinds[kind if kind in "LN" else ""] += re.escape(c)
+    part = f"[{kinds['L']}]+|'s|'t|'re|'ve|'m|'ll|'d|[{kinds['N']}]|[{kinds['']}]+"
+    return re.compile(part), re.compile(f"[^{re.escape(''.join(PLAIN))}]")
 
 
 class Encoder:
     """Ids of texts as little-endian 32-bit bytes, with the encodings of words remembered.
 
-    The vocabulary lower-cases, splits by ``SPLIT`` and encodes the parts one by one; the parts of
-    a text are looked up, new ones encoded together.  Texts with ``ODD`` characters or a
+    The vocabulary lower-cases, splits and encodes the parts one by one; the parts of a text are
+    looked up, new ones encoded together.  Texts with other than ``PLAIN`` characters or with a
     special mark are encoded as they are.
     """
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        import regex
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.split = regex.compile(SPLIT).findall
-        self.odd = regex.compile(ODD).search
+        # for parts, which need no more lower-casing and splitting
+        self.parts = Tokenizer.from_file(path)
+        self.parts.normalizer = normalizers.Sequence([])
+        self.parts.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False,
+                                                            use_regex=False)
+        part, odd = splitter()
+        self.split, self.odd = part.findall, odd.search
+        self.last = np.zeros(self.parts.get_vocab_size(), bool)
+        self.last[[i for word, i in self.parts.get_vocab().items() if word.endswith("</w>")]] = True
         self.kept: dict[str, bytes] = {}
 
     def __call__(self, text: str | None) -> bytes:
@@ -91,8 +112,7 @@ class Encoder:
         if len(kept) + len(new) > KEPT_WORDS:
             kept = self.kept = {}
             new = list(words)
-        encoded = self.tokenizer.encode_batch_fast(new, add_special_tokens=False) if new else []
-        kept.update(zip(new, [struct.pack(f"<{len(i)}I", *i) for i in (e.ids for e in encoded)]))
+        kept.update(zip(new, self._encoded(new)))
         for text, own in zip(texts, parts):
             if own is None:
                 ids = self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -100,6 +120,21 @@ class Encoder:
             else:
                 yield b"".join(map(kept.__getitem__, own))
 
+    def _encoded(self, parts: list[str]) -> Iterator[bytes]:
+        for lo in range(0, len(parts), 1000):
+            some = parts[lo:lo + 1000]
+            ids = np.array(self.parts.encode_batch_fast(
+                [some], is_pretokenized=True, add_special_tokens=False)[0].ids, "<u4")
+            ends = np.flatnonzero(self.last[ids]) + 1      # a part's last id says so
+            if len(ends) != len(some):
+                for e in self.parts.encode_batch_fast(some, add_special_tokens=False):
+                    yield np.array(e.ids, "<u4").tobytes()
+                continue
+            raw, at = ids.tobytes(), 0
+            for end in (4 * ends).tolist():
+                yield raw[at:end]
+                at = end
+
     def _parts(self, text: str | None) -> list[str] | None:
         """Parts as the vocabulary would split; none where Python may differ."""
         if not text:
