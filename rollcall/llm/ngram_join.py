@@ -14,13 +14,13 @@ groups hold, (1) such elements of the high part, (2) hot elements.
 * Groups with fewer than p cold low elements do the same with their high elements in round 2,
   among themselves; a pair with any other group has met in round 1 already.
 * Sets of which 3/4 are hot (large clusters of near copies) may share hot elements only.  They are
-  joined on their first p elements, but never all pairs: every set is first compared with a few
-  pivots, and then only sets of different components within an element.
+  joined on their first p elements, those rarest among them first, but never all pairs: every set
+  is compared with a few pivots, and then only sets of different components within an element.
 * Candidates are verified on the member sets, best partner first, then whatever still lies in
   different components.  Links within one component need no check: they change nothing.
 
 Nothing per document comes to the driver.  Which documents to read again is told to the scans by a
-filter of fixed size (``FILTER_BITS``); what it lets through wrongly does no harm.
+filter of fixed size (``common.FILTER_BITS``); what it lets through wrongly does no harm.
 
 Defined results: a null or wordless text has no set, size 0 and its own component; fewer than five
 words are one shingle; rows without an id link with nothing and have a null component; repeated
@@ -34,17 +34,16 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import free_name, handed_out, written
+from rollcall.llm.common import id_filter, passing, written
 from rollcall.llm.components import components
 
 WORDS = 5
 LOW = 0.30                 # share of the hash range that is "low"
 HOT = 24                   # an element of more groups is hot
-FILTER_BITS = 26
-PIVOTS, PIVOT_ELEMENTS = 3, 6
+PIVOTS, PIVOT_ELEMENTS = 2, 4
 
 _A = [np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9),
       np.uint64(0x27D4EB2F165667C5), np.uint64(0x85EBCA77C2B2AE63)]
@@ -116,44 +115,6 @@ def members(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, n long, low long, fp long, g long")
 
 
-def id_filter(ids: DataFrame, bits: int = FILTER_BITS):
-    """Filter of fixed size over the single long column of ``ids``: inside tasks, an array of
-    64-bit words; see ``may_hold``."""
-    col = F.col(ids.columns[0])
-    places = F.array(*[F.pmod(F.xxhash64(col, F.lit(k)), F.lit(1 << bits)) for k in range(3)])
-    at = ids.select(F.explode(places).alias("at"), col.alias("id"))
-    words = at.groupBy(F.shiftright("at", 6).alias("word")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(at % 64 as int))")).alias("b"))
-    got = words.toPandas()                                  # at most 2^bits / 64 rows
-    flat = np.zeros(1 << (bits - 6), np.int64)
-    flat[got["word"].to_numpy()] = got["b"].to_numpy()
-    return flat
-
-
-def marked(docs: DataFrame, flat: np.ndarray, out: str, bits: int = FILTER_BITS) -> DataFrame:
-    """``docs`` with whether the filter may hold the doc_id; false for a null one."""
-    give = handed_out(docs, flat)
-
-    @F.pandas_udf("boolean")
-    def may_hold(first, second, third):
-        words = give()
-        ok = np.ones(len(first), bool)
-        for p in (first, second, third):
-            at = p.to_numpy()
-            ok &= (words[at >> 6] >> (at & 63)) & 1 == 1
-        return type(first)(ok)
-
-    doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(0))
-    places = [F.pmod(F.xxhash64(doc, F.lit(k)), F.lit(1 << bits)) for k in range(3)]
-    return docs.withColumn(out, F.col("doc_id").isNotNull() & may_hold(*places))
-
-
-def passing(docs: DataFrame, flat: np.ndarray) -> DataFrame:
-    """Rows whose doc_id the filter may hold; the others end in the scan."""
-    slot = free_name(docs, "_asked")
-    return marked(docs, flat, slot).where(F.col(slot)).drop(slot)
-
-
 def element_rows(docs: DataFrame, part: str, hot: int) -> DataFrame:
     """(element, g, n) of the groups' low or high elements.
 
@@ -337,7 +298,12 @@ def _p(n):
 
 
 def hot_set_elements(docs: DataFrame) -> DataFrame:
-    """(element, fp, n, k): the first p elements of each set, in hash order, k-th each."""
+    """(element, fp, n, first, last): shared ones of the first p elements of each set.
+
+    The order is by how many of these sets have the element, then by hash, so that what very many
+    share comes last.  Elements that no other set has need no row.  ``first`` and ``last`` number
+    a set's rows from either end.
+    """
 
     def run(batches):
         for batch in batches:
@@ -350,36 +316,56 @@ def hot_set_elements(docs: DataFrame) -> DataFrame:
                 if fp in seen:
                     continue
                 seen.add(fp)
-                own = s[:prefix_size(len(s))]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(own), pa.array(np.full(len(own), fp)),
-                     pa.array(np.full(len(own), len(s))), pa.array(np.arange(len(own)))],
-                    names=["element", "fp", "n", "k"])
+                    [pa.array(s), pa.array(np.full(len(s), fp)),
+                     pa.array(np.full(len(s), len(s)))], names=["element", "fp", "n"])
+
+    rows = written(docs.select("text").mapInArrow(run, "element long, fp long, n long").distinct(),
+                   "hot-sets")
+    counts = rows.groupBy("element").agg(F.count(F.lit(1)).alias("df"))
+    place = Window.partitionBy("fp").orderBy("df", "element")       # within one set
+    ranked_ = rows.join(counts, "element").withColumn("k", F.row_number().over(place) - 1).where(
+        (F.col("k") < _p(F.col("n"))) & (F.col("df") > 1))
+    up, down = (Window.partitionBy("fp").orderBy(o) for o in (F.asc("k"), F.desc("k")))
+    return written(ranked_.withColumn("first", F.row_number().over(up) - 1).withColumn(
+        "last", F.row_number().over(down) - 1).drop("df", "k"), "hot-elements")
+
 
-    rows = docs.select("text").mapInArrow(run, "element long, fp long, n long, k long")
-    return written(rows.distinct(), "hot-sets")
+def _reach(a: str, b: str, shared):
+    """Whether ``shared`` of both first p elements can still be 3/4 with all that come after.
+
+    Whatever else is shared comes after the end of the prefix that ends first in the common order,
+    so it is among the rest of that set, whichever it is.
+    """
+    n = [F.col(f"{side}.n") for side in (a, b)]
+    after = F.greatest(*[x - _p(x) for x in n])
+    return (4 * F.least(*n) >= 3 * F.greatest(*n)) & (7 * (shared + after) >= 3 * (n[0] + n[1]))
 
 
-def _may_link(a: str, b: str):
-    """Sizes and positions of a shared element still allow 3/4."""
-    size = 4 * F.least(f"{a}.n", f"{b}.n") >= 3 * F.greatest(f"{a}.n", f"{b}.n")
-    rest = F.least(F.col(f"{a}.n") - F.col(f"{a}.k"), F.col(f"{b}.n") - F.col(f"{b}.k"))
-    return size & (7 * (F.least(f"{a}.k", f"{b}.k") + rest)
-                   >= 3 * (F.col(f"{a}.n") + F.col(f"{b}.n")))
+def _may_link(a: str, b: str, first: bool):
+    """Whether two rows of one element (the first they share, or any) allow their sets to link."""
+    after = F.least(f"{a}.last", f"{b}.last") + 1
+    return _reach(a, b, after if first else after + F.least(f"{a}.first", f"{b}.first"))
 
 
 def pivot_pairs(rows: DataFrame) -> DataFrame:
-    """(x, y): each set with a few pivots of its first elements."""
+    """(x, y): each set with a few pivots of its rarest and of its most common elements.
+
+    A pivot is the set with the least hash of element, set and seed, so that elements of the same
+    sets have different pivots.
+    """
+    some = rows.where((F.col("first") < PIVOT_ELEMENTS) | (F.col("last") < PIVOT_ELEMENTS))
     out = None
     for seed in range(PIVOTS):
+        h = F.xxhash64("fp", "element", F.lit(seed))
         pivot = rows.groupBy("element").agg(
-            F.min(F.struct(F.xxhash64("fp", F.lit(seed)).alias("h"), "fp", "n", "k")).alias("p"))
-        pivot = pivot.select(F.col("element"), "p.fp", "p.n", "p.k")
-        some = rows.where(F.col("k") < PIVOT_ELEMENTS).alias("l").join(
+            F.min(F.struct(h.alias("h"), "fp", "n", "first", "last")).alias("p"))
+        pivot = pivot.select("element", "p.*")
+        met_ = some.alias("l").join(
             pivot.alias("r"), F.col("l.element") == F.col("r.element")).where(
-            (F.col("l.fp") != F.col("r.fp")) & _may_link("l", "r")).select(
+            (F.col("l.fp") != F.col("r.fp")) & _may_link("l", "r", first=False)).select(
             F.col("l.fp").alias("x"), F.col("r.fp").alias("y"))
-        out = some if out is None else out.union(some)
+        out = met_ if out is None else out.union(met_)
     return out
 
 
@@ -387,7 +373,8 @@ def across(rows: DataFrame, roots: DataFrame) -> DataFrame:
     """(x, y) of sets in different components that share an element.
 
     Within an element the largest component's sets are never paired with each other, nor are
-    elements of one component touched at all.
+    elements of one component touched at all.  A pair meets only at elements that can be the first
+    they share, going by how many of each set's rows come after.
     """
     own = rows.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
         "root", F.coalesce("root", "fp"))
@@ -402,7 +389,7 @@ def across(rows: DataFrame, roots: DataFrame) -> DataFrame:
         few.alias("r"), F.col("l.element") == F.col("r.element")).where(
         (F.col("l.root") != F.col("r.root"))
         & ((F.col("l.root") == F.col("l.top")) | (F.col("l.fp") < F.col("r.fp")))
-        & _may_link("l", "r")).select(F.col("l.fp").alias("x"), F.col("r.fp").alias("y"))
+        & _may_link("l", "r", first=True)).select(F.col("l.fp").alias("x"), F.col("r.fp").alias("y"))
 
 
 def join(docs: DataFrame, hot: int = HOT) -> DataFrame:

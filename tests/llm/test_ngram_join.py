@@ -3,7 +3,7 @@ import pytest
 from helpers import empty_documents, odd_documents, words
 
 from rollcall.llm import components, ngram_join
-from rollcall.llm.common import table
+from rollcall.llm.common import id_filter, passing, table
 
 
 def shingles(text):
@@ -95,5 +95,5 @@ def test_components_of_chains_and_stars(spark):
 def test_filter_holds_what_was_put_in(spark):
     ids = spark.range(0, 5000, 7).toDF("id")
     docs = spark.range(5000).selectExpr("id as doc_id", "'t' as text")
-    held = {r.doc_id for r in ngram_join.passing(docs, ngram_join.id_filter(ids)).collect()}
+    held = {r.doc_id for r in passing(docs, id_filter(ids)).collect()}
     assert held >= set(range(0, 5000, 7)) and len(held) < 1000
