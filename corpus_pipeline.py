@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rollcall.llm import decontam, ngram_join, packing, secrets, toxicity
-from rollcall.llm.common import free_name, table, written
+from rollcall.llm.common import free_name, id_filter, marked, table, written
 
 ORACLE_SQL = None        # classifiers, edit matching and packing have no SQL form
 
@@ -37,9 +37,9 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
         F.min("component_id").alias("first"), F.count(F.lit(1)).alias("rows"))
     judged = written(per_id.where("first < doc_id or rows > 1").select(
         F.col("doc_id").alias("id"), (F.col("first") < F.col("doc_id")).alias("gone")), "judged")
-    flat = ngram_join.id_filter(judged.select("id"))
+    flat = id_filter(judged.select("id"))
     asked = free_name(docs, "_asked")
-    marked = ngram_join.marked(docs, flat, asked)
+    marked = marked(docs, flat, asked)
     clear = marked.where(~F.col(asked)).drop(asked)
     rest = marked.where(F.col(asked)).drop(asked)
     turn = free_name(docs, "_turn")
