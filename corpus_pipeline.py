@@ -39,9 +39,9 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
         F.col("doc_id").alias("id"), (F.col("first") < F.col("doc_id")).alias("gone")), "judged")
     flat = id_filter(judged.select("id"))
     asked = free_name(docs, "_asked")
-    marked = marked(docs, flat, asked)
-    clear = marked.where(~F.col(asked)).drop(asked)
-    rest = marked.where(F.col(asked)).drop(asked)
+    every = marked(docs, flat, asked)
+    clear = every.where(~F.col(asked)).drop(asked)
+    rest = every.where(F.col(asked)).drop(asked)
     turn = free_name(docs, "_turn")
     one = Window.partitionBy("doc_id").orderBy("text")
     kept = rest.join(judged.where("gone").select(F.col("id").alias("doc_id")), "doc_id",
