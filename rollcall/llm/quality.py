@@ -22,7 +22,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.llm import linear
-from rollcall.llm.common import free_name, handed_out, per_batch, with_fields
+from rollcall.llm.common import (
+    free_name,
+    handed_out,
+    id_filter,
+    passing,
+    per_batch,
+    with_fields,
+    written,
+)
 from rollcall.llm.textgrams import Distinct, quality_features
 
 BITS = 18
@@ -45,10 +53,22 @@ class Model:
 
 
 def label_rows(docs: DataFrame, labels: DataFrame, mark: str, lowest: bool = True) -> DataFrame:
-    """(doc_id, text, y) of the documents that ``labels`` marks; the large side is on the left."""
+    """(doc_id, text, y, first) of the documents that ``labels`` marks, written once.
+
+    ``first`` is true for one row of each label and wording, so that copies can be counted once.
+    Most texts without a label end in the scan, by a filter of fixed size; the rest meet the marks
+    in one shuffle, with the large side on the left.
+    """
     marks = labels.where(F.col(mark).isNotNull() & F.col("doc_id").isNotNull()).groupBy(
         "doc_id").agg((F.min if lowest else F.max)(mark).cast("int").alias("y"))
-    return docs.select("doc_id", "text").join(marks, "doc_id")
+    rows = passing(docs.select("doc_id", "text"), id_filter(marks.select("doc_id")))
+    hashes = rows.select("doc_id", F.xxhash64("text").alias("h")).join(marks, "doc_id")
+    first = hashes.groupBy("h", "y").agg(F.min("doc_id").alias("doc_id")).select(
+        "doc_id", F.lit(True).alias("first")).distinct()
+    marks = marks.join(first, "doc_id", "left").withColumn(
+        "first", F.coalesce("first", F.lit(False)))
+    # marks have no bound: never broadcast, so the plan is the same at every size
+    return written(rows.join(marks.hint("merge"), "doc_id"), "labelled")
 
 
 def feature_counts(rows: DataFrame, features, bits: int) -> DataFrame:

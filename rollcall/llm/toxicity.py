@@ -105,7 +105,7 @@ def thirds(hits: np.ndarray) -> np.ndarray:
 
 def fit(docs: DataFrame, labels: DataFrame, mark: str = "toxic", per_class: int = SAMPLE) -> Model:
     rows = label_rows(docs, labels, mark, lowest=False)
-    counts = feature_counts(rows.dropDuplicates(["text"]), word_features, BITS)
+    counts = feature_counts(rows.where("first"), word_features, BITS)
     totals = rows.groupBy((F.col("y") > 0).alias("hit")).count().collect()
     total = {bool(r[0]): r[1] for r in totals}
     n1, n0 = total.get(True, 0), total.get(False, 0)
