@@ -49,10 +49,19 @@ def slim_mentions(counts: DataFrame) -> DataFrame:
     )
 
 
-def compact_person(df: DataFrame) -> DataFrame:
-    """Identifier, first six positions in four fields, 400 characters of text, six services."""
+def _first(items: Column, n: int | None) -> Column:
+    """The first ``n`` elements; all without a limit."""
+    return items if n is None else F.slice(items, 1, n)
+
+
+def compact_person(
+    df: DataFrame, positions: int | None = None, characters: int | None = None,
+    services: int | None = None,
+) -> DataFrame:
+    """Identifier, positions in four fields, text and services; limits are the caller's choice."""
+    about = F.coalesce("about", F.lit(""))
     short = F.transform(
-        F.slice("all_positions", 1, 6),
+        _first(F.col("all_positions"), positions),
         lambda p: F.struct(p["title"].alias("title"), p["company_name"].alias("company_name"),
                            p["start_date"].alias("start_date"), p["end_date"].alias("end_date")),
     )
@@ -63,8 +72,8 @@ def compact_person(df: DataFrame) -> DataFrame:
         F.coalesce(short, none.cast(
             "array<struct<title:string,company_name:string,start_date:string,end_date:string>>"
         )).alias("recent_positions"),
-        F.left(F.coalesce("about", F.lit("")), F.lit(400)).alias("about_excerpt"),
-        F.coalesce(F.slice("services_offered", 1, 6), none.cast("array<string>"))
+        (about if characters is None else F.left(about, F.lit(characters))).alias("about_excerpt"),
+        F.coalesce(_first(F.col("services_offered"), services), none.cast("array<string>"))
         .alias("services_offered"),
     )
 
@@ -77,15 +86,20 @@ def _is_report(data: Column) -> Column:
     )
 
 
-def exposure_findings(elements: Column) -> Column:
-    """Array of findings from at most five exposure groups given as an array of VARIANT.
+def exposure_findings(
+    elements: Column, groups: int | None = None, items: int | None = None,
+    details: int | None = None,
+) -> Column:
+    """Array of findings from exposure groups given as an array of VARIANT.
+
+    ``groups``, ``items`` of a group and ``details`` of a report may be limited to the first ones.
 
     Each finding is struct(source, kind, type, module, data, report, details) with JSON text in
     ``data``; ``kind`` is structured_breach_report, empty, raw_event or unknown.
     """
 
     def finding(source=None, what="unknown", type_=None, module=None, data=None, report=None,
-                details=None) -> Column:
+                listed=None) -> Column:
         def text(x):
             return (F.lit(None) if x is None else x).cast("string")
 
@@ -95,14 +109,14 @@ def exposure_findings(elements: Column) -> Column:
             text(source).alias("source"), F.lit(what).alias("kind"), text(type_).alias("type"),
             text(module).alias("module"), text(data).alias("data"),
             (F.lit(None) if report is None else report).cast(report_type).alias("report"),
-            (F.lit(None) if details is None else details).cast(detail_type).alias("details"),
+            (F.lit(None) if listed is None else listed).cast(detail_type).alias("details"),
         )
 
     def report_of(data: Column) -> Column:
         return F.struct(*[text_of(data, f"$.{v}").alias(k) for k, v in REPORT_FIELDS.items()])
 
     def details_of(data: Column) -> Column:
-        listed = F.slice(as_list(F.try_variant_get(data, "$.breachDetails", "variant")), 1, 10)
+        listed = _first(as_list(F.try_variant_get(data, "$.breachDetails", "variant")), details)
         return F.transform(
             F.filter(listed, lambda d: kind(d) == "OBJECT"),
             lambda d: F.struct(*[text_of(d, f"$.{f}").alias(f) for f in DETAIL_FIELDS]),
@@ -112,7 +126,7 @@ def exposure_findings(elements: Column) -> Column:
         type_ = text_of(g, "$.type")
         source = first_truthy(text_of(g, "$.source"), type_)
         data = F.try_variant_get(g, "$.data", "variant")
-        items = F.slice(as_list(data), 1, 5)
+        shown = _first(as_list(data), items)
 
         def event(i: Column) -> Column:
             is_obj = kind(i) == "OBJECT"
@@ -131,12 +145,12 @@ def exposure_findings(elements: Column) -> Column:
             F.when(kind(g) != "OBJECT", F.array(finding(data=F.to_json(g))))
             .when(F.coalesce(_is_report(data), F.lit(False)), F.array(finding(
                 source, "structured_breach_report", report=report_of(data),
-                details=details_of(data))))
-            .when(F.size(items) == 0, F.array(finding(source, "empty", type_)))
-            .otherwise(F.transform(items, event))
+                listed=details_of(data))))
+            .when(F.size(shown) == 0, F.array(finding(source, "empty", type_)))
+            .otherwise(F.transform(shown, event))
         )
 
-    return F.flatten(F.transform(F.slice(elements, 1, 5), group_findings))
+    return F.flatten(F.transform(_first(elements, groups), group_findings))
 
 
 def compact_mentions(heads: DataFrame, first_ten: DataFrame) -> DataFrame:
@@ -151,10 +165,10 @@ def compact_mentions(heads: DataFrame, first_ten: DataFrame) -> DataFrame:
     )
 
 
-def compact_certificates(issuances: Column, limit: int = 15) -> Column:
-    """First certificate records without hash and id fields; issuer by its friendly name."""
+def compact_certificates(issuances: Column, limit: int | None = None) -> Column:
+    """Certificate records without hash and id fields; issuer by its friendly name."""
     return F.transform(
-        F.slice(issuances, 1, limit),
+        _first(issuances, limit),
         lambda e: F.struct(
             e["dns_names"].alias("dns_names"),
             first_truthy(e["issuer"]["friendly_name"], e["issuer"]["name"]).alias("issuer"),

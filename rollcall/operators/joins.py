@@ -35,7 +35,8 @@ from rollcall.functions.names import capitalize, name_terms, person_parts
 from rollcall.functions.text import first_truthy, let, strip_space
 
 HOT_ROWS = 1_000_000
-MAX_HOT_KEYS = 10_000
+NULL_SALTS = 1024
+SALTED_KINDS = ("left", "inner", "left_semi", "left_anti")
 
 
 def salted_join(
@@ -45,31 +46,35 @@ def salted_join(
     spread_by: str,
     how: str = "left",
     hot_rows: int = HOT_ROWS,
-    salts: int = 64,
 ) -> DataFrame:
-    """Equi-join whose hot keys are spread over ``salts`` tasks.
-
-    Keys with ``hot_rows`` rows or more are found by a column-pruned count; at most
-    ``MAX_HOT_KEYS`` of them (the hottest) are broadcast, which bounds the broadcast whatever the
-    data.  Only their lookup rows are replicated.  A key missing from that list is joined
-    unsalted: slower, never wrong.  ``spread_by`` must differ between rows of one key.
-    The count reads ``facts`` once more, so use it where ``facts`` is (close to) a scan.
+    """Equi-join whose hot keys are spread over tasks of about ``hot_rows`` rows each.
+
+    Keys with more rows are found by a column-pruned count; there are at most rows / ``hot_rows``
+    of them, and Spark broadcasts their list only while it is small.  A key gets as many salts as
+    its count asks for, and its lookup rows are copied once per salt, which is why joins that keep
+    unmatched lookup rows are refused.  Null keys match nothing and are spread as they are.
+    ``spread_by`` must differ between rows of one key.  The count reads ``facts`` once more, so use
+    it where ``facts`` is (close to) a scan.
     """
+    if how not in SALTED_KINDS:
+        raise ValueError(f"salted_join supports {', '.join(SALTED_KINDS)}, not {how}")
     hot = (
         facts.select(*on).groupBy(*on).agg(F.count("*").alias("_n"))
         .where(F.col("_n") >= hot_rows)
-        .orderBy(F.desc("_n")).limit(MAX_HOT_KEYS)
-        .select(*on, F.lit(True).alias("_hot"))
+        .select(*on, F.ceil(F.col("_n") / hot_rows).cast("int").alias("_salts"))
     )
-    salt = F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int")
-    left = facts.join(F.broadcast(hot), on, "left").withColumn(
-        "_salt", F.when(F.col("_hot"), salt).otherwise(0)
-    ).drop("_hot")
-    right = lookup.join(F.broadcast(hot), on, "left").withColumn(
+    spread = F.xxhash64(spread_by)
+    blank = F.lit(False)
+    for key in on:
+        blank = blank | F.col(key).isNull()
+    left = facts.join(hot, on, "left").withColumn(
+        "_salt", F.when(blank, -1 - F.pmod(spread, F.lit(NULL_SALTS)))
+        .otherwise(F.coalesce(F.pmod(spread, F.col("_salts")), F.lit(0))).cast("int")
+    ).drop("_salts")
+    right = lookup.join(hot, on, "left").withColumn(
         "_salt",
-        F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
-                  .otherwise(F.array(F.lit(0)))),
-    ).drop("_hot")
+        F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)),
+    ).drop("_salts")
     return left.join(right, [*on, "_salt"], how).drop("_salt")
 
 
@@ -157,12 +162,13 @@ def catch_all_domains(addresses: DataFrame, probes: DataFrame) -> DataFrame:
 
 
 def apply_catch_all(addresses: DataFrame, domains: DataFrame) -> DataFrame:
-    """Addresses at a catch-all domain: status forced, confidence 0."""
-    flagged = salted_join(
-        addresses.withColumn("_d", mailbox_domain(F.col("email"))),
-        domains.select(F.col("domain").alias("_d"), F.lit(True).alias("_c")),
-        ["_d"], "seq",
-    )
+    """Addresses at a catch-all domain: status forced, confidence 0.
+
+    The addresses are the outcome of a chain, so they are not counted first; the domains are few,
+    Spark broadcasts them by their size, and AQE splits a hot domain on the left otherwise.
+    """
+    flagged = addresses.withColumn("_d", mailbox_domain(F.col("email"))).join(
+        domains.select(F.col("domain").alias("_d"), F.lit(True).alias("_c")), "_d", "left")
     hit = F.coalesce("_c", F.lit(False))
     return (
         flagged

@@ -150,7 +150,7 @@ def _(spark, sf):
     })
     groups = F.array(F.parse_json(group))
     out = views.table(spark, sf, "events").select(
-        "event_id", F.posexplode(compact.exposure_findings(groups)).alias("i", "f"))
+        "event_id", F.posexplode(compact.exposure_findings(groups, 5, 5, 10)).alias("i", "f"))
     return out.select(
         "event_id", "i", "f.source", "f.kind", "f.type", "f.data",
         C("f.report.breach_count").alias("breach_count"),

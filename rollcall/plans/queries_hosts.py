@@ -400,7 +400,7 @@ def _(spark, sf):
         C("lang").alias("not_before"), C("scheme").alias("not_after"),
         (C("scheme") == "http").alias("revoked"))
     out = views.hosts(spark, sf).select(
-        "seq", F.inline(compact.compact_certificates(F.array(record))))
+        "seq", F.inline(compact.compact_certificates(F.array(record), 15)))
     return out.select("seq", joined("dns_names"), "issuer", "not_before", "revoked")
 
 

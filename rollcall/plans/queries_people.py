@@ -181,7 +181,7 @@ def _(spark, sf):
            left(p_type, 400) AS about_excerpt, pr || ',' || p_type AS services_offered
     FROM tiered"""))
 def _(spark, sf):
-    out = compact.compact_person(classify.classify(_named(spark, sf)))
+    out = compact.compact_person(classify.classify(_named(spark, sf)), 6, 400, 6)
     return out.select(
         "identifier", "name", "job_title", "matched_domain", "employee_tier", "tier_reason",
         F.size("recent_positions").alias("n_positions"),

@@ -25,11 +25,18 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared folder for written intermediates: the cluster's own setting first."""
+    """Shared folder for written intermediates: the cluster's own setting first.
+
+    Only a local master, where driver and executors share one disk, may do without the setting.
+    """
     found = spark.conf.get("spark.checkpoint.dir", "")
     if not found:
         found = spark.sparkContext.getConf().get("spark.checkpoint.dir", "")
-    return found or tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+    if found:
+        return found
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return tempfile.mkdtemp(prefix="spark-", dir="/tmp")
 
 
 def local_session(cpus: int = 8, **conf: str) -> SparkSession:

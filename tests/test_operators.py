@@ -90,21 +90,39 @@ def test_patterns(spark):
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
 def test_salted_join_equals_the_plain_join(spark, how):
     facts = spark.range(3000).select(
-        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), (F.col("id") % 50).cast("string")))
+        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 7 == 0, None).otherwise(F.concat(F.lit("k"), (F.col("id") % 50).cast("string")))
         .alias("k"), F.col("id").alias("seq"))
     lookup = spark.createDataFrame([("hot", 1), ("k1", 2), ("k2", 3)], "k string, v int")
     plain = facts.join(lookup, "k", how)
-    salted = joins.salted_join(facts, lookup, ["k"], "seq", how, hot_rows=500, salts=4)
+    salted = joins.salted_join(facts, lookup, ["k"], "seq", how, hot_rows=250)
     assert rows(salted.select(*plain.columns)) == rows(plain)
 
 
+@pytest.mark.parametrize("how", ["right", "full"])
+def test_salted_join_refuses_to_keep_unmatched_lookup_rows(spark, how):
+    df = spark.createDataFrame([("a", 1)], "k string, seq int")
+    with pytest.raises(ValueError, match="not " + how):
+        joins.salted_join(df, df, ["k"], "seq", how)
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    from rollcall.plans.session import checkpoint_dir
+
+    conf = SimpleNamespace(get=lambda key, default=None: default)
+    context = SimpleNamespace(master="spark://host:7077", getConf=lambda: conf)
+    with pytest.raises(ValueError, match="share"):
+        checkpoint_dir(SimpleNamespace(conf=conf, sparkContext=context))
+
+
 def test_salted_join_spreads_the_hot_key(spark):
     facts = spark.range(1000).select(F.lit("hot").alias("k"), F.col("id").alias("seq"))
     lookup = spark.createDataFrame([("hot", 1)], "k string, v int")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        out = joins.salted_join(facts, lookup, ["k"], "seq", hot_rows=10, salts=16)
+        out = joins.salted_join(facts, lookup, ["k"], "seq", hot_rows=60)
         parts = out.groupBy(F.spark_partition_id()).count().count()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
@@ -340,3 +358,25 @@ def test_approval_takes_edits_and_needs_a_raw_row(spark):
     after = review.approve(recs, done, now).where("tier = 'reviewed'")
     assert rows(after.select("entity", "record_key", "data")) == [
         ("infrastructure", "a", "A"), ("infrastructure", "b", "edited")]
+
+
+# --- compact records without and with limits ---------------------------------------------------
+
+def test_compact_records_are_whole_unless_limited(spark):
+    from rollcall.operators import compact
+
+    group = "parse_json('{\"type\": \"T\", \"data\": [1, 2, 3, 4, 5, 6, 7]}')"
+    df = spark.range(1).select(F.expr(f"array_repeat({group}, 8)").alias("g"))
+    whole = df.select(F.size(compact.exposure_findings(F.col("g")))).first()[0]
+    some = df.select(F.size(compact.exposure_findings(F.col("g"), 5, 5, 10))).first()[0]
+    assert (whole, some) == (56, 25)
+    person = spark.createDataFrame(
+        [("x", "n", "j", "d", "t", "r", "a" * 900, list("abcdefgh"))],
+        "public_identifier string, name string, job_title string, matched_domain string, "
+        "employee_tier string, tier_reason string, about string, services_offered array<string>")
+    position = ("array_repeat(named_struct('title', 't', 'company_name', 'c', 'start_date', 's', "
+                "'end_date', 'e'), 9)")
+    person = person.withColumn("all_positions", F.expr(position))
+    for limits, want in (((), (9, 900, 8)), ((6, 400, 6), (6, 400, 6))):
+        r = compact.compact_person(person, *limits).first()
+        assert (len(r.recent_positions), len(r.about_excerpt), len(r.services_offered)) == want
