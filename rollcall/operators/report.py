@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from rollcall.constants import (
     DOCUMENTS_NOT_USABLE,
     EXCLUSION_LABELS,
+    FILTER_MEASURES,
     NO_MENTIONS_NOTE,
     STAT_STATUSES,
     SUMMARY_LABELS,
@@ -211,6 +212,26 @@ def filter_stats(shaped: DataFrame) -> DataFrame:
     )))
 
 
+def filter_measures(
+    shaped: DataFrame, targets: DataFrame, documents: DataFrame, warnings: DataFrame
+) -> DataFrame:
+    """(tenant, measure, value): all measures of a filter run, zeros included.
+
+    Every countable row gives the measure it counts for, and one aggregation counts them all;
+    ``targets`` has the number of mentions ``n``.
+    """
+    kept = F.concat("category", F.when(F.col("keep"), "_kept").otherwise("_excluded"))
+    hits = shaped.select("tenant", kept.alias("measure"))
+    for df, measure in (
+        (targets.where(F.col("n") > 0), "darkweb_with_mentions"),
+        (documents.where(F.coalesce("summary", F.lit("")) != ""), "documents_summarized"),
+        (errored_documents(documents), "documents_errored"),
+        (warnings, "warning_count"),
+    ):
+        hits = hits.unionByName(df.select("tenant", F.lit(measure).alias("measure")))
+    return long_counts(hits, {m: F.count_if(F.col("measure") == m) for m in FILTER_MEASURES})
+
+
 def document_filter_stats(documents: DataFrame) -> DataFrame:
     return long_counts(documents, {
         "documents_summarized": F.count_if(F.coalesce("summary", F.lit("")) != ""),

@@ -350,10 +350,14 @@ def _(spark, sf):
 def _shaped(spark, sf):
     domains = QH._domain_table(spark, sf).withColumn("keep", ~F.array_contains("sources", "fr")) \
         .withColumn("tier", F.element_at("sources", 1))
+    infrastructure = verdicts.attach_verdicts(
+        QH._infrastructure(spark, sf), QH._host_verdicts(spark, sf), "domain", ["note"])
     return verdicts.output_shape(
         {"domains": domains, "emails": QA._filtered(spark, sf),
-         "breaches": QE._judged_exposures(spark, sf)},
-        {"domains": "domain", "emails": "email", "breaches": "email"})
+         "employees": QP._judged(spark, sf), "breaches": QE._judged_exposures(spark, sf),
+         "darkweb": QE._judged_mentions(spark, sf), "infrastructure": infrastructure},
+        {"domains": "domain", "emails": "email", "employees": "identifier", "breaches": "email",
+         "darkweb": "target_key", "infrastructure": "domain"})
 
 
 SHAPED = f"""{QA.MERGED}, {QA.TIERED}, {QA.FILTERED}, {QH.DOMAIN_TABLE},
@@ -365,7 +369,16 @@ SHAPED = f"""{QA.MERGED}, {QA.TIERED}, {QA.FILTERED}, {QH.DOMAIN_TABLE},
         UNION ALL SELECT DISTINCT 't', 'breaches', 'u' || user_id || '@x.example.com',
                coalesce(bv.value < 20, true),
                CASE WHEN bv.user_id IS NULL THEN 'not_evaluated_by_model_fail_open' END, NULL
-        FROM events LEFT JOIN bv USING (user_id))"""
+        FROM events LEFT JOIN bv USING (user_id)
+        UNION ALL SELECT * FROM (WITH {QP.ITEMS}, {QP.JUDGED}
+            SELECT tenant, 'employees', identifier, keep, note, tier FROM judged)
+        UNION ALL SELECT * FROM (WITH {QE.JUDGED}
+            SELECT 't', 'darkweb', target || '||' || target_type, keep, note, NULL FROM j)
+        UNION ALL SELECT * FROM (WITH {QH.HOST_VERDICTS}
+            SELECT i.tenant, 'infrastructure', i.domain, coalesce(keep, true),
+                   coalesce(note, 'not_evaluated_by_model_fail_open'), NULL
+            FROM (SELECT DISTINCT tenant, host AS domain FROM hosts
+                  WHERE scheme = 'https' OR lang = 'en') i LEFT JOIN hv USING (tenant, domain)))"""
 
 
 @query("output_shape", sql("hosts", "addr", body=f"WITH {SHAPED} SELECT * FROM shaped"))
@@ -386,22 +399,14 @@ def _(spark, sf):
     return report.filter_stats(_shaped(spark, sf))
 
 
-@query("summary_table", sql("hosts", "addr", body=f"""
-    WITH {SHAPED}, {STATS}
-    SELECT tenant, CASE measure WHEN 'domains_kept' THEN 'Domains identified'
-               WHEN 'emails_kept' THEN 'Email addresses identified'
-               ELSE 'Accounts with confirmed breach exposure' END AS label, value
-    FROM stats WHERE measure LIKE '%_kept'"""))
-def _(spark, sf):
-    return report.summary_table(report.filter_stats(_shaped(spark, sf)))
+def _warnings(spark, sf):
+    warned = verdicts.verdict_warnings(
+        QD._verdict_rows(spark, sf), QD._doc_records(spark, sf), "record", "documents")
+    return warned.drop("seq").unionByName(verdicts.address_warnings(QA._filtered(spark, sf)))
 
 
 def _audit(spark, sf):
-    warned = verdicts.verdict_warnings(
-        QD._verdict_rows(spark, sf), QD._doc_records(spark, sf), "record", "documents")
-    corrected = verdicts.address_warnings(QA._filtered(spark, sf))
-    return report.audit_log(_shaped(spark, sf), QD._outcome(spark, sf),
-                            warned.drop("seq").unionByName(corrected))
+    return report.audit_log(_shaped(spark, sf), QD._outcome(spark, sf), _warnings(spark, sf))
 
 
 AUDIT = f"""{SHAPED}, {QD.OUTCOME}, {QD.WARNED},
@@ -411,14 +416,53 @@ AUDIT = f"""{SHAPED}, {QD.OUTCOME}, {QD.WARNED},
         FROM corrected),
     audit AS (
         SELECT tenant, CASE category WHEN 'domains' THEN 'Domains excluded' WHEN 'emails' THEN 'Emails excluded'
+                   WHEN 'employees' THEN 'Employees excluded' WHEN 'darkweb' THEN 'Dark web targets excluded'
                    ELSE 'Breach records excluded' END AS label, identifier,
                coalesce(note, tier, '-') AS reason
-        FROM shaped WHERE NOT keep
+        FROM shaped WHERE NOT keep AND category <> 'infrastructure'
         UNION ALL SELECT tenant, 'Documents not usable', filename, error FROM outcome WHERE error <> ''
         UNION ALL SELECT tenant, 'Pipeline Warnings', identifier, warning FROM warned
         UNION ALL SELECT tenant, 'Pipeline Warnings', identifier, w FROM correction WHERE w IS NOT NULL)"""
 
 
+MEASURES = f"""{AUDIT},
+    hit AS (
+        SELECT tenant, category || CASE WHEN keep THEN '_kept' ELSE '_excluded' END AS m FROM shaped
+        UNION ALL SELECT 't', 'darkweb_with_mentions' FROM (WITH {QE.HEADS} SELECT n FROM h) WHERE n > 0
+        UNION ALL SELECT tenant, 'documents_summarized' FROM outcome WHERE summary <> ''
+        UNION ALL SELECT tenant, 'documents_errored' FROM outcome WHERE error <> ''
+        UNION ALL SELECT tenant, 'warning_count' FROM audit WHERE label = 'Pipeline Warnings'),
+    name AS (SELECT unnest(['domains_kept', 'domains_excluded', 'emails_kept', 'emails_excluded',
+        'employees_kept', 'employees_excluded', 'breaches_kept', 'breaches_excluded', 'darkweb_kept',
+        'darkweb_excluded', 'darkweb_with_mentions', 'infrastructure_kept', 'infrastructure_excluded',
+        'documents_summarized', 'documents_errored', 'warning_count']) AS measure),
+    measured AS (SELECT tenant, measure, count(*) FILTER (m = measure) AS value FROM hit, name GROUP BY ALL)"""
+
+
+def _measures(spark, sf):
+    return report.filter_measures(_shaped(spark, sf), QE._counted(spark, sf),
+                                  QD._outcome(spark, sf), _warnings(spark, sf))
+
+
+@query("filter_measures", sql("hosts", "addr", "docs", body=f"WITH {MEASURES} SELECT * FROM measured"))
+def _(spark, sf):
+    return _measures(spark, sf)
+
+
+@query("summary_table", sql("hosts", "addr", "docs", body=f"""
+    WITH {MEASURES}
+    SELECT tenant, CASE measure WHEN 'domains_kept' THEN 'Domains identified'
+               WHEN 'emails_kept' THEN 'Email addresses identified'
+               WHEN 'employees_kept' THEN 'Employees / associated individuals identified'
+               WHEN 'breaches_kept' THEN 'Accounts with confirmed breach exposure'
+               WHEN 'darkweb_with_mentions' THEN 'Dark web targets with mentions found'
+               ELSE 'Public documents reviewed' END AS label, value
+    FROM measured WHERE measure IN ('domains_kept', 'emails_kept', 'employees_kept', 'breaches_kept',
+                                    'darkweb_with_mentions', 'documents_summarized')"""))
+def _(spark, sf):
+    return report.summary_table(_measures(spark, sf))
+
+
 @query("audit_log", sql("hosts", "addr", "docs", body=f"WITH {AUDIT} SELECT * FROM audit"))
 def _(spark, sf):
     return _audit(spark, sf)
