@@ -27,6 +27,7 @@ from rollcall.llm.textgrams import language_features
 
 BITS = 18
 SAMPLE = 1500
+MOST_LANGUAGES = 500     # languages learned; with more, those of fewest sampled rows are left
 HAS_LETTER = re.compile(r"[^\W\d_]")
 # Families by language code; a language that is not listed forms the family "other" with its like.
 FAMILIES = {
@@ -119,8 +120,10 @@ def fit(docs: DataFrame, per_language: int = SAMPLE, families=None) -> Model:
     h = rows.select("lang", F.xxhash64("doc_id").alias("h"))
     first = Window.partitionBy("lang").orderBy("h")
     edge = h.withColumn("k", F.row_number().over(first)).where(F.col("k") <= per_language).groupBy(
-        "lang").agg(F.max("h").alias("edge"))
-    picked = rows.join(edge, "lang").where(F.xxhash64("doc_id") <= F.col("edge")).select(
+        "lang").agg(F.max("h").alias("edge"), F.count(F.lit(1)).alias("n"))
+    edge = edge.orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES).select("lang", "edge")
+    # a broadcast of MOST_LANGUAGES rows at most: no text is shuffled by its language
+    picked = rows.join(F.broadcast(edge), "lang").where(F.xxhash64("doc_id") <= F.col("edge")).select(
         "lang", F.xxhash64("doc_id").alias("h"), "text")
 
     def make():
