@@ -351,15 +351,16 @@ def _may_link(a: str, b: str, first: bool):
 def pivot_pairs(rows: DataFrame) -> DataFrame:
     """(x, y): each set with a few pivots of its rarest and of its most common elements.
 
-    A pivot is the set with the least hash of element, set and seed, so that elements of the same
-    sets have different pivots.
+    One pivot is the set with the fewest elements of its own, which most copies resemble; the others
+    have the least hash of element, set and seed, so that elements of the same sets differ in them.
     """
     some = rows.where((F.col("first") < PIVOT_ELEMENTS) | (F.col("last") < PIVOT_ELEMENTS))
     out = None
     for seed in range(PIVOTS):
         h = F.xxhash64("fp", "element", F.lit(seed))
+        own = F.lit(0) if seed else -(F.col("first") + F.col("last"))
         pivot = rows.groupBy("element").agg(
-            F.min(F.struct(h.alias("h"), "fp", "n", "first", "last")).alias("p"))
+            F.min(F.struct(own.alias("own"), h.alias("h"), "fp", "n", "first", "last")).alias("p"))
         pivot = pivot.select("element", "p.*")
         met_ = some.alias("l").join(
             pivot.alias("r"), F.col("l.element") == F.col("r.element")).where(
