@@ -11,8 +11,8 @@ groups hold, (1) such elements of the high part, (2) hot elements.
   pairs of its groups that pass the size filter, a hot one only the count of hot elements per
   group.  Shared elements are counted per pair, and a pair is kept only if the count, with
   everything that was not counted, could still reach 3/4.
-* Groups with fewer than p cold low elements do the same with their high elements in round 2,
-  among themselves; a pair with any other group has met in round 1 already.
+* Groups with fewer than p cold low elements do the same with the high elements of all their sets
+  in round 2, among themselves; a pair with any other group has met in round 1 already.
 * Sets of which 3/4 are hot (large clusters of near copies) may share hot elements only.  They are
   joined on their first p elements, those rarest among them first, but never all pairs: every set
   is compared with a few pivots, and then only sets of different components within an element.
@@ -118,6 +118,9 @@ def members(docs: DataFrame) -> DataFrame:
 def element_rows(docs: DataFrame, part: str, hot: int) -> DataFrame:
     """(element, g, n) of the groups' low or high elements.
 
+    A group's sets share their low elements, so one of them tells all; of the high ones each set
+    sends its own, and what is counted for the group is at least what any of its sets has.
+
     Elements hot within one batch are certainly hot: they send one marker (n = -1) for the others
     to see, and their groups' counts go on spread by group (negative element, n = 0), so that a
     very common element does not gather its rows in one task.
@@ -131,9 +134,10 @@ def element_rows(docs: DataFrame, part: str, hot: int) -> DataFrame:
                 if not len(s) or doc is None:
                     continue
                 g = group_id(s)
-                if g in seen:
+                key = g if part == "low" else set_id(s)
+                if key in seen:
                     continue
-                seen.add(g)
+                seen.add(key)
                 own = s[:low_count(s)] if part == "low" else s[low_count(s):]
                 toks.append(own)
                 gs.append(np.full(len(own), g, np.int64))
@@ -141,8 +145,12 @@ def element_rows(docs: DataFrame, part: str, hot: int) -> DataFrame:
             if not toks:
                 continue
             tok, g, n = np.concatenate(toks), np.concatenate(gs), np.concatenate(ns)
-            order = np.argsort(tok, kind="stable")
+            if not len(tok):
+                continue
+            order = np.lexsort((g, tok))
             tok, g, n = tok[order], g[order], n[order]
+            fresh = np.concatenate(([True], (tok[1:] != tok[:-1]) | (g[1:] != g[:-1])))
+            tok, g, n = tok[fresh], g[fresh], n[fresh]
             _, first, count = np.unique(tok, return_index=True, return_counts=True)
             common = np.repeat(count > hot, count)
             if common.any():

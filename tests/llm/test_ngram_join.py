@@ -76,6 +76,33 @@ def test_given_documents_equal_all_pairs(spark):
     assert got == brute(rows)
 
 
+def high_text(rng, n, start=()):
+    """Words after ``start`` so that the n shingles have no element of the low part."""
+    while True:
+        out = list(start)
+        while len(out) < n + 4:
+            out += words(rng, 1, 100_000)
+            if len(out) >= 5 and ngram_join.low_count(ngram_join.shingle_set(" ".join(out[-5:]))):
+                out.pop()
+        s = ngram_join.shingle_set(" ".join(out))
+        if len(s) == n and not ngram_join.low_count(s):
+            return out
+
+
+def test_different_sets_without_low_elements(spark):
+    rng = np.random.default_rng(5)
+    rows = []
+    for k in range(6):
+        for part in (high_text(rng, 8), high_text(rng, 8)):
+            rows.append(part)
+        rows.append(high_text(rng, 9, rows[-1]))
+    rows = [(i, " ".join(r)) for i, r in enumerate(rows)]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.join(
+        spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).collect()}
+    assert got == brute(rows)
+    assert len({c for _, c in got.values()}) == 12
+
+
 def test_odd_rows(spark):
     got = sorted(map(tuple, ngram_join.join(odd_documents(spark)).collect()),
                  key=lambda r: (r[0] is None, r[0] or 0))
