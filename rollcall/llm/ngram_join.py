@@ -5,8 +5,8 @@ is at least 3/4 share one of the first p = n - ceil(3n/4) + 1 elements of each,
 all elements.  The order here: (0) elements of the low part of the hash range that at most ``HOT``
 groups hold, (1) such elements of the high part, (2) hot elements.
 
-* Documents with identical low elements and size are collapsed into one *group*; exact copies are
-  so one group with one member set, however many.
+* Sets of one size with identical low elements, at least p of them, are collapsed into one *group*;
+  a set with fewer is a group by itself.  Exact copies are one set, however many.
 * Round 1 deals the groups' low elements to tasks, which read them sorted: a cold element gives the
   pairs of its groups that pass the size filter, a hot one only the count of hot elements per
   group.  Shared elements are counted per pair, and a pair is kept only if the count, with
@@ -18,6 +18,8 @@ groups hold, (1) such elements of the high part, (2) hot elements.
   is compared with a few pivots, and then only sets of different components within an element.
 * Candidates are verified on the member sets, best partner first, then whatever still lies in
   different components.  Links within one component need no check: they change nothing.
+* Of groups of several sets, and of their partners, what is not in one component by then is joined
+  like the hot sets, on shared elements rarest first; a group's sets are never paired outright.
 
 Nothing per document comes to the driver.  Which documents to read again is told to the scans by a
 filter of fixed size (``common.FILTER_BITS``); what it lets through wrongly does no harm.
@@ -89,7 +91,9 @@ def set_id(s: np.ndarray) -> int:
 
 
 def group_id(s: np.ndarray) -> int:
-    """Of the low elements and the size."""
+    """Of the low elements and the size, or of the whole set if these are fewer than p."""
+    if low_count(s) < prefix_size(len(s)):
+        return set_id(s)
     return xxhash.xxh3_64_intdigest(s[:low_count(s)].tobytes(), seed=len(s)) >> 1
 
 
@@ -305,7 +309,7 @@ def _p(n):
     return n - F.ceil(n * 3 / 4) + 1
 
 
-def hot_set_elements(docs: DataFrame) -> DataFrame:
+def set_elements(docs: DataFrame, name: str) -> DataFrame:
     """(element, fp, n, first, last): shared ones of the first p elements of each set.
 
     The order is by how many of these sets have the element, then by hash, so that what very many
@@ -329,14 +333,14 @@ def hot_set_elements(docs: DataFrame) -> DataFrame:
                      pa.array(np.full(len(s), len(s)))], names=["element", "fp", "n"])
 
     rows = written(docs.select("text").mapInArrow(run, "element long, fp long, n long").distinct(),
-                   "hot-sets")
+                   f"{name}-sets")
     counts = rows.groupBy("element").agg(F.count(F.lit(1)).alias("df"))
     place = Window.partitionBy("fp").orderBy("df", "element")       # within one set
     ranked_ = rows.join(counts, "element").withColumn("k", F.row_number().over(place) - 1).where(
         (F.col("k") < _p(F.col("n"))) & (F.col("df") > 1))
     up, down = (Window.partitionBy("fp").orderBy(o) for o in (F.asc("k"), F.desc("k")))
     return written(ranked_.withColumn("first", F.row_number().over(up) - 1).withColumn(
-        "last", F.row_number().over(down) - 1).drop("df", "k"), "hot-elements")
+        "last", F.row_number().over(down) - 1).drop("df", "k"), f"{name}-elements")
 
 
 def _reach(a: str, b: str, shared):
@@ -440,7 +444,7 @@ def join(docs: DataFrame, hot: int = HOT) -> DataFrame:
             ((F.col("shared") + F.col("more")) / n).alias("close")), "group-pairs")
 
     full = group.where(F.col("hot1") + F.col("hot2") >= F.ceil(F.col("n") * 3 / 4))
-    hot_rows = hot_set_elements(passing(docs, id_filter(reps_of(classes, full))))
+    hot_rows = set_elements(passing(docs, id_filter(reps_of(classes, full))), "hot")
 
     # first: the best partner of each group, each group's sets with its first, and the pivots
     ends = pairs.select("x", "y", "close").union(
@@ -452,8 +456,10 @@ def join(docs: DataFrame, hot: int = HOT) -> DataFrame:
     roots = components(links)
 
     # then: whatever could link and still lies in different components
+    loose = written(unsettled(pairs, classes, group, roots), "loose-groups")
+    loose_rows = set_elements(passing(docs, id_filter(reps_of(classes, loose))), "loose")
     rest = apart(pairs.select("x", "y"), roots).union(
-        expanded(pairs, classes, group, roots)).union(across(hot_rows, roots))
+        across(loose_rows, roots)).union(across(hot_rows, roots))
     links = links.union(verified(docs, rest, reps, "then"))
     roots = components(links)
 
@@ -470,34 +476,28 @@ def reps_of(classes: DataFrame, groups: DataFrame) -> DataFrame:
     return classes.join(groups.select("g"), "g").select("doc_id")
 
 
-def expanded(pairs: DataFrame, classes: DataFrame, group: DataFrame,
-             roots: DataFrame) -> DataFrame:
-    """Set pairs in different components out of groups of several sets and of their pairs.
+def unsettled(pairs: DataFrame, classes: DataFrame, group: DataFrame,
+              roots: DataFrame) -> DataFrame:
+    """(g) of groups whose sets may link with others, of their group or a pair, in other components.
 
-    A group's home is its first set's component.  Two groups of one home only need their sets that
-    are elsewhere, so a large group whose sets are all linked gives no pair.
+    A group's home is its first set's component.  A group with all sets at home needs nothing
+    within, nor with a group that has the same home and all its sets there.
     """
     several = group.where("sets > 1").select("g", "rep")
+    home = group.select("g", "rep").join(roots.withColumnRenamed("node", "rep"), "rep",
+                                         "left").select("g", F.coalesce("root", "rep").alias("h"))
     sets = classes.select("g", "fp").join(
         roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
         "root", F.coalesce("root", "fp"))
-    home = group.select("g", "rep").join(roots.withColumnRenamed("node", "rep"), "rep",
-                                         "left").select("g", F.coalesce("root", "rep").alias("h"))
     away = sets.join(several.join(home, "g").select("g", "h"), "g").where("root <> h").select(
-        "g", "fp", "root")
+        "g").distinct()
+    at = home.join(away.withColumn("away", F.lit(True)), "g", "left")
     both = pairs.where("many").select("a", "b").join(
-        home.select(F.col("g").alias("a"), F.col("h").alias("ha")), "a").join(
-        home.select(F.col("g").alias("b"), F.col("h").alias("hb")), "b")
-
-    def crossed(some, left, right):
-        l = left.select(F.col("g").alias("a"), F.col("fp").alias("x"), F.col("root").alias("rx"))
-        r = right.select(F.col("g").alias("b"), F.col("fp").alias("y"), F.col("root").alias("ry"))
-        return some.join(l, "a").join(r, "b").where("rx <> ry").select("x", "y")
-
-    same = both.where("ha = hb")
-    own = away.select(F.col("g").alias("a"), F.col("g").alias("b")).distinct()
-    return (crossed(both.where("ha <> hb"), sets, sets).union(crossed(same, away, sets))
-            .union(crossed(same, sets, away)).union(crossed(own, away, sets)))
+        at.select(F.col("g").alias("a"), F.col("h").alias("ha"), F.col("away").alias("wa")),
+        "a").join(
+        at.select(F.col("g").alias("b"), F.col("h").alias("hb"), F.col("away").alias("wb")),
+        "b").where("ha <> hb or wa or wb")
+    return away.union(both.select("a")).union(both.select("b")).distinct()
 
 
 def apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:

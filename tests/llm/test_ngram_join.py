@@ -103,6 +103,34 @@ def test_different_sets_without_low_elements(spark):
     assert len({c for _, c in got.values()}) == 12
 
 
+def test_unlike_sets_of_a_group_are_not_all_compared(spark, monkeypatch):
+    """Short texts, and texts that share all their low elements, but no text resembles another."""
+    rng, asked = np.random.default_rng(6), []
+    short = [high_text(rng, 1) for _ in range(150)]
+    while True:
+        passage = words(rng, 7, 100_000)
+        if ngram_join.low_count(ngram_join.shingle_set(" ".join(passage))) == 3:
+            break
+    alike = []
+    while len(alike) < 120:
+        new = passage + words(rng, 5, 100_000)
+        s = ngram_join.shingle_set(" ".join(new))
+        if (len(s), ngram_join.low_count(s)) == (8, 3):
+            alike.append(new)
+    verified = ngram_join.verified
+
+    def counting(docs, pairs, reps, name):
+        asked.append(pairs.where("x <> y").distinct().count())
+        return verified(docs, pairs, reps, name)
+
+    monkeypatch.setattr(ngram_join, "verified", counting)
+    rows = [(i, " ".join(r)) for i, r in enumerate(short + alike)]
+    got = {r.doc_id: r.component_id for r in ngram_join.join(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: i for i in range(270)}
+    assert sum(asked) <= 2 * 270
+
+
 def test_odd_rows(spark):
     got = sorted(map(tuple, ngram_join.join(odd_documents(spark)).collect()),
                  key=lambda r: (r[0] is None, r[0] or 0))
