@@ -1,21 +1,27 @@
 """License scans by conditional compression.
 
-Candidate blocks are the lines with a cue word; of a line longer than the templates only the
-surroundings of its cues.  A block is compressed alone and with each template as raw zstandard
-dictionary; the relative saving says how much of the block the template explains.  The templates
-that save most are confirmed word by word: the differences between the template and the span it
-covers must be few (``MOST_DIFFERENT`` of the template's words), and are reported exactly.
-
-Defined results: null and empty texts have no license; equal savings go to the template with fewer
-differences, then the name that sorts first; a block names one license at most; repeated rows are
-scanned alike; texts are scanned whole.
+Candidate blocks are the surroundings of cue words, across line ends, each side as far as twice the
+longest template; surroundings that overlap are one block.  Within a block every template is
+aligned word by word with the parts of the block it resembles most: the differences between the
+template and the span it covers must be few (``MOST_DIFFERENT`` of the template's words), and are
+reported exactly.  The span is then compressed alone and with the template as raw zstandard
+dictionary; the relative saving says how much of the span the template explains, and must reach
+``LEAST_SAVING``.  Spans that are taken are masked and the block is searched again, until nothing is
+found.
+
+Defined results: null and empty texts have no license; of spans that overlap the one that explains
+most words is taken, then the one with fewer differences, the larger saving, the name that sorts
+first; a text names as many licenses as it has, each place by itself; repeated rows are scanned
+alike; texts are scanned whole.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from difflib import SequenceMatcher
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -53,7 +59,6 @@ QUICK = ("icen", "ICEN", "opyright", "OPYRIGHT", "ermission is", "ERMISSION IS",
          "IGHTS RESERVED", "ights Reserved", "ree software", "REE SOFTWARE", "ree Software")
 LEAST_SAVING = 0.25
 MOST_DIFFERENT = 0.2
-CONFIRMED = 4            # templates tried word by word, in order of saving
 _WORD = re.compile(r"[^\W_]+(?:[.-][^\W_]+)*")
 
 
@@ -61,11 +66,7 @@ def blocks(text: str, reach: int) -> list[tuple[int, int]]:
     """(start, end) of the candidate blocks."""
     out: list[list[int]] = []
     for m in CUES.finditer(text):
-        start = text.rfind("\n", 0, m.start()) + 1
-        end = text.find("\n", m.end())
-        end = len(text) if end < 0 else end
-        if end - start > 2 * reach:
-            start, end = max(start, m.start() - reach), min(end, m.end() + reach)
+        start, end = max(0, m.start() - reach), min(len(text), m.end() + reach)
         if out and start < out[-1][1]:
             out[-1][1] = max(out[-1][1], end)
         else:
@@ -91,6 +92,21 @@ def differences(template: list[str], block: list[tuple[str, int, int]]):
     return n, "; ".join(edits), block[first][1], block[last - 1][2]
 
 
+def distances(template: np.ndarray, block: np.ndarray, anchored: bool = False) -> np.ndarray:
+    """Least word edits of the template against a part of the block that ends before each place.
+
+    The part starts anywhere, or at the block's start if ``anchored``.
+    """
+    at = np.arange(len(block) + 1)
+    row = at.copy() if anchored else np.zeros(len(block) + 1, np.int64)
+    for i, word in enumerate(template, 1):
+        new = row + 1
+        new[1:] = np.minimum(new[1:], row[:-1] + (block != word))
+        new[0] = i
+        row = np.minimum.accumulate(new - at) + at
+    return row
+
+
 class Scanner:
     def __init__(self, templates: dict[str, str]):
         import zstandard as zstd
@@ -101,17 +117,62 @@ class Scanner:
             held = zstd.ZstdCompressionDict(templates[name].encode(),
                                             dict_type=zstd.DICT_TYPE_RAWCONTENT)
             words = [w.lower() for w in _WORD.findall(templates[name])]
-            self.known.append((name, words, zstd.ZstdCompressor(
+            self.known.append((name, words, Counter(words), zstd.ZstdCompressor(
                 level=9, dict_data=held, write_content_size=False, write_dict_id=False)))
         self.reach = 2 * max(map(len, templates.values()))
 
-    def savings(self, block: str) -> list[tuple[float, int]]:
-        """(share saved, number of the template), largest first."""
-        raw = block.encode("utf-8", "replace")
-        size = len(self.alone.compress(raw))
-        out = [(round(1 - len(c.compress(raw)) / size, 6), i)
-               for i, (_, _, c) in enumerate(self.known)]
-        return sorted(out, key=lambda x: (-x[0], x[1]))
+    def saving(self, span: str, i: int) -> float:
+        """Share of the span's compressed size that the template saves."""
+        raw = span.encode("utf-8", "replace")
+        return round(1 - len(self.known[i][3].compress(raw)) / len(self.alone.compress(raw)), 6)
+
+    def spans(self, i: int, codes: dict[str, int], block: np.ndarray):
+        """(first, end) of the parts of the block near the template, the nearest of each place."""
+        words = self.known[i][1]
+        most = int(MOST_DIFFERENT * len(words))
+        template = np.array([codes.get(w, len(codes)) for w in words])
+        far = distances(template, block)
+        ends = np.flatnonzero(far <= most)
+        ends = ends[np.argsort(far[ends], kind="stable")]
+        free = np.ones(len(far), bool)
+        for end in ends.tolist():
+            if not free[end]:
+                continue
+            before = block[max(0, end - len(words) - most):end]
+            size = int(np.argmin(distances(template[::-1], before[::-1], anchored=True)))
+            free[max(0, end - size + 1):end + len(words) - most] = False
+            yield end - size, end
+
+    def in_block(self, text: str, start: int, end: int):
+        """The licenses of one block."""
+        words = [(m.group().lower(), start + m.start(), start + m.end())
+                 for m in _WORD.finditer(text[start:end])]
+        codes: dict[str, int] = {}
+        block = np.array([codes.setdefault(w, len(codes)) for w, _, _ in words], np.int64)
+        counts = Counter(w for w, _, _ in words)
+        tried = [i for i, (_, own, has, _) in enumerate(self.known)
+                 if sum(min(c, counts[w]) for w, c in has.items())
+                 >= len(own) - int(MOST_DIFFERENT * len(own))]
+        found = []
+        while True:
+            near = []
+            for i in tried:
+                name, own, _, _ = self.known[i]
+                for a, b in self.spans(i, codes, block):
+                    part = [(w if block[a + k] >= 0 else "", c, d)
+                            for k, (w, c, d) in enumerate(words[a:b])]
+                    n, edits, c, d = differences(own, part)
+                    saved = self.saving(text[c:d], i) if n <= MOST_DIFFERENT * len(own) else 0
+                    if saved >= LEAST_SAVING:
+                        near.append((n - len(own), n, -saved, name, a, b, c, d, edits))
+            taken = False
+            for _, n, saved, name, a, b, c, d, edits in sorted(near):
+                if (block[a:b] >= 0).all():
+                    block[a:b] = -1
+                    found.append((name, c, d, -saved, n, edits))
+                    taken = True
+            if not taken:
+                return found
 
     def __call__(self, text: str | None):
         """[(license, start, end, saving, words that differ, edits)] of a text."""
@@ -119,22 +180,8 @@ class Scanner:
             return []
         found = []
         for start, end in blocks(text, self.reach):
-            block = text[start:end]
-            words = [(m.group().lower(), start + m.start(), start + m.end())
-                     for m in _WORD.finditer(block)]
-            best = None
-            for saving, i in self.savings(block)[:CONFIRMED]:
-                name, template, _ = self.known[i]
-                if saving < LEAST_SAVING and len(words) <= 2 * len(template):
-                    continue
-                n, edits, a, b = differences(template, words)
-                if n <= MOST_DIFFERENT * len(template):
-                    rank = (n / len(template), -saving, name)
-                    if best is None or rank < best[0]:
-                        best = (rank, (name, a, b, saving, n, edits))
-            if best:
-                found.append(best[1])
-        return found
+            found += self.in_block(text, start, end)
+        return sorted(found, key=lambda f: f[1:3])
 
 
 FIELDS = ("license string, span_start long, span_end long, saving double, n_different int, "

@@ -1,6 +1,7 @@
 import hashlib
 import math
 import re
+import textwrap
 
 import numpy as np
 import pytest
@@ -132,6 +133,27 @@ def test_license_line(line, name, n):
     assert [(g[0], g[4]) for g in got] == [(name, n)]
 
 
+@pytest.mark.parametrize("name", sorted(licenses.TEMPLATES))
+@pytest.mark.parametrize("width, lead", [(28, ""), (72, ""), (76, " * "), (70, "# ")])
+def test_wrapped_license(name, width, lead):
+    lines = textwrap.wrap(licenses.TEMPLATES[name], width, break_on_hyphens=False,
+                          break_long_words=False)
+    text = "Some words before.\n\n" + "".join(f"{lead}{x}\n" for x in lines) + "\nand after.\n"
+    got = licenses.Scanner(licenses.TEMPLATES)(text * 2)
+    assert [(g[0], g[4]) for g in got] == [(name, 0)] * 2
+
+
+def test_licenses_of_one_line():
+    text = "Released under the MIT License. Licensed under CC BY 4.0."
+    both = [("MIT", 0), ("CC-BY-4.0", 0)]
+    scanner = licenses.Scanner(licenses.TEMPLATES)
+    assert [(g[0], g[4]) for g in scanner(text)] == both
+    assert [text[a:b] for _, a, b, *_ in scanner(text)] == [
+        "Released under the MIT License", "Licensed under CC BY 4.0"]
+    far = (" " + "word " * 60).join([text] * 40)
+    assert [(g[0], g[4]) for g in scanner(far)] == both * 40
+
+
 def test_license_scan(spark):
     docs = odd_documents(spark, [
         (30, "word " * 5000 + "Released under the MIT License. " + "word " * 5000, "en", "s", 1,
