@@ -18,6 +18,7 @@ from rollcall.llm import (
     secrets,
     sharding,
     toxicity,
+    trie,
 )
 from rollcall.llm.common import in_fold, table, written
 
@@ -104,3 +105,59 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return ann.nearest(vectors, lambda key: key % 20 == 0)
+
+
+@query
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conv = F.col("conv_id")
+    return trie.build(
+        table(spark, sf_dir, "conversations"), donor=conv - conv % 100,
+        cut=F.pmod(F.crc32(conv.cast("string")), F.lit(6)), most=5).select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens",
+        "ends_sha256")
+
+
+ORACLES["op13_prefix_trie"] = """
+WITH ids AS (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL),
+crc_table AS (
+    SELECT list(list_reduce(list_prepend(b, list_transform(range(8), lambda z: z)),
+        lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)
+        ORDER BY b) AS t FROM range(256) AS r(b)),
+cuts AS (
+    SELECT conv_id, xor(list_reduce(
+        list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''),
+                                                        lambda z: ord(z)::BIGINT)),
+        lambda c, z: xor(c >> 8, t[(xor(c, z) & 255) + 1])), 4294967295) % 6 AS h
+    FROM ids, crc_table),
+turns AS (
+    SELECT conv_id, coalesce(role, '') AS r, coalesce(text, '') AS x, row_number() OVER (
+        PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS i
+    FROM conversations WHERE conv_id IS NOT NULL),
+own AS (
+    SELECT conv_id, list({'r': r, 'x': x} ORDER BY i) AS l FROM turns GROUP BY conv_id),
+made AS (
+    SELECT a.conv_id, list_concat(coalesce(b.l[1:h], []), a.l[h + 1:]) AS s
+    FROM own a JOIN cuts USING (conv_id) LEFT JOIN own b ON b.conv_id = a.conv_id - a.conv_id % 100),
+steps AS (SELECT conv_id, s, unnest(range(len(s) + 1)) AS d FROM made),
+path AS (
+    SELECT conv_id, d, d = len(s) AS ends, md5(to_json(s[1:d])::VARCHAR) AS k,
+           CASE WHEN d > 0 THEN md5(to_json(s[1:d - 1])::VARCHAR) END AS up,
+           CASE WHEN d > 0 THEN length(s[d].x) ELSE 0 END AS n
+    FROM steps),
+node AS (
+    SELECT k, min(up) AS up, min(d) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+           (count(*) - 1) * min(n) AS cost,
+           sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id)
+                           FILTER (WHERE ends), '')) AS ends_sha256
+    FROM path GROUP BY k),
+kids AS (SELECT up AS k, count(*) AS n_children FROM node WHERE up IS NOT NULL GROUP BY up),
+pairs AS (
+    SELECT DISTINCT a.k AS k, b.k AS y FROM path a JOIN path b USING (conv_id) WHERE b.d >= a.d),
+below AS (
+    SELECT pairs.k, sum(cost) AS saved_tokens, count(*) FILTER (WHERE kids.k IS NULL) AS n_leaves
+    FROM pairs JOIN node ON node.k = y LEFT JOIN kids ON kids.k = y GROUP BY pairs.k)
+SELECT node.conv_id, node.depth, above.conv_id AS parent_conv_id, node.n_convs,
+       coalesce(n_children, 0) AS n_children, n_leaves, saved_tokens::BIGINT AS saved_tokens,
+       node.ends_sha256
+FROM node JOIN below USING (k) LEFT JOIN kids USING (k) LEFT JOIN node above ON above.k = node.up
+"""
