@@ -19,6 +19,7 @@ from rollcall.llm import (
     sharding,
     toxicity,
     trie,
+    whitening,
 )
 from rollcall.llm.common import in_fold, table, written
 
@@ -107,6 +108,12 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(vectors, lambda key: key % 20 == 0)
 
 
+@query
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return whitening.whiten(vectors, whitening.fit(vectors))
+
+
 @query
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     conv = F.col("conv_id")
