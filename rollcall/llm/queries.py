@@ -12,6 +12,7 @@ from rollcall.llm import (
     decontam,
     language,
     licenses,
+    mincut,
     ngram_join,
     packing,
     quality,
@@ -108,6 +109,13 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(vectors, lambda key: key % 20 == 0)
 
 
+@query
+def op11_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return mincut.extract(pages, out="text").select(
+        "page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 @query
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
