@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollcall.constants import RAW_TO_REVIEWED
-from rollcall.operators.store import upsert
+from rollcall.operators import commits
+from rollcall.operators.store import KEYS, upsert
+from rollcall.plans.session import written
+from rollcall.schemas import RECORDS, REVIEW_STATUS
 
 ENTITY_COLUMNS = [("raw", r) for r in RAW_TO_REVIEWED] + [
     ("reviewed", r) for r in RAW_TO_REVIEWED.values()
@@ -59,13 +62,24 @@ def resolve_approvals(records: DataFrame, approvals: DataFrame) -> DataFrame:
     return found.withColumn("data", data).withColumn("ok", data.isNotNull()).drop("_raw")
 
 
-def approve(records: DataFrame, resolved: DataFrame, now: Column, seq: str = "seq") -> DataFrame:
-    """Records after the approvals: reviewed copies inserted or replaced, raw rows untouched."""
-    copies = resolved.where("ok").select(
+def reviewed_copies(resolved: DataFrame, now: Column, seq: str = "seq") -> DataFrame:
+    """The reviewed rows that approvals publish."""
+    return resolved.where("ok").select(
         F.lit("reviewed").alias("tier"), _reviewed_entity().alias("entity"), "tenant",
         "record_key", "data", now.alias("updated_at"), seq,
     )
-    return upsert(records, copies, ["tier", "entity", "tenant", "record_key"], seq)
+
+
+def status_rows(decisions: DataFrame, outcome: str, now: Column, seq: str = "seq") -> DataFrame:
+    return decisions.select(
+        _raw_table().alias("source_table"), "tenant", "record_key",
+        F.lit(outcome).alias("status"), now.alias("reviewed_at"), seq,
+    )
+
+
+def approve(records: DataFrame, resolved: DataFrame, now: Column, seq: str = "seq") -> DataFrame:
+    """Records after the approvals: reviewed copies inserted or replaced, raw rows untouched."""
+    return upsert(records, reviewed_copies(resolved, now, seq), KEYS, seq)
 
 
 def decide(status: DataFrame, decisions: DataFrame, outcome: str, now: Column,
@@ -74,11 +88,7 @@ def decide(status: DataFrame, decisions: DataFrame, outcome: str, now: Column,
 
     A rejection changes nothing but the status: an earlier reviewed copy stays.
     """
-    rows = decisions.select(
-        _raw_table().alias("source_table"), "tenant", "record_key",
-        F.lit(outcome).alias("status"), now.alias("reviewed_at"), seq,
-    )
-    return upsert(status, rows, STATUS_KEYS, seq)
+    return upsert(status, status_rows(decisions, outcome, now, seq), STATUS_KEYS, seq)
 
 
 # --- tenants ----------------------------------------------------------------------------------
@@ -129,6 +139,16 @@ def preview_merge(records: DataFrame, source: str, target: str) -> DataFrame:
     ).withColumn("moving", F.col("would_move") - F.col("collisions"))
 
 
+def merge_breakdown(records: DataFrame, source: str, target: str) -> DataFrame:
+    """:func:`preview_merge` for every table there is, with zeros for those without rows."""
+    spark = records.sparkSession
+    every = spark.createDataFrame(ENTITY_COLUMNS, "tier string, entity string")
+    found = preview_merge(records, source, target)
+    numbers = ["would_move", "collisions", "moving"]
+    return every.join(found, ["tier", "entity"], "left").select(
+        "tier", "entity", *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in numbers])
+
+
 def execute_merge(records: DataFrame, source: str, target: str) -> DataFrame:
     """Source rows re-keyed to the target unless their key is taken; nothing else changes.
 
@@ -157,6 +177,74 @@ def move_status(status: DataFrame, source: str, target: str) -> DataFrame:
     )
 
 
+# --- in a store of several tables -------------------------------------------------------------
+
+STORE_TABLES = {
+    "records": commits.Table(RECORDS, KEYS, commits.BUCKETS),
+    "review_status": commits.Table(REVIEW_STATUS, STATUS_KEYS, commits.BUCKETS),
+}
+
+
+def create_store(spark: SparkSession, path: str, buckets: int = commits.BUCKETS) -> commits.Snapshot:
+    """The record and status tables, where they do not exist yet."""
+    return commits.create(spark, path, {
+        n: commits.Table(t.schema, t.keys, buckets) for n, t in STORE_TABLES.items()})
+
+
+def approve_in_store(spark: SparkSession, path: str, decisions: DataFrame, now: Column,
+                     seq: str = "seq", writer: str | None = None, number: int = 0) -> DataFrame:
+    """Publish approved copies and the status 'approved' in ONE version; the decisions left over.
+
+    Left over are those on unknown entities and those with neither an edit nor a raw record, which
+    change nothing.  If anything is published meanwhile, the copies are worked out anew.
+    """
+    known, unknown = known_decisions(decisions)
+    while True:
+        snap = commits.snapshot(spark, path)
+        resolved = written(resolve_approvals(commits.read(spark, snap, "records"), known),
+                           "approvals")
+        fits = resolved.where("ok")
+        try:
+            commits.commit(
+                spark, path, {"records": reviewed_copies(fits, now, seq),
+                              "review_status": status_rows(fits, "approved", now, seq)},
+                seq, writer, number, based_on=snap)
+        except commits.Conflict:
+            continue
+        return unknown.unionByName(resolved.where("not ok").select(*unknown.columns))
+
+
+def reject_in_store(spark: SparkSession, path: str, decisions: DataFrame, now: Column,
+                    seq: str = "seq", writer: str | None = None, number: int = 0) -> None:
+    """Publish the status 'rejected' of decisions on known entities; records stay as they are."""
+    known, _ = known_decisions(decisions)
+    commits.commit(spark, path, {"review_status": status_rows(known, "rejected", now, seq)},
+                   seq, writer, number)
+
+
+def merge_in_store(spark: SparkSession, path: str, source: str, target: str,
+                   writer: str | None = None, number: int = 0) -> None:
+    """Re-key the source tenant's rows to the target in one version, but for taken keys."""
+    keys = ["tier", "entity", "record_key"]
+    while True:
+        snap = commits.snapshot(spark, path)
+        records = commits.read(spark, snap, "records")
+        taken = records.where(F.col("tenant") == target).select(*keys)
+        moving = records.where(F.col("tenant") == source).join(taken, keys, "left_anti").select(
+            *records.columns)
+        both = F.explode(F.array(
+            F.struct(F.lit(source).alias("t"), F.lit(True).alias("g")),
+            F.struct(F.lit(target).alias("t"), F.lit(False).alias("g")))).alias("x")
+        rows = moving.select("*", both).withColumn("tenant", F.col("x.t")).withColumn(
+            commits.GONE, F.col("x.g")).drop("x")
+        try:
+            commits.commit(spark, path, {"records": rows}, writer=writer, number=number,
+                           based_on=snap)
+        except commits.Conflict:
+            continue
+        return
+
+
 # --- edits ------------------------------------------------------------------------------------
 
 def edited_value(text: Column, kind: str) -> Column:

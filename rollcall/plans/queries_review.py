@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
-from rollcall.operators import dedup, report, review, store, verdicts
+from rollcall.operators import commits, dedup, report, review, store, verdicts
 from rollcall.plans import queries_addresses as QA
 from rollcall.plans import queries_documents as QD
 from rollcall.plans import queries_events as QE
@@ -32,14 +34,15 @@ def _existing(spark, sf):
 
 def _batch(spark, sf):
     """Line items as new versions of orders, some of them for orders not seen before."""
-    return views.table(spark, sf, "lineitem").where("l_returnflag = 'R'").join(
+    return views.table(spark, sf, "lineitem").join(
         views.table(spark, sf, "orders"), C("o_orderkey") == C("l_orderkey")
     ).select(
         C("o_custkey").alias("tenant"),
         F.when(C("l_linestatus") == "F", C("l_orderkey")).otherwise(-C("l_orderkey") - 1)
         .alias("record_key"),
         F.concat_ws("/", "l_partkey", "l_suppkey", "l_linenumber").alias("data"),
-        (C("l_linenumber") * 10000000000 + C("l_partkey") * 10000 + C("l_suppkey")).alias("seq"))
+        (C("l_linenumber") * 10000000000 + C("l_partkey") * 10000 + C("l_suppkey")).alias("seq"),
+        "l_returnflag")
 
 
 BATCH = """
@@ -47,8 +50,8 @@ BATCH = """
         SELECT o_custkey AS tenant, CASE l_linestatus WHEN 'F' THEN l_orderkey ELSE -l_orderkey - 1 END
                    AS record_key,
                l_partkey || '/' || l_suppkey || '/' || l_linenumber AS data,
-               l_linenumber * 10000000000 + l_partkey * 10000 + l_suppkey AS seq
-        FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE l_returnflag = 'R'),
+               l_linenumber * 10000000000 + l_partkey * 10000 + l_suppkey AS seq, l_returnflag
+        FROM lineitem JOIN orders ON o_orderkey = l_orderkey),
     newest AS (SELECT tenant, record_key, arg_max(data, seq) AS data FROM batch GROUP BY 1, 2),
     after AS (
         SELECT o_custkey AS tenant, o_orderkey AS record_key, o_orderpriority AS data FROM orders
@@ -58,7 +61,35 @@ BATCH = """
 
 @query("upsert", f"WITH {BATCH} SELECT * FROM after")
 def _(spark, sf):
-    return store.upsert(_existing(spark, sf), _batch(spark, sf), ["tenant", "record_key"])
+    return store.upsert(_existing(spark, sf), _batch(spark, sf).drop("l_returnflag"),
+                        ["tenant", "record_key"])
+
+
+def _folder(spark, name):
+    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@query("store_upsert", f"""
+    WITH {BATCH},
+    last AS (SELECT tenant, record_key, arg_max(data, (l_returnflag, seq)) AS data FROM batch
+             WHERE l_returnflag <> 'N' GROUP BY 1, 2)
+    SELECT o_custkey AS tenant, o_orderkey AS record_key, o_orderpriority AS data FROM orders
+    WHERE (o_custkey, o_orderkey) NOT IN (SELECT (tenant, record_key) FROM last)
+          AND (o_custkey, o_orderkey) NOT IN (SELECT (tenant, record_key) FROM batch)
+    UNION ALL SELECT * FROM last
+    UNION ALL SELECT tenant, record_key, arg_max(data, seq) FROM batch
+    WHERE (tenant, record_key) NOT IN (SELECT (tenant, record_key) FROM last) GROUP BY 1, 2""")
+def _(spark, sf):
+    """Orders as base of a bucketed table, line items as commits by return flag, one repeated."""
+    path, table = _folder(spark, "store_upsert"), {"orders": commits.Table(
+        "tenant bigint, record_key bigint, data string", ["tenant", "record_key"], 16)}
+    commits.create(spark, path, table)
+    commits.load(spark, path, {"orders": _existing(spark, sf)})
+    for number, flag in enumerate("NARA"):
+        rows = _batch(spark, sf).where(C("l_returnflag") == flag).drop("l_returnflag")
+        commits.commit(spark, path, {"orders": rows}, writer="line items",
+                       number=min(number, 2))
+    return commits.read(spark, commits.snapshot(spark, path), "orders")
 
 
 @query("to_records", """
@@ -111,8 +142,6 @@ def _event_records(e):
 @query("stream_upserts", EVENT_RECORDS)
 def _(spark, sf):
     """The events table, cut into files by day, arriving as a stream; the store's final state."""
-    import uuid
-
     base = f"{checkpoint_dir(spark)}/stream_upserts-{uuid.uuid4().hex}"
     e = _event_records(views.table(spark, sf, "events"))
     e.withColumn("day", F.to_date("updated_at")).repartitionByRange(4, "seq").sortWithinPartitions(
@@ -227,6 +256,101 @@ def _(spark, sf):
                          _now()).drop("reviewed_at")
 
 
+def _stored(spark, sf, name):
+    """A store that holds the records and statuses; creating it again changes nothing."""
+    path = _folder(spark, name)
+    review.create_store(spark, path, buckets=8)
+    commits.load(spark, path, {"records": views.records(spark, sf),
+                               "review_status": views.review_status(spark, sf)})
+    review.create_store(spark, path, buckets=8)
+    return path
+
+
+@query("create_store", sql("records", "status", body=f"""
+    WITH t AS (SELECT unnest([{", ".join(f"'{t} {e}'" for t, e in review.ENTITY_COLUMNS)}]) AS name),
+    r AS (SELECT tier || ' ' || entity AS name, count(*) AS n FROM records GROUP BY 1)
+    SELECT name, coalesce(n, 0) AS rows FROM t LEFT JOIN r USING (name)
+    UNION ALL SELECT 'review_status', count(*) FROM status"""))
+def _(spark, sf):
+    snap = commits.snapshot(spark, _stored(spark, sf, "create_store"))
+    found = commits.read(spark, snap, "records").groupBy(
+        F.concat_ws(" ", "tier", "entity").alias("name")).agg(F.count(F.lit(1)).alias("rows"))
+    every = spark.createDataFrame([(f"{t} {e}",) for t, e in review.ENTITY_COLUMNS], "name string")
+    return every.join(found, "name", "left").fillna(0).unionByName(
+        commits.read(spark, snap, "review_status").agg(
+            F.lit("review_status").alias("name"), F.count(F.lit(1)).alias("rows")))
+
+
+def _rejections(spark, sf):
+    return views.docs(spark, sf).where("toxic = 1").select(
+        F.lit("documents").alias("entity"), "tenant",
+        F.concat("lang", F.lit("-"), F.expr("n_chars div 100").cast("string")).alias("record_key"),
+        F.lit(None).cast("string").alias("edited_data"), "seq")
+
+
+AFTER_DECISIONS = RESOLVED + """,
+    copies AS (
+        SELECT tenant, record_key, arg_max(data, seq) AS data FROM resolved WHERE data IS NOT NULL
+        GROUP BY 1, 2),
+    gone AS (SELECT source AS tenant, lang || '-' || (n_chars // 100) AS record_key
+             FROM documents JOIN labels USING (doc_id) WHERE toxic = 1),
+    after AS (
+        SELECT 'records' AS place, tier || ' ' || entity AS kind, tenant, record_key, data FROM records
+        UNION ALL SELECT 'records', 'reviewed emails', * FROM copies
+        UNION ALL SELECT 'status', 'raw_emails', tenant, record_key, 'approved' FROM copies
+        UNION ALL SELECT DISTINCT 'status', 'raw_documents', tenant, record_key, 'rejected' FROM gone
+        UNION ALL SELECT 'status', source_table, tenant, record_key, status FROM status
+                  WHERE (tenant, record_key) NOT IN (SELECT (tenant, record_key) FROM gone))"""
+
+
+def _decided(spark, sf, name):
+    path = _stored(spark, sf, name)
+    for _ in range(2):                                   # the second time does nothing
+        review.approve_in_store(spark, path, _decisions(spark, sf), _now(), writer="people",
+                                number=1)
+        review.reject_in_store(spark, path, _rejections(spark, sf), _now(), writer="people",
+                               number=2)
+    return path
+
+
+def _both_tables(spark, snap):
+    records, status = (commits.read(spark, snap, n) for n in ("records", "review_status"))
+    return records.select(
+        F.lit("records").alias("place"), F.concat_ws(" ", "tier", "entity").alias("kind"), "tenant",
+        "record_key", "data").unionByName(status.select(
+            F.lit("status").alias("place"), C("source_table").alias("kind"), "tenant", "record_key",
+            C("status").alias("data")))
+
+
+@query("approve_commit", sql("records", "status", body=f"WITH {AFTER_DECISIONS} SELECT * FROM after"))
+def _(spark, sf):
+    path = _decided(spark, sf, "approve_commit")
+    return _both_tables(spark, commits.snapshot(spark, path))
+
+
+@query("snapshot_reads", sql("records", "status", body=f"""
+    WITH {AFTER_DECISIONS},
+    before AS (
+        SELECT 'records' AS place, tier || ' ' || entity AS kind, tenant FROM records
+        UNION ALL SELECT 'status', source_table, tenant FROM status)
+    SELECT 'before' AS at, place, kind, tenant, count(*) AS rows FROM before GROUP BY ALL
+    UNION ALL SELECT 'approved', place, kind, tenant, count(*) FROM (
+        SELECT place, kind, tenant FROM before
+        UNION ALL SELECT 'records', 'reviewed emails', tenant FROM copies
+        UNION ALL SELECT 'status', 'raw_emails', tenant FROM copies) GROUP BY ALL
+    UNION ALL SELECT 'last', place, kind, tenant, count(*) FROM after GROUP BY ALL"""))
+def _(spark, sf):
+    """What readers of three versions see after all commits and a compaction."""
+    path = _decided(spark, sf, "snapshot_reads")
+    commits.compact(spark, path)
+    out = None
+    for at, version in (("before", 1), ("approved", 2), ("last", None)):
+        rows = _both_tables(spark, commits.snapshot(spark, path, version)).groupBy(
+            F.lit(at).alias("at"), "place", "kind", "tenant").agg(F.count(F.lit(1)).alias("rows"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 @query("set_path", """
     SELECT o_orderkey, o_totalprice + 1 AS number, o_orderstatus = 'O' AS flag,
            o_custkey || 'x' AS second_name, 'b' AS first_name, o_orderpriority AS tags
@@ -287,16 +411,42 @@ def _(spark, sf):
     return review.preview_merge(views.records(spark, sf), "src1", "src2")
 
 
-@query("execute_merge", sql("records", body="""
-    SELECT tier, entity, CASE WHEN tenant = 'src1' AND NOT EXISTS (
-               SELECT 1 FROM records t WHERE t.tenant = 'src2' AND t.tier = s.tier
-               AND t.entity = s.entity AND t.record_key = s.record_key) THEN 'src2' ELSE tenant END
-               AS tenant, record_key, data
-    FROM records s"""))
+@query("merge_breakdown", sql("records", body=f"""
+    WITH t AS (SELECT unnest([{", ".join(f"'{t} {e}'" for t, e in review.ENTITY_COLUMNS)}]) AS name),
+    s AS (SELECT tier || ' ' || entity AS name, record_key FROM records WHERE tenant = 'src1'),
+    o AS (SELECT tier || ' ' || entity AS name, record_key FROM records WHERE tenant = 'src2'),
+    n AS (SELECT s.name, count(*) AS would_move, count(o.name) AS collisions
+          FROM s LEFT JOIN o ON o.name = s.name AND o.record_key = s.record_key GROUP BY 1)
+    SELECT split_part(name, ' ', 1) AS tier, split_part(name, ' ', 2) AS entity,
+           coalesce(would_move, 0) AS would_move, coalesce(collisions, 0) AS collisions,
+           coalesce(would_move - collisions, 0) AS moving
+    FROM t LEFT JOIN n USING (name)"""))
+def _(spark, sf):
+    return review.merge_breakdown(views.records(spark, sf), "src1", "src2")
+
+
+MERGED_TENANTS = """
+    taken AS (SELECT DISTINCT tier, entity, record_key, TRUE AS yes FROM records WHERE tenant = 'src2'),
+    after AS (
+        SELECT s.tier, s.entity, CASE WHEN s.tenant = 'src1' AND t.yes IS NULL THEN 'src2'
+                                      ELSE s.tenant END AS tenant, s.record_key, s.data
+        FROM records s LEFT JOIN taken t ON t.tier = s.tier AND t.entity = s.entity
+             AND t.record_key = s.record_key)"""
+
+
+@query("execute_merge", sql("records", body=f"WITH {MERGED_TENANTS} SELECT * FROM after"))
 def _(spark, sf):
     return review.execute_merge(views.records(spark, sf), "src1", "src2").drop("updated_at")
 
 
+@query("merge_commit", sql("records", body=f"WITH {MERGED_TENANTS} SELECT * FROM after"))
+def _(spark, sf):
+    path = _stored(spark, sf, "merge_commit")
+    for _ in range(2):
+        review.merge_in_store(spark, path, "src1", "src2", writer="merge", number=1)
+    return commits.read(spark, commits.snapshot(spark, path), "records").drop("updated_at")
+
+
 @query("move_status", sql("status", body="""
     SELECT source_table, CASE WHEN tenant = 'src1' AND record_key NOT IN
                (SELECT record_key FROM status WHERE tenant = 'src2') THEN 'src2' ELSE tenant END AS tenant,

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # What the plans need to give right answers, and what lets AQE split hot keys at run time.
 RUNTIME_CONF = {
@@ -39,6 +40,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="spark-", dir="/tmp")
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Written once to the shared folder and read back, for what several results are made from.
+
+    A lost executor costs a task retry, never the rows: nothing is kept in executors.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def local_session(cpus: int = 8, **conf: str) -> SparkSession:
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
