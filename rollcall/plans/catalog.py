@@ -7,4 +7,5 @@ from rollcall.plans import (  # noqa: F401
     queries_hosts,
     queries_people,
     queries_review,
+    queries_sources,
 )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,28 +10,39 @@ from pyspark.sql import types as T
 from rollcall.constants import CONTENT_TYPE_WORDS, METHOD_FOLDERS, ZIP_FILE_TYPES
 from rollcall.functions.text import contains_any
 from rollcall.functions.variants import kind
+from rollcall.operators.dedup import last_wins
 from rollcall.schemas import ARTIFACTS, MAP_ARTIFACTS
+from rollcall.sources.elements import elements
 
 TENANT_OF_PATH = r"([^/]+)/[^/]+$"
 
 
 def path_exists(spark: SparkSession, pattern: str) -> bool:
-    """True when the Hadoop glob matches anything, on whatever file system it names."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
-    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
-    return found is not None and len(found) > 0
+    """True when the glob matches anything, on whatever file system it names."""
+    try:
+        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(pattern).schema
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True
 
 
-def _tenant() -> Column:
-    return F.url_decode(F.regexp_extract(F.col("_metadata.file_path"), TENANT_OF_PATH, 1))
+def _tenant(path: str = "_metadata.file_path") -> Column:
+    return F.url_decode(F.regexp_extract(F.col(path), TENANT_OF_PATH, 1))
 
 
 def _files(spark: SparkSession, root: str, name: str) -> DataFrame | None:
     pattern = f"{root}/*/{name}.json"
     if not path_exists(spark, pattern):
         return None
+    # the parser ignores what follows a value, but in brackets and in braces nothing may follow it
+    listed = F.try_parse_json(F.concat(F.lit("["), "value", F.lit("]")))
+    held = F.try_parse_json(F.concat(F.lit('{"v":'), "value", F.lit("}")))
     return spark.read.text(pattern, wholetext=True).select(
-        _tenant().alias("tenant"), F.try_parse_json("value").alias("doc"), "value"
+        _tenant().alias("tenant"), "value",
+        F.when(F.try_variant_get(listed, "$[1]", "variant").isNull(),
+               F.try_variant_get(held, "$.v", "variant")).alias("doc"),
     )
 
 
@@ -75,6 +87,28 @@ def read_map(spark: SparkSession, root: str, name: str) -> DataFrame:
     )
 
 
+def scan_array(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """:func:`read_array` for files of any size: one file is read by as many tasks as it has splits."""
+    ddl, pattern = ARTIFACTS[name], f"{root}/*/{name}.json"
+    if not path_exists(spark, pattern):
+        return spark.createDataFrame([], f"tenant string, seq bigint, {ddl}")
+    return elements(spark, pattern, "[").select(
+        _tenant("file").alias("tenant"), "seq",
+        F.from_json("text", T._parse_datatype_string(f"struct<{ddl}>")).alias("item")).select(
+        "tenant", "seq", "item.*")
+
+
+def scan_map(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """:func:`read_map` for files of any size; of a key given twice the last value counts."""
+    ddl, pattern = MAP_ARTIFACTS[name], f"{root}/*/{name}.json"
+    if not path_exists(spark, pattern):
+        return spark.createDataFrame([], f"tenant string, domain string, value {ddl}")
+    entries = elements(spark, pattern, "{").select(
+        _tenant("file").alias("tenant"), "seq",
+        F.explode(F.from_json("text", f"map<string,{ddl}>")).alias("domain", "value"))
+    return last_wins(entries, ["tenant", "domain"], "seq").drop("seq")
+
+
 def document_path(tenant: Column, method: Column, source_domain: Column, filename: Column) -> Column:
     """Where a document of a known discovery method lies; null for an unknown method."""
     folder = None
