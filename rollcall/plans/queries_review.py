@@ -6,7 +6,8 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from rollcall.operators import commits, dedup, report, review, store, verdicts
+from rollcall.functions import variants
+from rollcall.operators import commits, dedup, edits, report, review, store, verdicts
 from rollcall.plans import queries_addresses as QA
 from rollcall.plans import queries_documents as QD
 from rollcall.plans import queries_events as QE
@@ -377,6 +378,37 @@ def _(spark, sf):
         F.array_join("r.tags", ",").alias("tags"))
 
 
+# kind of edit: path, type of the field, value; then the record's text after it, and the note
+EDITS = [
+    ("meta.score", "number", "{n}.50", """{"items":[{"name":"b"},{"name":"c"}],"meta":{"ok":false,"score":{n}.5},"tags":["old"]}"""),
+    ("meta.ok", "boolean", "true", """{"items":[{"name":"b"},{"name":"c"}],"meta":{"ok":true,"score":0},"tags":["old"]}"""),
+    ("items[1].name", "text", "x{n}", """{"items":[{"name":"b"},{"name":"x{n}"}],"meta":{"ok":false,"score":0},"tags":["old"]}"""),
+    ("items[3].note.by", "text", "x{n}", """{"items":[{"name":"b"},{"name":"c"},null,{"note":{"by":"x{n}"}}],"meta":{"ok":false,"score":0},"tags":["old"]}"""),
+    ("tags", "array-primitive", " x{n} , ,y", """{"items":[{"name":"b"},{"name":"c"}],"meta":{"ok":false,"score":0},"tags":["x{n}","y"]}"""),
+    ("new.parents.here", "number", "{n}", """{"items":[{"name":"b"},{"name":"c"}],"meta":{"ok":false,"score":0},"new":{"parents":{"here":{n}}},"tags":["old"]}"""),
+    ("meta.score.inner", "text", "x{n}", """{"items":[{"name":"b"},{"name":"c"}],"meta":{"ok":false,"score":0},"tags":["old"]}"""),
+]
+EDITED = " ".join(f"WHEN {i} THEN '{after}'" for i, (*_, after) in enumerate(EDITS))
+
+
+@query("edit_records", f"""
+    SELECT o_orderkey, replace(CASE o_orderkey % 7 {EDITED} END, '{{n}}', o_custkey::VARCHAR) AS data,
+           CASE WHEN o_orderkey % 7 = 6 THEN 'a path leads through a value' END AS edit_problem
+    FROM orders""")
+def _(spark, sf):
+    """Every order is a record, and its own row tells which place of it is edited, and how."""
+    o = views.table(spark, sf, "orders")
+    kind, n = (C("o_orderkey") % 7).cast("int"), C("o_custkey").cast("string")
+    texts = [F.get(F.array(*[F.lit(e[i]) for e in EDITS]), kind) for i in range(3)]
+    rows = o.select("o_orderkey", F.lit(1).alias("seq"), texts[0].alias("path"),
+                    texts[1].alias("data_type"), F.replace(texts[2], F.lit("{n}"), n).alias("value"))
+    records = o.select("o_orderkey", F.lit(
+        '{"tags": ["old"], "meta": {"score": 0, "ok": false}, "items": [{"name": "b"}, {"name": "c"}]}')
+        .alias("data"))
+    after = edits.apply_edits(records, rows, ["o_orderkey"])
+    return after.withColumn("data", variants.canonical(C("data")))
+
+
 # --- tenants ----------------------------------------------------------------------------------
 
 SUMMARY_COLUMNS = ", ".join(
