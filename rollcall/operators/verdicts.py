@@ -30,6 +30,7 @@ from rollcall.constants import (
 from rollcall.functions.addresses import guess_only, infrastructure_address
 from rollcall.functions.text import first_truthy, strip_space
 from rollcall.functions.variants import strict_boolean
+from rollcall.plans.session import written
 
 
 def identity(c: Column) -> Column:
@@ -109,7 +110,7 @@ def score(
     """Verdict rows of a user-given scorer, called once per Arrow batch, or on at most ``batch_size`` records.
 
     Only ``columns`` travel to Python.  A batch that raises yields one row with ``error`` set and
-    no verdict, so its records fail open (see ``batch_warnings``).
+    no verdict, so its records fail open (see :func:`score_batches`).
     """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -128,6 +129,73 @@ def score(
     return records.select(*columns).mapInPandas(run, full)
 
 
+def score_batches(
+    records: DataFrame, scorer: Scorer, schema: str, columns: list[str], batch: list[str]
+) -> tuple[DataFrame, DataFrame]:
+    """(verdicts, failed batches) of ONE run of a scorer over batches that the records name.
+
+    ``batch`` columns bound a batch (such as the tenant and ``seq div 32``), whose records reach the
+    scorer together, in the order of ``columns``.  The run is written once and both results read
+    it, so the scorer is called once per batch however often they are used.  A failed batch is one
+    row with its size and the error; its records get no verdict and are kept.
+    """
+    made = T._parse_datatype_string(schema).names
+    kinds = ", ".join(f"{c} {dict(records.dtypes)[c]}" for c in batch)
+    full = f"{kinds}, {schema}, records bigint, error string"
+    names = T._parse_datatype_string(full).names
+
+    def scored(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        try:
+            found = scorer(part[columns])[made].assign(records=None, error=None)
+        except Exception as problem:  # a failed batch must not fail the job
+            found = pd.DataFrame({**dict.fromkeys(made, [None]), "records": [len(part)],
+                                  "error": [str(problem)]})
+        return found.assign(**dict(zip(batch, key)))[names]
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        for frame in frames:
+            frame = frame if held is None else pd.concat([held, frame], ignore_index=True)
+            groups = list(frame.groupby(batch, sort=False, dropna=False))
+            held = groups[-1][1] if groups else None             # it may go on in the next frame
+            if done := [scored(k, g) for k, g in groups[:-1]]:
+                yield pd.concat(done, ignore_index=True)
+        if held is not None and len(held):
+            yield scored(tuple(held[batch].iloc[0]), held)
+
+    together = records.select(*dict.fromkeys([*batch, *columns])).repartition(*batch)
+    out = written(together.sortWithinPartitions(*dict.fromkeys([*batch, *columns])).mapInPandas(
+        run, full), "scored")
+    return (out.where(F.col("error").isNull()).drop("records", "error"),
+            out.where(F.col("error").isNotNull()).select(*batch, "records", "error"))
+
+
+def failed_batch_warnings(failed: DataFrame, category: str, number: str,
+                          tenant: str = "tenant") -> DataFrame:
+    """(tenant, category, identifier, warning): one row per failed batch."""
+    told = F.concat(F.lit(f"[{category}] Batch "), F.col(number).cast("string"), F.lit(" failed ("),
+                    "error", F.lit("): keeping "), F.col("records").cast("string"),
+                    F.lit(" record(s) unfiltered"))
+    return failed.select(F.col(tenant).alias("tenant"), F.lit(category).alias("category"),
+                         F.lit(None).cast("string").alias("identifier"), told.alias("warning"))
+
+
+def grounding_warnings(verdicts: DataFrame, shaped: DataFrame) -> DataFrame:
+    """:func:`verdict_warnings` over all categories at once, against the output shape.
+
+    ``verdicts`` has tenant, category and identifier; ``shaped`` holds every record of every
+    category, whatever became of it.
+    """
+    keyed = verdicts.select("tenant", "category", "identifier",
+                            identity(F.col("identifier")).alias("_id"))
+    known = shaped.select("tenant", "category", identity(F.col("identifier")).alias("_id")).distinct()
+    blank = keyed.where(F.col("_id") == "").withColumn("warning", F.lit("missing identifier"))
+    unknown = keyed.where(F.col("_id") != "").join(
+        known, ["tenant", "category", "_id"], "left_anti").withColumn(
+        "warning", F.lit("identifier not present in input"))
+    return blank.unionByName(unknown).drop("_id")
+
+
 # --- address corrections: order matters, tier rules -> catch-all -> guesses --------------------
 
 def _warn(df: DataFrame, hit: Column, text: Column) -> DataFrame:
@@ -206,13 +274,6 @@ def address_warnings(judged: DataFrame) -> DataFrame:
         F.explode("warnings").alias("warning"))
 
 
-def batch_warnings(scores: DataFrame, category: str, tenant: Column) -> DataFrame:
-    """(tenant, category, identifier, warning) of the scoring batches that failed."""
-    return scores.where(F.col("error").isNotNull()).select(
-        tenant.alias("tenant"), F.lit(category).alias("category"),
-        F.lit(None).cast("string").alias("identifier"), F.col("error").alias("warning"))
-
-
 def exclude_infrastructure(addresses: DataFrame) -> DataFrame:
     """Addresses at infrastructure hosts with the fixed verdict, the others without one."""
     infra = infrastructure_address(F.col("email"))

@@ -9,6 +9,7 @@ from rollcall.operators import compact, dedup, joins, report, verdicts
 from rollcall.plans import views
 from rollcall.plans.queries_hosts import joined
 from rollcall.plans.registry import query, sql
+from rollcall.plans.session import written
 
 C = F.col
 DOMAIN = "lower(substr(email, strpos(email, '@') + 1))"
@@ -421,7 +422,8 @@ FILTERED = f"""
 
 
 def _filtered(spark, sf):
-    return verdicts.filter_addresses(_merged(spark, sf), _verdicts(spark, sf))
+    """The merged addresses are read once for each half of the chain, so they are made once."""
+    return verdicts.filter_addresses(written(_merged(spark, sf), "merged"), _verdicts(spark, sf))
 
 
 @query("filter_addresses", sql("addr", body=f"""

@@ -157,15 +157,20 @@ def _(spark, sf):
         F.coalesce(F.size("f.details"), F.lit(-1)).alias("n_details"))
 
 
-def _judged_exposures(spark, sf):
-    heads, _ = dedup.merge_exposures(_exposures(spark, sf))
+def _exposure_verdicts(spark, sf):
     v = views.table(spark, sf, "events").where("event_type = 'error'").groupBy("user_id").agg(
         F.max_by("props", "event_id").alias("p"), F.max("event_id").alias("seq"),
         F.max_by("value", "event_id").alias("value"))
     v = v.select(F.lit("t").alias("tenant"), F.concat(F.lit("u"), C("user_id").cast("string"), F.lit("@X.example.com")).alias("identifier"),
                  (C("value") < 20).alias("keep"), F.lit(None).cast("string").alias("note"),
                  F.when(C("value") < 10, C("p")).alias("exposure_summary"), "seq")
-    return verdicts.attach_verdicts(heads, views.with_strangers(v), "email", ["note", "exposure_summary"])
+    return views.with_strangers(v)
+
+
+def _judged_exposures(spark, sf):
+    heads, _ = dedup.merge_exposures(_exposures(spark, sf))
+    return verdicts.attach_verdicts(heads, _exposure_verdicts(spark, sf), "email",
+                                    ["note", "exposure_summary"])
 
 
 @query("exposure_rows", """
@@ -239,15 +244,20 @@ def _counted(spark, sf):
     return dedup.mention_counts(heads, elements, ["tenant", "target", "target_type"])
 
 
-def _judged_mentions(spark, sf):
-    counted = _counted(spark, sf)
+def _mention_verdicts(spark, sf):
     v = views.table(spark, sf, "events").where("event_type = 'view'").groupBy("user_id").agg(
         F.max("event_id").alias("seq"), F.max_by("value", "event_id").alias("value"))
     v = v.select(
         F.lit("t").alias("tenant"), F.concat(F.lit("U"), C("user_id").cast("string"), F.lit("||view")).alias("identifier"),
         (C("value") < 20).alias("keep"), F.lit("seen").alias("note"),
         C("value").cast("int").cast("string").alias("exposure_summary"), "seq")
-    return verdicts.filter_mentions(counted, views.with_strangers(v), "n", ("note", "exposure_summary"))
+    return views.with_strangers(v)
+
+
+def _judged_mentions(spark, sf, counted=None):
+    counted = _counted(spark, sf) if counted is None else counted
+    return verdicts.filter_mentions(counted, _mention_verdicts(spark, sf), "n",
+                                    ("note", "exposure_summary"))
 
 
 JUDGED = f"""{HEADS},

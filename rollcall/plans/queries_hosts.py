@@ -334,7 +334,7 @@ def _(spark, sf):
     WITH a AS (SELECT tenant, host AS domain, max(url) AS harvest FROM hosts
                WHERE scheme = 'https' GROUP BY ALL),
          b AS (SELECT tenant, host AS domain, max(authority) AS raw_hits, count(*) AS n_certificates
-               FROM hosts WHERE lang = 'en' GROUP BY ALL)
+               FROM hosts WHERE lang = 'en' OR scheme <> 'https' GROUP BY ALL)
     SELECT coalesce(a.tenant, b.tenant) AS tenant, coalesce(a.domain, b.domain) AS domain,
            harvest, raw_hits, coalesce(n_certificates, 0) AS n_certificates
     FROM a FULL JOIN b ON a.tenant = b.tenant AND a.domain = b.domain"""))
@@ -346,7 +346,7 @@ def _(spark, sf):
 def _infrastructure(spark, sf):
     h = views.hosts(spark, sf).withColumnRenamed("host", "domain")
     a = h.where("scheme = 'https'").groupBy("tenant", "domain").agg(F.max("url").alias("harvest"))
-    b = h.where("lang = 'en'").groupBy("tenant", "domain").agg(
+    b = h.where("lang = 'en' or scheme <> 'https'").groupBy("tenant", "domain").agg(
         F.max("authority").alias("raw_hits"), F.count("*").alias("n_certificates"))
     return joins.merge_infrastructure(a, b, ["harvest"], ["raw_hits", "n_certificates"])
 
@@ -365,7 +365,7 @@ def _host_verdicts(spark, sf):
 
 @query("filter_infrastructure", sql("hosts", body=f"""
     WITH {HOST_VERDICTS},
-    i AS (SELECT DISTINCT tenant, host AS domain FROM hosts WHERE scheme = 'https' OR lang = 'en')
+    i AS (SELECT DISTINCT tenant, host AS domain FROM hosts)
     SELECT tenant, i.domain, coalesce(keep, true) AS keep,
            coalesce(note, 'not_evaluated_by_model_fail_open') AS note
     FROM i LEFT JOIN hv USING (tenant, domain)"""))

@@ -199,18 +199,23 @@ def _(spark, sf):
         "n_profiles", F.size("additional_profiles")).drop("additional_profiles")
 
 
-def _judged(spark, sf):
-    people = classify.classify(_named(spark, sf))
+def _verdicts(spark, sf):
     last = views.table(spark, sf, "orders").where("o_orderpriority <> '2-HIGH'").join(
         views.table(spark, sf, "customer"), C("o_custkey") == C("c_custkey")).select(
         F.lower("c_mktsegment").alias("tenant"), F.concat(F.lit("p-"), C("o_custkey").cast("string")).alias("identifier"),
         F.lit(False).alias("keep"), F.lit("noise").alias("tier"),
         C("o_orderpriority").alias("note"), C("o_orderstatus").alias("connection_to_target"),
         C("o_orderkey").alias("seq"))
+    return views.with_strangers(last)
+
+
+def _judged(spark, sf):
+    people = classify.classify(_named(spark, sf))
     rejected = people.withColumn(
         "employee_tier", F.when(C("job_title") == "Factory Worker", "reject")
         .otherwise(C("employee_tier")))
-    return verdicts.filter_people(rejected, views.with_strangers(last), ["tier", "note", "connection_to_target"])
+    return verdicts.filter_people(rejected, _verdicts(spark, sf),
+                                  ["tier", "note", "connection_to_target"])
 
 
 JUDGED = f"""

@@ -15,7 +15,7 @@ from rollcall.plans import queries_hosts as QH
 from rollcall.plans import queries_people as QP
 from rollcall.plans import views
 from rollcall.plans.registry import query, sql
-from rollcall.plans.session import checkpoint_dir
+from rollcall.plans.session import checkpoint_dir, written
 from rollcall.streaming import upserts
 
 C = F.col
@@ -529,15 +529,16 @@ def _(spark, sf):
     })
 
 
-def _shaped(spark, sf):
+def _shaped(spark, sf, filtered=None, counted=None):
+    filtered = QA._filtered(spark, sf) if filtered is None else filtered
     domains = QH._domain_table(spark, sf).withColumn("keep", ~F.array_contains("sources", "fr")) \
         .withColumn("tier", F.element_at("sources", 1))
     infrastructure = verdicts.attach_verdicts(
         QH._infrastructure(spark, sf), QH._host_verdicts(spark, sf), "domain", ["note"])
     return verdicts.output_shape(
-        {"domains": domains, "emails": QA._filtered(spark, sf),
+        {"domains": domains, "emails": filtered,
          "employees": QP._judged(spark, sf), "breaches": QE._judged_exposures(spark, sf),
-         "darkweb": QE._judged_mentions(spark, sf), "infrastructure": infrastructure},
+         "darkweb": QE._judged_mentions(spark, sf, counted), "infrastructure": infrastructure},
         {"domains": "domain", "emails": "email", "employees": "identifier", "breaches": "email",
          "darkweb": "target_key", "infrastructure": "domain"})
 
@@ -559,8 +560,8 @@ SHAPED = f"""{QA.MERGED}, {QA.TIERED}, {QA.FILTERED}, {QH.DOMAIN_TABLE},
         UNION ALL SELECT * FROM (WITH {QH.HOST_VERDICTS}
             SELECT i.tenant, 'infrastructure', i.domain, coalesce(keep, true),
                    coalesce(note, 'not_evaluated_by_model_fail_open'), NULL
-            FROM (SELECT DISTINCT tenant, host AS domain FROM hosts
-                  WHERE scheme = 'https' OR lang = 'en') i LEFT JOIN hv USING (tenant, domain)))"""
+            FROM (SELECT DISTINCT tenant, host AS domain FROM hosts) i
+            LEFT JOIN hv USING (tenant, domain)))"""
 
 
 @query("output_shape", sql("hosts", "addr", body=f"WITH {SHAPED} SELECT * FROM shaped"))
@@ -581,17 +582,123 @@ def _(spark, sf):
     return report.filter_stats(_shaped(spark, sf))
 
 
-def _warnings(spark, sf):
-    warned = verdicts.verdict_warnings(
-        QD._verdict_rows(spark, sf), QD._doc_records(spark, sf), "record", "documents")
-    return warned.drop("seq").unionByName(verdicts.address_warnings(QA._filtered(spark, sf)))
+# --- scoring ----------------------------------------------------------------------------------
+
+def keep_by_price(batch):
+    """A scorer for the test: verdicts from the price; a batch with a dear row fails as a whole."""
+    import pandas as pd
+
+    if batch["price"].max() > 440000:
+        raise ValueError("too dear")
+    return pd.DataFrame({
+        "identifier": batch["record"], "keep": batch["price"] > 150000,
+        "tier": None, "note": "scored", "seq": batch["seq"]})
+
+
+def _scored(spark, sf):
+    """(records, verdicts, failed batches): orders in batches of neighbouring keys."""
+    records = views.table(spark, sf, "orders").select(
+        C("o_orderkey").alias("seq"), F.concat(F.lit("o"), C("o_orderkey").cast("string")).alias("record"),
+        C("o_totalprice").alias("price"), C("o_orderstatus").alias("tenant"),
+        F.expr("o_orderkey div 64").alias("batch"))
+    return records, *verdicts.score_batches(
+        records, keep_by_price, "identifier string, keep boolean, tier string, note string, seq bigint",
+        ["seq", "record", "price"], ["tenant", "batch"])
+
+
+BATCHES = """
+    batches AS (
+        SELECT o_orderstatus AS tenant, o_orderkey // 64 AS batch, max(o_totalprice) > 440000 AS failed,
+               count(*) AS n FROM orders GROUP BY 1, 2)"""
+
+
+@query("score", f"""
+    WITH {BATCHES}
+    SELECT 'o' || o_orderkey AS record, failed OR o_totalprice > 150000 AS keep,
+           CASE WHEN failed THEN 'not_evaluated_by_model_fail_open' ELSE 'scored' END AS note
+    FROM orders JOIN batches ON tenant = o_orderstatus AND batch = o_orderkey // 64""")
+def _(spark, sf):
+    records, scores, _ = _scored(spark, sf)
+    return verdicts.attach_verdicts(records, scores, "record").select("record", "keep", "note")
+
+
+BATCH_WARNINGS = BATCHES + """,
+    batch_warned AS (
+        SELECT tenant, 'emails' AS category, NULL AS identifier,
+               '[emails] Batch ' || batch || ' failed (too dear): keeping ' || n
+                   || ' record(s) unfiltered' AS warning
+        FROM batches WHERE failed)"""
+
+
+@query("failed_batches", f"WITH {BATCH_WARNINGS} SELECT * FROM batch_warned")
+def _(spark, sf):
+    return verdicts.failed_batch_warnings(_scored(spark, sf)[2], "emails", "batch")
+
+
+# --- warnings and the audit log ---------------------------------------------------------------
+
+def _all_verdicts(spark, sf):
+    """(tenant, category, identifier) of every verdict of a run but those on documents."""
+    hosts = QH._host_verdicts(spark, sf)
+    out = None
+    for category, given in (("domains", hosts), ("infrastructure", hosts),
+                            ("emails", QA._verdicts(spark, sf)), ("employees", QP._verdicts(spark, sf)),
+                            ("breaches", QE._exposure_verdicts(spark, sf)),
+                            ("darkweb", QE._mention_verdicts(spark, sf))):
+        rows = given.select("tenant", F.lit(category).alias("category"), "identifier")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+GROUNDED = """
+    own AS (
+        SELECT tenant, unnest(['domains', 'infrastructure']) AS category, upper(host) AS identifier
+        FROM hosts WHERE lang <> 'es'
+        UNION ALL SELECT DISTINCT tenant, 'emails', upper(email) FROM addr
+                  WHERE o_orderpriority <> '4-NOT SPECIFIED'
+        UNION ALL SELECT lower(c_mktsegment), 'employees', 'p-' || o_custkey
+                  FROM orders JOIN customer ON c_custkey = o_custkey WHERE o_orderpriority <> '2-HIGH'
+        UNION ALL SELECT DISTINCT 't', 'breaches', 'u' || user_id || '@X.example.com' FROM events
+                  WHERE event_type = 'error'
+        UNION ALL SELECT DISTINCT 't', 'darkweb', 'U' || user_id || '||view' FROM events
+                  WHERE event_type = 'view'),
+    given AS (SELECT * FROM own UNION ALL SELECT 'elsewhere', category, identifier FROM own),
+    known AS (SELECT DISTINCT tenant, category, lower(identifier) AS id, TRUE AS yes FROM shaped),
+    grounded AS (
+        SELECT g.tenant, g.category, g.identifier, 'identifier not present in input' AS warning
+        FROM given g LEFT JOIN known k ON k.tenant = g.tenant AND k.category = g.category
+             AND k.id = lower(g.identifier)
+        WHERE yes IS NULL)"""
+
+
+def _run(spark, sf):
+    """What a filter run leaves: each table made once and written, for all that is read from it."""
+    filtered = written(QA._filtered(spark, sf), "filtered")
+    counted = written(QE._counted(spark, sf), "targets")
+    shaped = written(_shaped(spark, sf, filtered, counted), "shaped")
+    outcome = written(QD._outcome(spark, sf).select("tenant", "filename", "error", "summary"),
+                      "outcome")
+    documents = verdicts.verdict_warnings(
+        QD._verdict_rows(spark, sf), QD._doc_records(spark, sf), "record", "documents").drop("seq")
+    warned = documents.unionByName(verdicts.address_warnings(filtered)).unionByName(
+        verdicts.grounding_warnings(_all_verdicts(spark, sf), shaped)).unionByName(
+        verdicts.failed_batch_warnings(_scored(spark, sf)[2], "emails", "batch"))
+    return {"shaped": shaped, "targets": counted, "outcome": outcome,
+            "warnings": written(warned, "warnings")}
+
+
+@query("grounding_warnings", sql("hosts", "addr", body=f"WITH {SHAPED}, {GROUNDED} SELECT * FROM grounded"))
+def _(spark, sf):
+    shaped = written(_shaped(spark, sf), "shaped")
+    return verdicts.grounding_warnings(_all_verdicts(spark, sf), shaped)
 
 
 def _audit(spark, sf):
-    return report.audit_log(_shaped(spark, sf), QD._outcome(spark, sf), _warnings(spark, sf))
+    run = _run(spark, sf)
+    return report.audit_log(run["shaped"], run["outcome"], run["warnings"])
 
 
-AUDIT = f"""{SHAPED}, {QD.OUTCOME}, {QD.WARNED},
+AUDIT = f"""{SHAPED}, {QD.OUTCOME}, {QD.WARNED}, {GROUNDED}, {BATCH_WARNINGS},
     correction AS (
         SELECT tenant, email AS identifier, unnest([{QA.TIER_WARNING}, {QA.CATCH_ALL_WARNING},
             CASE WHEN guess THEN '[emails] ' || {QA.RECONCILED} || ' (' || email || ')' END]) AS w
@@ -604,6 +711,8 @@ AUDIT = f"""{SHAPED}, {QD.OUTCOME}, {QD.WARNED},
         FROM shaped WHERE NOT keep AND category <> 'infrastructure'
         UNION ALL SELECT tenant, 'Documents not usable', filename, error FROM outcome WHERE error <> ''
         UNION ALL SELECT tenant, 'Pipeline Warnings', identifier, warning FROM warned
+        UNION ALL SELECT tenant, 'Pipeline Warnings', identifier, warning FROM grounded
+        UNION ALL SELECT tenant, 'Pipeline Warnings', identifier, warning FROM batch_warned
         UNION ALL SELECT tenant, 'Pipeline Warnings', identifier, w FROM correction WHERE w IS NOT NULL)"""
 
 
@@ -622,8 +731,8 @@ MEASURES = f"""{AUDIT},
 
 
 def _measures(spark, sf):
-    return report.filter_measures(_shaped(spark, sf), QE._counted(spark, sf),
-                                  QD._outcome(spark, sf), _warnings(spark, sf))
+    run = _run(spark, sf)
+    return report.filter_measures(run["shaped"], run["targets"], run["outcome"], run["warnings"])
 
 
 @query("filter_measures", sql("hosts", "addr", "docs", body=f"WITH {MEASURES} SELECT * FROM measured"))
@@ -657,38 +766,3 @@ def _(spark, sf):
     SELECT tenant, measure, count(*) FILTER (label = measure) AS value FROM audit, l GROUP BY 1, 2"""))
 def _(spark, sf):
     return report.exclusion_counts(_audit(spark, sf))
-
-
-# --- scoring ----------------------------------------------------------------------------------
-
-def keep_by_price(batch):
-    """A scorer for the test: verdicts from the price; a batch with a bad row fails as a whole."""
-    import pandas as pd
-
-    if batch["price"].isna().any():
-        raise ValueError("no price")
-    return pd.DataFrame({
-        "identifier": batch["record"], "keep": batch["price"] > 150000,
-        "tier": None, "note": "scored", "seq": batch["seq"]})
-
-
-def _scored(spark, sf):
-    records = views.table(spark, sf, "orders").select(
-        C("o_orderkey").alias("seq"), F.concat(F.lit("o"), C("o_orderkey").cast("string")).alias("record"),
-        C("o_totalprice").alias("price"))
-    scores = verdicts.score(
-        records, keep_by_price, "identifier string, keep boolean, tier string, note string, seq bigint",
-        ["seq", "record", "price"])
-    return records, scores
-
-
-@query("score", """
-    SELECT 'o' || o_orderkey AS record, o_totalprice > 150000 AS keep, 'scored' AS note FROM orders""")
-def _(spark, sf):
-    records, scores = _scored(spark, sf)
-    return verdicts.attach_verdicts(
-        records.withColumn("tenant", F.lit("t")),
-        scores.where("error is null").withColumn("tenant", F.lit("t")), "record").select(
-        "record", "keep", "note")
-
-
