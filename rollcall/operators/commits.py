@@ -40,9 +40,12 @@ class Conflict(RuntimeError):
 
 @dataclass(frozen=True)
 class Table:
+    """``order``: a column that says which row of a key is newest; by default the last commit's is."""
+
     schema: str
     keys: list[str]
     buckets: int
+    order: str | None = None
     base: str | None = None
     changes: list[str] = field(default_factory=list)
 
@@ -137,7 +140,10 @@ def changed(spark: SparkSession, snap: Snapshot, name: str) -> DataFrame:
     places = F.create_map(*[F.lit(v) for i, c in enumerate(t.changes) for v in (c, i)])
     folder = F.regexp_extract(F.col("_metadata.file_path"), r"(data/[^/]+/[^/]+)/[^/]+$", 1)
     rows = spark.read.schema(schema).parquet(*[f"{snap.path}/{c}" for c in t.changes])
-    return last_wins(rows.withColumn("_at", places[folder]), t.keys, "_at").drop("_at")
+    placed = rows.withColumn("_at", places[folder])
+    if t.order:
+        placed = placed.withColumn("_at", F.struct(t.order, "_at"))
+    return last_wins(placed, t.keys, "_at").drop("_at")
 
 
 def read(spark: SparkSession, snap: Snapshot, name: str) -> DataFrame:
@@ -145,11 +151,21 @@ def read(spark: SparkSession, snap: Snapshot, name: str) -> DataFrame:
     t, base = snap.tables[name], _base(spark, snap, name)
     if not t.changes:
         return base
-    new = changed(spark, snap, name)
-    rest = base
+    new, rest = changed(spark, snap, name), base
     if t.base is not None:
         # built from the changed keys of a bucket, so that the base is not even sorted
-        rest = base.join(new.select(*t.keys).hint("shuffle_hash"), t.keys, "left_anti")
+        small = new.select(*t.keys, *([F.col(t.order).alias("_new")] if t.order else [])).hint(
+            "shuffle_hash")
+        if t.order:
+            met = base.join(small, t.keys)
+            late = met.where(F.col(t.order) > F.col("_new")).select(*t.keys)
+            new = new.join(late, t.keys, "left_anti")            # few: rows that came too late
+            same = base[t.keys[0]] == small[t.keys[0]]
+            for k in t.keys[1:]:
+                same = same & (base[k] == small[k])
+            rest = base.join(small, same & (base[t.order] <= small["_new"]), "left_anti")
+        else:
+            rest = base.join(small, t.keys, "left_anti")
     return rest.select(*base.columns).unionByName(
         new.where(~F.col(GONE)).select(*base.columns))
 
@@ -191,8 +207,8 @@ def commit(spark: SparkSession, path: str, changes: dict[str, DataFrame], seq: s
 def _write_changes(rows: DataFrame, t: Table, seq: str, folder: str) -> None:
     if GONE not in rows.columns:
         rows = rows.withColumn(GONE, F.lit(False))
-    wanted = [c for c in rows.columns if c != seq]
-    newest = last_wins(rows.select(*wanted, seq), t.keys, seq) if seq in rows.columns else rows
+    wanted = [c for c in rows.columns if c != seq or c == t.order]
+    newest = last_wins(rows, t.keys, seq) if seq in rows.columns else rows
     newest.select(*wanted).write.parquet(folder)
 
 

@@ -174,8 +174,8 @@ def _(spark, sf):
                FROM docs)
     SELECT seq, tenant, filename, discovery_method FROM f WHERE discovery_method = 'metagoofil'
     UNION ALL
-    SELECT min(seq), tenant, replace(filename, 'fr', 'en'), 'apify-google' FROM f
-    WHERE discovery_method = 'apify-google'
+    SELECT min(seq), tenant, replace(filename, 'fr', 'en'), arg_min(discovery_method, seq) FROM f
+    WHERE discovery_method <> 'metagoofil'
       AND (tenant, replace(filename, 'fr', 'en')) NOT IN
           (SELECT (tenant, filename) FROM f WHERE discovery_method = 'metagoofil')
     GROUP BY 2, 3"""))
@@ -184,7 +184,7 @@ def _(spark, sf):
                     F.expr("n_chars div 100").cast("string"))
     d = views.docs(spark, sf).select("seq", "tenant", stem.alias("filename"), "discovery_method")
     return dedup.merge_document_methods(
-        d.where("discovery_method = 'metagoofil'"), d.where("discovery_method = 'apify-google'"))
+        d.where("discovery_method = 'metagoofil'"), d.where("discovery_method <> 'metagoofil'"))
 
 
 def _with_path(d):
@@ -225,23 +225,23 @@ def _(spark, sf):
         C("seq").alias("page_id"), artifacts.signature_ok(content, ext, kind).alias("ok"))
 
 
-@query("documents_mentioning", sql("docs", body="""
+@query("documents_mentioning", """
     WITH org AS (
         SELECT 'src' || item_id AS tenant, lower(text) AS name, 'src' || item_id || '.example.com' AS domain,
                list_filter(string_split_regex(lower(text), '[^\\pL\\pN_]+'),
-                           lambda w: length(w) >= 12) AS words
+                           lambda w: length(w) >= 3) AS words
         FROM benchmark)
-    SELECT seq, tenant, coalesce(contains(lower(text), name) OR contains(lower(text), domain)
+    SELECT doc_id AS seq, source AS tenant, coalesce(contains(lower(text), name)
+           OR contains(lower(text), domain)
            OR len(list_filter(words, lambda w: contains(lower(text), w))) > 0, false) AS content_verified
-    FROM docs LEFT JOIN org USING (tenant)"""))
+    FROM documents LEFT JOIN org ON org.tenant = source""")
 def _(spark, sf):
-    long_words = F.filter(F.split(C("text"), r"(?U)\W+"), lambda w: F.length(w) >= 12)
     orgs = views.table(spark, sf, "benchmark").select(
-        F.concat(F.lit("src"), C("item_id").cast("string")).alias("tenant"),
-        F.array_join(long_words, " ").alias("name"),
+        F.concat(F.lit("src"), C("item_id").cast("string")).alias("tenant"), C("text").alias("name"),
         F.concat(F.lit("SRC"), C("item_id").cast("string"), F.lit(".example.com")).alias("domain"),
     )
-    d = views.docs(spark, sf).select("seq", "tenant", "text")
+    d = views.table(spark, sf, "documents").select(
+        C("doc_id").alias("seq"), C("source").alias("tenant"), "text")
     return joins.documents_mentioning(d, orgs).select("seq", "tenant", "content_verified")
 
 
@@ -385,13 +385,11 @@ def _(spark, sf):
         F.coalesce(C("mentions_target_company").cast("string"), F.lit("-")).alias("mentions"))
 
 
-@query("save_json", """
-    SELECT conv_id, turn, role, CASE WHEN role = 'user' THEN text END AS text FROM conversations""")
+@query("save_json", "SELECT conv_id, turn, role, text FROM conversations")
 def _(spark, sf):
     """Written as JSON and read back: nulls stay, text of any alphabet survives."""
     path = f"{checkpoint_dir(spark)}/save_json-{uuid.uuid4().hex}"
-    c = views.table(spark, sf, "conversations").withColumn(
-        "text", F.when(C("role") == "user", C("text")))
+    c = views.table(spark, sf, "conversations")
     store.save_json(c, path)
     return spark.read.schema(c.schema).json(path)
 

@@ -142,17 +142,23 @@ def _event_records(e):
 
 @query("stream_upserts", EVENT_RECORDS)
 def _(spark, sf):
-    """The events table, cut into files by day, arriving as a stream; the store's final state."""
-    base = f"{checkpoint_dir(spark)}/stream_upserts-{uuid.uuid4().hex}"
-    e = _event_records(views.table(spark, sf, "events"))
-    e.withColumn("day", F.to_date("updated_at")).repartitionByRange(4, "seq").sortWithinPartitions(
-        "seq").drop("day").write.parquet(f"{base}/in")
+    """The events as a stream of files in any order, some of which come twice; the final state."""
+    base = _folder(spark, "stream_upserts")
     schema = "tier string, entity string, tenant string, record_key string, data string, " \
         "updated_at timestamp, seq bigint"
-    arriving = upserts.observation_stream(spark, f"{base}/in", schema, files_per_trigger=1)
-    done = upserts.stream_upserts(arriving, f"{base}/store", f"{base}/checkpoint")
-    done.awaitTermination()
-    return store.current(spark, f"{base}/store").drop("updated_at")
+    e = _event_records(views.table(spark, sf, "events"))
+    shuffled = e.withColumn("_part", F.pmod(F.xxhash64("seq"), F.lit(8))).repartition(8, "_part")
+    shuffled.drop("_part").write.parquet(f"{base}/in")
+    shuffled.where("_part < 3").drop("_part").write.mode("append").parquet(f"{base}/in")
+    table = commits.Table(schema, store.KEYS, 8, order="seq")
+    commits.create(spark, f"{base}/store", {"records": table})
+    first = e.where("seq % 10 = 0")                      # what the store held before
+    commits.load(spark, f"{base}/store", {"records": dedup.last_wins(first, store.KEYS, "seq")})
+    arriving = upserts.observation_stream(spark, f"{base}/in", schema, files_per_trigger=4)
+    upserts.stream_commits(arriving, f"{base}/store", "records", f"{base}/checkpoint",
+                           "events").awaitTermination()
+    snap = commits.snapshot(spark, f"{base}/store")
+    return commits.read(spark, snap, "records").drop("updated_at", "seq")
 
 
 # --- review -----------------------------------------------------------------------------------

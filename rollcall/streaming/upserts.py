@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from rollcall.operators import commits
 from rollcall.operators.store import write_version
 
 
@@ -36,3 +37,24 @@ def stream_upserts(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def stream_commits(
+    rows: DataFrame, path: str, table: str, checkpoint: str, writer: str, seq: str = "seq"
+) -> StreamingQuery:
+    """Each micro-batch, of however many files, becomes one commit to a table of a store.
+
+    A batch that is run again is known by its number.  With a table that is ordered by ``seq``,
+    rows that come late or again, in whatever batch, change nothing: the state is the table itself,
+    so no watermark cuts them off, and no state store has to hold all keys.
+    """
+
+    def publish(batch: DataFrame, batch_id: int) -> None:
+        commits.commit(batch.sparkSession, path, {table: batch}, seq, writer, batch_id)
+
+    return (
+        rows.writeStream.foreachBatch(publish)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
