@@ -6,6 +6,7 @@ from rollcall.plans import (  # noqa: F401
     queries_events,
     queries_hosts,
     queries_people,
+    queries_records,
     queries_review,
     queries_sources,
 )
