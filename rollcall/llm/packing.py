@@ -19,6 +19,8 @@ from __future__ import annotations
 import os
 import re
 import struct
+import sys
+import types
 import unicodedata
 import zlib
 from collections.abc import Iterator
@@ -34,7 +36,7 @@ CAPACITY = 4096
 UNIT = 16
 CLOSING_ID = 2
 VOCABULARY = "word_bpe_49k.json"
-KEPT_WORDS = 1_000_000       # encodings a task remembers before it starts afresh
+KEPT_WORDS = 800_000         # encodings a worker remembers before it starts afresh
 TOGETHER = 500_000
 ROWS_PER_CELL = 1024
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
@@ -144,13 +146,22 @@ class Encoder:
         return self.split(text.lower())
 
 
+def encoder(path: str) -> Encoder:
+    """The encoder of this worker process.  Spark keeps a worker for many tasks, and functions of this
+    package are rebuilt for each, so it hangs on a module of its own; losing it costs time only."""
+    home = sys.modules.setdefault("_rollcall_encoders", types.ModuleType("_rollcall_encoders"))
+    if path not in vars(home):
+        setattr(home, path, Encoder(path))
+    return vars(home)[path]
+
+
 def cut(df: DataFrame, path: str, capacity: int = CAPACITY, closing: int = CLOSING_ID) -> DataFrame:
     """Pieces of the documents (doc_id, text): start, length, checksum, the document's ids."""
     names = [f.split()[0] for f in PIECES.split(", ")]
     last = np.array([closing], "<u4").tobytes()
 
     def run(batches):
-        encode = Encoder(path)
+        encode = encoder(path)
         for batch in batches:
             out = []
             for doc, ids in zip(batch.column("doc_id").to_pylist(),
