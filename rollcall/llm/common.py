@@ -19,15 +19,39 @@ from rollcall.plans.session import checkpoint_dir
 FILTER_BITS = 26          # 8 MB
 
 
+# What a Python worker is given at once: texts are long, and two workers share an executor's memory.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": 1000,
+           "spark.sql.execution.arrow.maxBytesPerBatch": 16 << 20}
+
+
+def bounded(spark: SparkSession) -> SparkSession:
+    """The session with batches no larger than ``BATCHES``; smaller ones stay."""
+    for key, most in BATCHES.items():
+        now = spark.conf.get(key, None)
+        try:
+            if now is not None and 0 < int(now) <= most:
+                continue
+        except ValueError:                           # a size with a unit
+            pass
+        spark.conf.set(key, str(most))
+    return spark
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """Write to the shared checkpoint folder and read back: cuts lineage, survives lost executors."""
-    spark = df.sparkSession
+    """Write to the shared checkpoint folder and read back: cuts lineage, survives lost executors.
+
+    Spark removes the shuffle files of a plan once the driver's garbage collector has found it
+    unused.  It is asked to look here, as work in many rounds would else keep all of them to its end.
+    """
+    spark = bounded(df.sparkSession)
     path = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -45,6 +45,7 @@ from rollcall.llm.components import components
 WORDS = 5
 LOW = 0.30                 # share of the hash range that is "low"
 HOT = 24                   # an element of more groups is hot
+TOGETHER = 500_000         # elements a task sorts at once, and those of one more document
 PIVOTS, PIVOT_ELEMENTS = 2, 4
 
 _A = [np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9),
@@ -125,14 +126,35 @@ def element_rows(docs: DataFrame, part: str, hot: int) -> DataFrame:
     A group's sets share their low elements, so one of them tells all; of the high ones each set
     sends its own, and what is counted for the group is at least what any of its sets has.
 
-    Elements hot within one batch are certainly hot: they send one marker (n = -1) for the others
+    Elements hot among ``TOGETHER`` ones are certainly hot: they send one marker (n = -1) for the others
     to see, and their groups' counts go on spread by group (negative element, n = 0), so that a
     very common element does not gather its rows in one task.
     """
 
+    def rows_of(toks, gs, ns):
+        tok, g, n = np.concatenate(toks), np.concatenate(gs), np.concatenate(ns)
+        order = np.lexsort((g, tok))
+        tok, g, n = tok[order], g[order], n[order]
+        fresh = np.concatenate(([True], (tok[1:] != tok[:-1]) | (g[1:] != g[:-1])))
+        tok, g, n = tok[fresh], g[fresh], n[fresh]
+        _, first, count = np.unique(tok, return_index=True, return_counts=True)
+        common = np.repeat(count > hot, count)
+        if common.any():
+            marks = tok[first[count > hot]]
+            far = -1 - (g[common] ^ tok[common])
+            tok = np.concatenate((tok[~common], marks, far))
+            n = np.concatenate((n[~common], np.full(len(marks), -1, np.int32),
+                                np.zeros(len(far), np.int32)))
+            g = np.concatenate((g[~common], np.full(len(marks), -1, np.int64), g[common]))
+        for at in range(0, len(tok), 100_000):
+            part_ = slice(at, at + 100_000)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(tok[part_]), pa.array(g[part_]), pa.array(n[part_])],
+                names=["element", "g", "n"])
+
     def run(batches):
+        seen, toks, gs, ns, size = set(), [], [], [], 0
         for batch in batches:
-            seen, toks, gs, ns = set(), [], [], []
             for doc, text in _columns(batch):
                 s = shingle_set(text)
                 if not len(s) or doc is None:
@@ -141,34 +163,19 @@ def element_rows(docs: DataFrame, part: str, hot: int) -> DataFrame:
                 key = g if part == "low" else set_id(s)
                 if key in seen:
                     continue
-                seen.add(key)
                 own = s[:low_count(s)] if part == "low" else s[low_count(s):]
+                if not len(own):
+                    continue
+                seen.add(key)
                 toks.append(own)
                 gs.append(np.full(len(own), g, np.int64))
                 ns.append(np.full(len(own), len(s), np.int32))
-            if not toks:
-                continue
-            tok, g, n = np.concatenate(toks), np.concatenate(gs), np.concatenate(ns)
-            if not len(tok):
-                continue
-            order = np.lexsort((g, tok))
-            tok, g, n = tok[order], g[order], n[order]
-            fresh = np.concatenate(([True], (tok[1:] != tok[:-1]) | (g[1:] != g[:-1])))
-            tok, g, n = tok[fresh], g[fresh], n[fresh]
-            _, first, count = np.unique(tok, return_index=True, return_counts=True)
-            common = np.repeat(count > hot, count)
-            if common.any():
-                marks = tok[first[count > hot]]
-                far = -1 - (g[common] ^ tok[common])
-                tok = np.concatenate((tok[~common], marks, far))
-                n = np.concatenate((n[~common], np.full(len(marks), -1, np.int32),
-                                    np.zeros(len(far), np.int32)))
-                g = np.concatenate((g[~common], np.full(len(marks), -1, np.int64), g[common]))
-            for at in range(0, len(tok), 100_000):
-                part_ = slice(at, at + 100_000)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(tok[part_]), pa.array(g[part_]), pa.array(n[part_])],
-                    names=["element", "g", "n"])
+                size += len(own)
+                if size >= TOGETHER:
+                    yield from rows_of(toks, gs, ns)
+                    seen, toks, gs, ns, size = set(), [], [], [], 0
+        if toks:
+            yield from rows_of(toks, gs, ns)
 
     return docs.mapInArrow(run, "element long, g long, n int")
 
