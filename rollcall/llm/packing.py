@@ -36,7 +36,7 @@ CAPACITY = 4096
 UNIT = 16
 CLOSING_ID = 2
 VOCABULARY = "word_bpe_49k.json"
-KEPT_WORDS = 800_000         # encodings a worker remembers before it starts afresh
+KEPT_WORDS = 200_000         # encodings a worker remembers, and as many from before
 TOGETHER = 500_000
 ROWS_PER_CELL = 1024
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
@@ -91,6 +91,7 @@ class Encoder:
         self.last = np.zeros(self.parts.get_vocab_size(), bool)
         self.last[[i for word, i in self.parts.get_vocab().items() if word.endswith("</w>")]] = True
         self.kept: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
 
     def __call__(self, text: str | None) -> bytes:
         return next(self.each([text]))
@@ -108,12 +109,14 @@ class Encoder:
 
     def _together(self, texts: list[str | None]) -> Iterator[bytes]:
         parts = [self._parts(t) for t in texts]
-        kept = self.kept
         words = set().union(*[p for p in parts if p is not None])
+        if len(self.kept) > KEPT_WORDS:              # words that are used again move on
+            self.kept, self.before = {}, self.kept
+        kept, before = self.kept, self.before
         new = [w for w in words if w not in kept]
-        if len(kept) + len(new) > KEPT_WORDS:
-            kept = self.kept = {}
-            new = list(words)
+        if before:
+            kept.update((w, before[w]) for w in new if w in before)
+            new = [w for w in new if w not in before]
         kept.update(zip(new, self._encoded(new)))
         for text, own in zip(texts, parts):
             if own is None:
