@@ -5,12 +5,12 @@ Each stage takes (spark, docs, sf_dir) and works on all rows its predecessor kep
 return the columns of ``documents``.
 
 Defined results: rows without an id, and null or empty texts, are kept by the filtering stages;
-rows that share an id count as one document for near copies.
+rows that share an id are told apart by their texts.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollcall.llm import decontam, ngram_join, packing, secrets, toxicity
@@ -27,27 +27,30 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each component of links.
+    """Of each component of links the row with the smallest id (and, of texts that share it, hash).
 
-    Most documents stay, and the filter of fixed size tells most of them without a join; only the
-    others are shuffled by id.
+    Rows are judged by id and text, so unlike texts under one id all stay.  Most documents stay,
+    and the filter of fixed size tells most of them without a join; only the others are shuffled.
     """
-    found = written(ngram_join.join(docs), "near-copies").where("doc_id is not null")
-    per_id = found.groupBy("doc_id").agg(
-        F.min("component_id").alias("first"), F.count(F.lit(1)).alias("rows"))
-    judged = written(per_id.where("first < doc_id or rows > 1").select(
-        F.col("doc_id").alias("id"), (F.col("first") < F.col("doc_id")).alias("gone")), "judged")
+    found = written(ngram_join.roots_of(docs), "near-copies").where("root is not null")
+    groups = found.groupBy("root").agg(
+        F.min(F.struct("doc_id", "h")).alias("first"), F.count(F.lit(1)).alias("rows"))
+    judged = written(found.select("root", "doc_id", "h").join(
+        groups.where("rows > 1"), "root").groupBy(F.col("doc_id").alias("id"), F.col("h").alias("_h"))
+        .agg(F.min((F.struct("doc_id", "h") == F.col("first")).cast("int")).alias("stays")), "judged")
     flat = id_filter(judged.select("id"))
-    asked = free_name(docs, "_asked")
+    asked, h = free_name(docs, "_asked"), free_name(docs, "_text")
     every = marked(docs, flat, asked)
     clear = every.where(~F.col(asked)).drop(asked)
-    rest = every.where(F.col(asked)).drop(asked)
-    turn = free_name(docs, "_turn")
-    one = Window.partitionBy("doc_id").orderBy("text")
-    kept = rest.join(judged.where("gone").select(F.col("id").alias("doc_id")), "doc_id",
-                     "left_anti").withColumn(turn, F.row_number().over(one)).where(
-        F.col(turn) == 1)
-    return clear.unionByName(kept.select(docs.columns))
+    rest = every.where(F.col(asked)).drop(asked).withColumn(h, F.xxhash64("text"))
+    met = rest.join(judged, (F.col("doc_id") == F.col("id")) & (F.col(h) == F.col("_h")), "left")
+    alone = met.where(F.col("stays").isNull()).select(docs.columns)
+    # rows equal in id and text: one of them, chosen by partial aggregation
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    one = met.where("stays = 1").groupBy("doc_id", h).agg(F.min_by(
+        whole, F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])).alias("row"))
+    kept = one.select(*[F.col("row")[c].alias(c) for c in docs.columns])
+    return clear.unionByName(alone).unionByName(kept)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -103,21 +103,23 @@ def _columns(batch: pa.RecordBatch):
 
 
 def members(docs: DataFrame) -> DataFrame:
-    """(doc_id, n, low, fp, g) of every row; fp and g are null without a set or an id."""
+    """(doc_id, n, low, fp, g, h) of every row; fp and g are null without a set or an id, ``h`` is
+    Spark's hash of the text."""
 
     def run(batches):
         for batch in batches:
             rows = []
-            for doc, text in _columns(batch):
+            for (doc, text), h in zip(_columns(batch), batch.column("h").to_pylist()):
                 s = shingle_set(text)
                 known = len(s) and doc is not None
                 rows.append((doc, len(s), low_count(s), set_id(s) if known else None,
-                             group_id(s) if known else None))
-            cols = list(zip(*rows)) or [()] * 5
+                             group_id(s) if known else None, h))
+            cols = list(zip(*rows)) or [()] * 6
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols],
-                                             names=["doc_id", "n", "low", "fp", "g"])
+                                             names=["doc_id", "n", "low", "fp", "g", "h"])
 
-    return docs.mapInArrow(run, "doc_id long, n long, low long, fp long, g long")
+    return docs.withColumn("h", F.xxhash64("text")).mapInArrow(
+        run, "doc_id long, n long, low long, fp long, g long, h long")
 
 
 def element_rows(docs: DataFrame, part: str, hot: int) -> DataFrame:
@@ -413,7 +415,16 @@ def across(rows: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def join(docs: DataFrame, hot: int = HOT) -> DataFrame:
-    """(doc_id, n_shingles, component_id, n_in_class) of every row of (doc_id, text)."""
+    """(doc_id, n_shingles, component_id) of every row of (doc_id, text)."""
+    return roots_of(docs, hot).select("doc_id", "n_shingles", "component_id")
+
+
+def roots_of(docs: DataFrame, hot: int = HOT) -> DataFrame:
+    """(doc_id, h, n_shingles, component_id, root) of every row of (doc_id, text).
+
+    ``h`` is Spark's hash of the text; ``root`` tells components apart where ids are repeated, and
+    is null for rows without a set or an id, which link with nothing.
+    """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     every = written(members(docs), "members")
     known = every.where(F.col("fp").isNotNull())
@@ -473,10 +484,10 @@ def join(docs: DataFrame, hot: int = HOT) -> DataFrame:
     of_set = reps.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
         "root", F.coalesce("root", "fp"))
     ids = of_set.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    named = of_set.join(ids, "root").select("fp", "component_id")
+    named = of_set.join(ids, "root").select("fp", "component_id", "root")
     return every.join(named, "fp", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"),
-        F.coalesce("component_id", "doc_id").alias("component_id"))
+        "doc_id", "h", F.col("n").alias("n_shingles"),
+        F.coalesce("component_id", "doc_id").alias("component_id"), "root")
 
 
 def reps_of(classes: DataFrame, groups: DataFrame) -> DataFrame:

@@ -57,3 +57,23 @@ def test_the_rest_stands_without_this_package(tmp_path):
     run = subprocess.run([sys.executable, "-c", code, str(tmp_path)], cwd=tmp_path,
                          capture_output=True, text=True, timeout=100)
     assert run.returncode == 0, run.stderr
+
+
+def test_unlike_texts_of_one_id_all_stay(spark):
+    import random
+
+    rng = random.Random(5)
+
+    def text(n=40):
+        return " ".join(f"w{rng.randint(0, 10**9)}" for _ in range(n))
+
+    a, b, c, d = text(), text(), text(), text()
+    near = a + " and one more"
+    rows = [(5, None), (5, a), (5, b), (5, b), (5, b), (6, near), (7, c), (8, c), (8, d), (9, near),
+            (9, a), (None, a), (None, a), (10, ""), (10, "")]
+    docs = spark.createDataFrame([(i, t, "en", f"s{k}", 1) for k, (i, t) in enumerate(rows)],
+                                 table(spark, SF, "documents").schema)
+    got = pipeline.keep_one_of_each_group(spark, docs, SF)
+    assert got.columns == docs.columns
+    assert sorted(((r.doc_id or 0), r.text or "") for r in got.collect()) == sorted([
+        (5, ""), (5, a), (5, b), (7, c), (8, d), (0, a), (0, a), (10, ""), (10, "")])
