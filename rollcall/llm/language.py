@@ -26,8 +26,7 @@ from rollcall.llm.common import free_name, handed_out, per_batch, with_fields
 from rollcall.llm.textgrams import language_features
 
 BITS = 18
-SAMPLE = 1500
-MOST_LANGUAGES = 500     # languages learned; with more, those of fewest sampled rows are left
+SAMPLE = 1000            # rows a language; up to here Spark cuts each task's rows before the shuffle
 HAS_LETTER = re.compile(r"[^\W\d_]")
 # Families by language code; a language that is not listed forms the family "other" with its like.
 FAMILIES = {
@@ -117,14 +116,16 @@ def train_pairs(names: list[str], rows: list, kind: np.ndarray, cost: float = 5.
 def fit(docs: DataFrame, per_language: int = SAMPLE, families=None) -> Model:
     """Model from rows (doc_id, text, lang); rows without text or language teach nothing."""
     rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    h = rows.select("lang", F.xxhash64("doc_id").alias("h"))
+    hashed = rows.withColumn("h", F.xxhash64("doc_id", "text"))
     first = Window.partitionBy("lang").orderBy("h")
-    edge = h.withColumn("k", F.row_number().over(first)).where(F.col("k") <= per_language).groupBy(
-        "lang").agg(F.max("h").alias("edge"), F.count(F.lit(1)).alias("n"))
-    edge = edge.orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES).select("lang", "edge")
-    # a broadcast of MOST_LANGUAGES rows at most: no text is shuffled by its language
-    picked = rows.join(F.broadcast(edge), "lang").where(F.xxhash64("doc_id") <= F.col("edge")).select(
-        "lang", F.xxhash64("doc_id").alias("h"), "text")
+
+    def least(df):
+        return df.withColumn("k", F.row_number().over(first)).where(
+            F.col("k") <= per_language).drop("k")
+
+    edge = least(hashed.select("lang", "h")).groupBy("lang").agg(F.max("h").alias("edge"))
+    # one row a language, whose size Spark checks; the texts are not shuffled by their language
+    picked = hashed.join(edge, "lang").where(F.col("h") <= F.col("edge")).select("lang", "h", "text")
 
     def make():
         def run(batch):
@@ -137,7 +138,8 @@ def fit(docs: DataFrame, per_language: int = SAMPLE, families=None) -> Model:
         return run
 
     sample = picked.mapInArrow(per_batch(make), "lang string, h long, idx binary, val binary")
-    sample = sample.toPandas().sort_values(["h", "lang"]).reset_index(drop=True)
+    # rows that are equal share a hash: cut once more, so that a language sends so many rows at most
+    sample = least(sample).toPandas().sort_values(["h", "lang"]).reset_index(drop=True)
     vectors = [(np.frombuffer(i, np.int32), np.frombuffer(v, np.float32).astype(np.float64))
                for i, v in zip(sample["idx"], sample["val"])]
     langs = sorted(set(sample["lang"]))

@@ -95,7 +95,11 @@ def feature_counts(rows: DataFrame, features, bits: int) -> DataFrame:
 
 
 def sample_features(rows: DataFrame, features, bits: int, per_class: int) -> pd.DataFrame:
-    """(y, idx bytes) of at most ``per_class`` rows of each class, by the hash of the id."""
+    """(y, idx bytes) of at most ``per_class`` rows of each class, by the hash of id and text.
+
+    The bound is one of rows, however often an id or a whole row is repeated: what the threshold
+    lets through is cut once more before it comes to the driver.
+    """
 
     def make():
         distinct = Distinct(bits)
@@ -108,7 +112,7 @@ def sample_features(rows: DataFrame, features, bits: int, per_class: int) -> pd.
                 names=["y", "h", "idx"])
         return run
 
-    h = rows.withColumn("h", F.xxhash64("doc_id"))
+    h = rows.withColumn("h", F.xxhash64("doc_id", "text"))
     picked = []
     for y in (0, 1):
         one = h.where((F.col("y") > 0) == bool(y))
@@ -116,7 +120,8 @@ def sample_features(rows: DataFrame, features, bits: int, per_class: int) -> pd.
         top = ids.agg(F.max("h")).first()[0]
         if top is not None:
             picked.append(one.where(F.col("h") <= top).select("y", "h", "text")
-                          .mapInArrow(per_batch(make), "y int, h long, idx binary"))
+                          .mapInArrow(per_batch(make), "y int, h long, idx binary")
+                          .orderBy("h", "y").limit(per_class))
     if not picked:
         return pd.DataFrame({"y": [], "h": [], "idx": []})
     out = picked[0] if len(picked) == 1 else picked[0].unionByName(picked[1])

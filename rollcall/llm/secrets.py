@@ -2,10 +2,11 @@
 
 ``scan`` adds columns to any table with a text column.  The base kinds are the fixed patterns
 below.  The method's own kind, ``entropy``, looks at *candidates*: maximal runs of the characters
-secrets are written in.  For each character class that applies to a candidate, a window slides
-over it; the window's entropy is kept by incremental counts (one character in, one out), and the
-windows at or above the class's bits are merged into a span.  Candidates that the allow-list
-matches, and spans within a base span, are suppressed.
+secrets are written in.  Of every character class the maximal stretches of a candidate are taken
+(a key keeps its class behind a name and a sign), and a window slides over each; the window's entropy is kept by
+incremental counts (one character in, one out), and the windows at or above the class's bits are
+merged into a span.  Candidates that the allow-list matches, stretches that read as words, and spans
+within a base span are suppressed.
 
 Defined results: a null text is an empty text (no spans); positions are code points, end
 exclusive; equal spans of two kinds are both listed, in the order of ``KINDS``; repeated rows are
@@ -37,23 +38,25 @@ LONG_HEX = re.compile(r"[0-9a-f]{%d,}" % LEAST_HEX)
 
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 WINDOW = 20
-# character class: (members, least bits of entropy per window); the first that holds a candidate
-# wholly, and every wider one, is tried
+# character class: (stretches, least bits of entropy per window); hex needs a digit and a letter
 CLASSES = (
-    ("digits", re.compile(r"[0-9]+\Z"), 3.1),
-    ("hex", re.compile(r"[0-9A-Fa-f]+\Z"), 3.2),
-    ("word", re.compile(r"[A-Za-z0-9]+\Z"), 3.9),
-    ("base64", re.compile(r"[A-Za-z0-9+/_=-]+\Z"), 3.95),
+    ("hex", re.compile(r"(?=[0-9]*[A-Fa-f])(?=[A-Fa-f]*[0-9])(?:[0-9A-F]{20,}|[0-9a-f]{20,})"), 3.0),
+    ("letters", re.compile(r"[A-Za-z]{20,}"), 3.6),
+    ("word", re.compile(r"[A-Za-z0-9]{20,}"), 3.7),
+    ("base64", re.compile(r"[A-Za-z0-9+/_=-]{20,}"), 3.95),
 )
-# Strings that look random and are none: plain words, dashed UUIDs, long numbers, paths of words.
+# Strings that look random and are none: dashed UUIDs, long numbers, paths of words.
 ALLOW = (
-    re.compile(r"[A-Z]?[a-z]+\Z|[A-Z]+\Z"),
     re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}\Z"),
     re.compile(r"[0-9]+\Z"),
-    re.compile(r"(?:[A-Za-z]+[0-9]*[/_=+-]+)*[A-Za-z]+[0-9]*[/_=+-]*\Z"),
 )
-DIGEST = ("n_assign long, n_access long, n_hex long, n_entropy long, base_sha256 string, "
-          "spans string")
+LETTERS = re.compile(r"[A-Za-z]+")
+PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
+VOWEL = re.compile(r"[aeiouyAEIOUY]")
+CLUSTER = re.compile(r"[^aeiouyAEIOUY]{7,}")
+SHORTEST_PART = 3.5          # letters per part of a name in mixed case; random letters have fewer
+DIGEST = ("n_assign long, n_access long, n_hex long, base_sha256 string, spans string, "
+          "n_entropy long")
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -100,6 +103,22 @@ def random_windows(run: str, bits: float, window: int = WINDOW) -> list[tuple[in
     return [(a, b) for a, b in out]
 
 
+def reads_as_words(stretch: str) -> bool:
+    """Whether the letters of a stretch could be words or a name made of words.
+
+    Words change their case at their beginnings only, have vowels, and no long row of consonants;
+    digits may follow a word here and there.
+    """
+    runs = LETTERS.findall(stretch)
+    letters = sum(map(len, runs))
+    if not runs or letters < 0.7 * len(stretch):
+        return False
+    parts = [p for r in runs for p in PART.findall(r)]
+    return (letters >= SHORTEST_PART * len(parts)
+            and 4 * sum(len(VOWEL.findall(r)) for r in runs) >= letters
+            and not any(CLUSTER.search(r) for r in runs))
+
+
 def entropy_spans(text: str, allow=ALLOW) -> list[tuple[int, int, int]]:
     out = []
     for m in CANDIDATE.finditer(text):
@@ -107,9 +126,11 @@ def entropy_spans(text: str, allow=ALLOW) -> list[tuple[int, int, int]]:
         if any(a.match(run) for a in allow):
             continue
         spans: list[tuple[int, int]] = []
-        for _, members, bits in CLASSES:
-            if members.match(run):
-                spans += random_windows(run, bits)
+        for _, stretches, bits in CLASSES:
+            for s in stretches.finditer(run):
+                if not reads_as_words(s.group()):
+                    spans += [(a + s.start(), b + s.start())
+                              for a, b in random_windows(s.group(), bits)]
         end = -1
         for a, b in sorted(spans):
             if a > end:
@@ -123,9 +144,13 @@ def entropy_spans(text: str, allow=ALLOW) -> list[tuple[int, int, int]]:
 def all_spans(text: str | None, allow=ALLOW):
     """(base spans, entropy spans outside them), each sorted by start."""
     text = text or ""
-    base = base_spans(text)
-    found = [s for s in entropy_spans(text, allow)
-             if not any(b[0] <= s[0] and s[2] <= b[2] for b in base)]
+    base, found = base_spans(text), []
+    ends, at = -1, 0                                 # farthest end of the base spans so far
+    for s in entropy_spans(text, allow):
+        while at < len(base) and base[at][0] <= s[0]:
+            ends, at = max(ends, base[at][2]), at + 1
+        if s[2] > ends:
+            found.append(s)
     return base, found
 
 

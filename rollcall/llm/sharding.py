@@ -83,8 +83,12 @@ def bounds_for(rows: int, shards: int) -> np.ndarray:
 
 def shard(df: DataFrame, key: Column, order: list[str], shards: int = 16, vnodes: int = 64,
           out: str = "shard", slot: str = "slot") -> DataFrame:
-    """``df`` with its shard and its slot there (gapless from 0); ``order`` tells rows apart."""
+    """``df`` with its shard and its slot there (gapless from 0); ``order`` tells rows apart.
+
+    Names that ``df`` has already get underscores.
+    """
     spark = df.sparkSession
+    out, slot = free_name(df, out), free_name(df, slot)
     points, shard_of = ring(shards, vnodes)
 
     @F.pandas_udf("int")

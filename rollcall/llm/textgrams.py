@@ -6,7 +6,7 @@ import numpy as np
 
 _PRIME = np.uint64(0x100000001B3)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
-LONGEST_WORD = 24        # a word is hashed by its first bytes up to here, and its length
+LONGEST_WORD = 24        # longer runs are read as words of this many bytes, one after the other
 
 
 def _spread(h: np.ndarray, seed: int) -> np.ndarray:
@@ -38,6 +38,16 @@ def runs(member: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edge[::2], edge[1::2] - edge[::2]
 
 
+def windowed(starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs, those above ``LONGEST_WORD`` cut into windows: no part of a text goes unread."""
+    pieces = -(-lengths // LONGEST_WORD)
+    if not len(pieces) or pieces.max() <= 1:
+        return starts, lengths
+    run = np.repeat(np.arange(len(starts)), pieces)
+    at = LONGEST_WORD * (np.arange(len(run)) - np.repeat(np.cumsum(pieces) - pieces, pieces))
+    return starts[run] + at, np.minimum(LONGEST_WORD, lengths[run] - at)
+
+
 def word_hashes(b: np.ndarray, starts: np.ndarray, lengths: np.ndarray,
                 prefixes: tuple[int, ...] = ()) -> tuple[np.ndarray, list[np.ndarray]]:
     """(hash of each word, for each prefix length the hashes of longer words' prefixes)."""
@@ -83,7 +93,7 @@ def letters_of(text: str | None) -> np.ndarray:
 def word_features(text: str | None, bits: int) -> np.ndarray:
     """Words (runs of letters, lower-cased) and the 4, 5 and 6 first bytes of longer words."""
     b = letters_of(text)
-    starts, lengths = runs(LETTER[b])
+    starts, lengths = windowed(*runs(LETTER[b]))
     whole, heads = word_hashes(b, starts, lengths, (4, 5, 6))
     return _fold(np.concatenate([whole, *heads]), bits)
 
@@ -99,7 +109,7 @@ def quality_features(text: str | None, bits: int) -> np.ndarray:
     flat = shape[np.concatenate(([True], shape[1:] != shape[:-1]))] if len(shape) else shape
     parts = [gram_hashes(b, 2, 1), gram_hashes(b, 3, 2), gram_hashes(shape, 3, 3),
              gram_hashes(shape, 6, 4), gram_hashes(flat, 4, 5), gram_hashes(flat, 8, 6)]
-    starts, lengths = runs(~SPACE[b])
+    starts, lengths = windowed(*runs(~SPACE[b]))
     words, _ = word_hashes(b, starts, lengths)
     if len(words) > 1:
         same = (words[1:] == words[:-1]).astype(np.uint8)

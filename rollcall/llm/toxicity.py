@@ -106,9 +106,9 @@ def thirds(hits: np.ndarray) -> np.ndarray:
 def fit(docs: DataFrame, labels: DataFrame, mark: str = "toxic", per_class: int = SAMPLE) -> Model:
     rows = label_rows(docs, labels, mark, lowest=False)
     counts = feature_counts(rows.where("first"), word_features, BITS)
-    totals = rows.groupBy((F.col("y") > 0).alias("hit")).count().collect()
-    total = {bool(r[0]): r[1] for r in totals}
-    n1, n0 = total.get(True, 0), total.get(False, 0)
+    hit, once = F.col("y") > 0, F.col("first")
+    n1, n0, all1, all0 = rows.agg(
+        F.count_if(hit & once), F.count_if(~hit & once), F.count_if(hit), F.count_if(~hit)).first()
     none = Model(np.empty(0, np.int32), np.zeros(0), np.full(3, 40.0))
     if not n1:
         return none
@@ -124,7 +124,7 @@ def fit(docs: DataFrame, labels: DataFrame, mark: str = "toxic", per_class: int
     idx = [model.known(np.frombuffer(r, np.int32)) for r in sample["idx"]]
     grades = np.zeros(len(idx), np.int64)
     grades[hit] = thirds(np.array([len(i) for i in np.array(idx, dtype=object)[hit]]))
-    weight = np.where(hit, n1 / max(hit.sum(), 1), n0 / max((~hit).sum(), 1))
+    weight = np.where(hit, all1 / max(hit.sum(), 1), all0 / max((~hit).sum(), 1))
     w, theta = fit_ordinal(idx, grades, len(kept), 3, weight)
     return Model(kept, w, theta)
 

@@ -71,11 +71,11 @@ def test_one_more_shard_takes_rows_only_into_itself():
 
 def test_shards_of_odd_rows(spark):
     docs = odd_documents(spark, [(50 + i, "the same text", "en", "s", 1, "x") for i in range(300)])
-    docs = docs.withColumn("Shard", F.lit(1)).drop("Shard")
+    docs = docs.withColumn("Shard", F.lit(99)).withColumn("slot", F.lit("own"))
     rows = sharding.shard(docs, F.col("text"), ["doc_id", "text"], shards=7).collect()
-    assert len(rows) == docs.count()
+    assert len(rows) == docs.count() and {(r["Shard"], r["slot"]) for r in rows} == {(99, "own")}
     for s in range(7):
-        slots = sorted(r["slot"] for r in rows if r["shard"] == s)
+        slots = sorted(r["slot_"] for r in rows if r["shard_"] == s)
         assert slots == list(range(len(slots))) and len(slots) in (44, 45, 43)
     assert sharding.shard(empty_documents(spark), F.col("text"), ["doc_id"]).count() == 0
 

@@ -162,3 +162,26 @@ def test_license_scan(spark):
            if r.licenses}
     assert got == {30: ["MIT"]}
     assert licenses.scan(empty_documents(spark)).count() == 0
+
+
+def test_random_keys_behind_a_name_are_found_and_words_are_not():
+    import random
+    import string
+
+    rng = random.Random(2)
+    both = string.ascii_letters + string.digits
+    for alphabet, n, least in (("0123456789ABCDEF", 40, 0.95), ("0123456789abcdef", 40, 0.95),
+                               (both, 32, 0.95), (string.ascii_letters, 40, 0.95), (both + "+/", 40, 0.95)):
+        keys = ["".join(rng.choice(alphabet) for _ in range(n)) for _ in range(300)]
+        hit = sum(any(map(bool, secrets.all_spans(f"AUTH={k}"))) for k in keys)
+        assert hit >= least * len(keys), alphabet
+    for words in ("getUserAccountBalanceFromDatabase", "internationalization_of_the_thing",
+                  "/usr/local/share/applications/mimeinfo", "AbstractSingletonProxyFactoryBean",
+                  "Donaudampfschifffahrtsgesellschaft", "deadbeef" * 3, "0" * 39 + "1"):
+        assert secrets.all_spans(words)[1] == []
+
+
+def test_a_text_of_very_many_spans_is_scanned_in_linear_time():
+    text = " ".join(f"password={i:08}x AUTH=0123456789ABCDEF0123456789FEDCBA" for i in range(30_000))
+    base, found = secrets.all_spans(text)
+    assert len(base) == 30_000 and len(found) == 30_000
