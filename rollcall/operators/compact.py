@@ -5,20 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.constants import BREACH_REPORT_FIELDS
+from rollcall.constants import BREACH_REPORT_FIELDS, DETAIL_FIELDS, REPORT_FIELDS
 from rollcall.functions.text import first_truthy
 from rollcall.functions.variants import as_list, kind, text_of
 
-DETAIL_FIELDS = (
-    "breach", "industry", "xposed_date", "xposed_records", "xposed_data", "password_risk",
-    "verified",
-)
-REPORT_FIELDS = {
-    "status": "status", "breach_count": "breachCount", "breach_names": "breachNames",
-    "risk_label": "riskLabel", "risk_score": "riskScore", "paste_count": "pasteCount",
-}
-
-
 def compact_domain(df: DataFrame) -> DataFrame:
     return df.select("domain", "sources", "dns_validated")
 

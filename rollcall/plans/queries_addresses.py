@@ -275,8 +275,9 @@ EXPECTED = """
         SELECT tenant, local_part, arg_max(employee, c_custkey) AS employee FROM expected GROUP BY 1, 2)"""
 
 
-def _expected(spark, sf):
-    patterns = dedup.observed_patterns(_inventory(spark, sf), _targets(spark, sf))
+def _expected(spark, sf, inventory=None):
+    inventory = _inventory(spark, sf) if inventory is None else inventory
+    patterns = dedup.observed_patterns(inventory, _targets(spark, sf))
     return joins.expected_local_parts(_people(spark, sf), patterns)
 
 
@@ -295,7 +296,8 @@ def _(spark, sf):
                ELSE tags || ['Inferred-Pattern'] END)), 'string_agg', ',') AS sources
     FROM inv LEFT JOIN last_expected e ON e.tenant = inv.tenant AND e.local_part = inv.local_part"""))
 def _(spark, sf):
-    out = joins.reconcile_expected(_inventory(spark, sf), _expected(spark, sf))
+    inventory = written(_inventory(spark, sf), "inventory")      # the patterns come from it too
+    out = joins.reconcile_expected(inventory, _expected(spark, sf, inventory))
     return out.select("tenant", "email", "employee", joined("sources"))
 
 
@@ -560,9 +562,9 @@ REPORTS = """
                    AS matched FROM rep)"""
 
 
-def _routed(spark, sf):
-    return joins.route_reports(
-        _reports(spark, sf), _checked(spark, sf), ["email", "email_alt", "input"])
+def _routed(spark, sf, checked=None):
+    checked = _checked(spark, sf) if checked is None else checked
+    return joins.route_reports(_reports(spark, sf), checked, ["email", "email_alt", "input"])
 
 
 @query("route_reports", sql("addr", body=f"""
@@ -571,8 +573,8 @@ def _(spark, sf):
     return _routed(spark, sf).select("event_id", "tenant", "email_key", "matched")
 
 
-def _elements(spark, sf):
-    routed = _routed(spark, sf).where("matched").withColumn("email", C("email_key"))
+def _elements(spark, sf, checked=None):
+    routed = _routed(spark, sf, checked).where("matched").withColumn("email", C("email_key"))
     events = views.addresses(spark, sf).where("validation_status = 'risky'").select(
         "tenant", "email", F.lit("LEAKSITE_CONTENT").alias("type"),
         C("o_orderpriority").alias("data"))
@@ -598,10 +600,15 @@ EXPOSED = """
                 USING (tenant, email))"""
 
 
+def _exposed(spark, sf):
+    checked = written(_checked(spark, sf), "checked")
+    return joins.attach_exposure(checked, _elements(spark, sf, checked))
+
+
 @query("attach_exposure", sql("addr", body=f"""
     WITH {CHECKED}, {REPORTS}, {ELEMENTS}, {EXPOSED} SELECT * FROM exposed"""))
 def _(spark, sf):
-    return joins.attach_exposure(_checked(spark, sf), _elements(spark, sf))
+    return _exposed(spark, sf)
 
 
 @query("exposure_stats", sql("addr", body=f"""
@@ -610,4 +617,4 @@ def _(spark, sf):
            count(*) FILTER (catchall_confirmed_by_breach) AS catchall_confirmed
     FROM exposed GROUP BY tenant"""))
 def _(spark, sf):
-    return report.exposure_stats(joins.attach_exposure(_checked(spark, sf), _elements(spark, sf)))
+    return report.exposure_stats(_exposed(spark, sf))

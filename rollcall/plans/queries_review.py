@@ -520,7 +520,8 @@ def _(spark, sf):
         UNION ALL SELECT tenant, 'DNS infra raw targets', count(*) FROM hosts WHERE scheme = 'https' GROUP BY 1)
     SELECT * FROM c"""))
 def _(spark, sf):
-    merged = QA._merged(spark, sf)
+    merged = written(QA._merged(spark, sf).select("tenant", "email", "validation_status", "is_catch_all"),
+                     "merged")
     h = views.hosts(spark, sf)
     return report.run_counts({
         "domains": QH._domain_table(spark, sf),

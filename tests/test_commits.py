@@ -142,3 +142,33 @@ def test_approvals_that_fit_nothing_are_left_over(spark, tmp_path):
     status = commits.read(spark, snap, "review_status").collect()
     assert sorted((r.record_key, r.status) for r in status) == [
         ("a@x.io", "approved"), ("c@x.io", "approved")]
+
+
+def test_ordered_tables_ignore_late_and_repeated_rows(spark, tmp_path):
+    path = f"file://{tmp_path}/ordered"
+    commits.create(spark, path, {"a": commits.Table("k string, d string, seq int", ["k"], 4, order="seq")})
+    commits.load(spark, path, {"a": change(spark, [("x", "base", 5), ("y", "base", 5)])})
+    for values in ([("x", "late", 3), ("y", "new", 7), ("z", "one", 4)], [("z", "late", 2), ("x", "newer", 6)],
+                   [("y", "again", 6), ("z", "two", 9), ("z", "same", 8)]):
+        commits.commit(spark, path, {"a": change(spark, values)})
+    want = [("x", "newer", 6), ("y", "new", 7), ("z", "two", 9)]
+    assert rows(spark, path) == want
+    commits.compact(spark, path)
+    assert rows(spark, path) == want
+
+
+def test_stream_commits_equal_the_batch(spark, tmp_path):
+    from rollcall.streaming import upserts
+
+    path, schema = f"file://{tmp_path}/store", "k string, d string, seq int"
+    values = [(f"k{i % 7}", f"v{i}", i) for i in range(60)]
+    for turn in range(2):                                # every file comes twice
+        spark.createDataFrame(values, schema).repartition(6).write.mode("append").parquet(f"{tmp_path}/in")
+    commits.create(spark, path, {"a": commits.Table(schema, ["k"], 2, order="seq")})
+    for _ in range(2):                                   # the second run finds nothing new
+        upserts.stream_commits(
+            upserts.observation_stream(spark, f"{tmp_path}/in", schema, 3), path, "a",
+            f"{tmp_path}/checkpoint", "stream").awaitTermination()
+    last = {k: (k, d, s) for k, d, s in values}
+    assert rows(spark, path) == sorted(last.values())
+    assert commits.snapshot(spark, path).writers["stream"] == 3
