@@ -148,3 +148,35 @@ def test_graph_recall():
     hit = [len(set(t) & set(np.array(n)[np.argsort(-(v[n] @ x))][:20]))
            for t, n, x in zip(true, near, q)]
     assert np.mean(hit) / 20 >= 0.9
+
+
+def test_samples_are_bounded_by_rows_whatever_is_repeated(spark):
+    from pyspark.sql import functions as F
+
+    from rollcall.llm import language, quality
+
+    one = spark.range(6000).select(
+        F.when(F.col("id") % 2 == 0, 7).alias("doc_id"), F.lit("the very same text").alias("text"),
+        (F.col("id") % 3 == 0).cast("int").alias("y"))
+    rest = spark.range(300).select(F.col("id").alias("doc_id"), F.concat(
+        F.lit("text number "), F.col("id")).alias("text"), (F.col("id") % 2).cast("int").alias("y"))
+    rows = one.unionByName(rest)
+    got = quality.sample_features(rows, quality.quality_features, 12, 50)
+    assert sorted(got.groupby("y").size()) == [50, 50]
+    sent = []
+    real = language.train_pairs
+    language.train_pairs = lambda names, vectors, kind: (sent.append(len(vectors)), real(names, vectors, kind))[1]
+    try:
+        docs = rows.withColumn("lang", F.when(F.col("doc_id") == 7, "en").otherwise("fr"))
+        model = language.fit(docs, per_language=40)
+    finally:
+        language.train_pairs = real
+    assert max(sent) == 80 and model.predict("the very same text")[0] == "en"
+
+
+def test_long_runs_of_letters_are_read_whole():
+    from rollcall.llm import textgrams
+
+    long = "".join(chr(0x4E00 + i) for i in range(300))
+    seen = set(textgrams.word_features(long, 20))
+    assert len(seen) > 30 and seen != set(textgrams.word_features(long[:-40], 20))
