@@ -156,9 +156,40 @@ def marked(docs: DataFrame, flat: np.ndarray, out: str, bits: int = FILTER_BITS)
             ok &= (words[at >> 6] >> (at & 63)) & 1 == 1
         return type(first)(ok)
 
+    return docs.withColumn(out, F.col("doc_id").isNotNull() & may_hold(*_places(bits)))
+
+
+def _places(bits: int) -> list[Column]:
     doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(0))
-    places = [F.pmod(F.xxhash64(doc, F.lit(k)), F.lit(1 << bits)) for k in range(3)]
-    return docs.withColumn(out, F.col("doc_id").isNotNull() & may_hold(*places))
+    return [F.pmod(F.xxhash64(doc, F.lit(k)), F.lit(1 << bits)) for k in range(3)]
+
+
+def map_passing(docs: DataFrame, flat: np.ndarray, run, ddl: str,
+                bits: int = FILTER_BITS) -> DataFrame:
+    """``docs.mapInArrow(run, ddl)`` over the rows whose doc_id the filter may hold.
+
+    The filter is looked at in the same Python worker as ``run``: one that is a step of its own
+    would need another worker per task.
+    """
+    give, columns = handed_out(docs, flat), docs.columns
+    names = [free_name(docs, n) for n in ("_a", "_b", "_c", "_known")]
+
+    def body(batches):
+        words = give()
+
+        def kept():
+            for batch in batches:
+                ok = batch.column(names[3]).to_numpy(zero_copy_only=False).copy()
+                for name in names[:3]:
+                    at = batch.column(name).to_numpy()
+                    ok &= (words[at >> 6] >> (at & 63)) & 1 == 1
+                if ok.any():
+                    yield batch.filter(pa.array(ok)).select(columns)
+
+        yield from run(kept())
+
+    more = [c.alias(n) for c, n in zip([*_places(bits), F.col("doc_id").isNotNull()], names)]
+    return docs.select("*", *more).mapInArrow(body, ddl)
 
 
 def passing(docs: DataFrame, flat: np.ndarray) -> DataFrame:

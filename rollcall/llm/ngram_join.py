@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import id_filter, passing, written
+from rollcall.llm.common import id_filter, map_passing, written
 from rollcall.llm.components import components
 
 WORDS = 5
@@ -122,8 +122,8 @@ def members(docs: DataFrame) -> DataFrame:
         run, "doc_id long, n long, low long, fp long, g long, h long")
 
 
-def element_rows(docs: DataFrame, part: str, hot: int) -> DataFrame:
-    """(element, g, n) of the groups' low or high elements.
+def element_rows(docs: DataFrame, part: str, hot: int, flat=None) -> DataFrame:
+    """(element, g, n) of the groups' low or high elements; of documents that ``flat`` may hold.
 
     A group's sets share their low elements, so one of them tells all; of the high ones each set
     sends its own, and what is counted for the group is at least what any of its sets has.
@@ -179,7 +179,8 @@ def element_rows(docs: DataFrame, part: str, hot: int) -> DataFrame:
         if toks:
             yield from rows_of(toks, gs, ns)
 
-    return docs.mapInArrow(run, "element long, g long, n int")
+    ddl = "element long, g long, n int"
+    return docs.mapInArrow(run, ddl) if flat is None else map_passing(docs, flat, run, ddl)
 
 
 def similar_sizes(a, b):
@@ -268,9 +269,9 @@ def met(hot: int):
     return run
 
 
-def meetings(docs: DataFrame, part: str, hot: int, name: str) -> DataFrame:
+def meetings(docs: DataFrame, part: str, hot: int, name: str, flat=None) -> DataFrame:
     """(a, b, shared) of group pairs, and (g, -1, hot elements) of groups; written."""
-    rows = element_rows(docs, part, hot)
+    rows = element_rows(docs, part, hot, flat)
     sorted_ = rows.repartition("element").sortWithinPartitions("element", "g")
     out = sorted_.mapInArrow(met(hot), "a long, b long")
     return written(out.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared")), name)
@@ -282,7 +283,6 @@ def verified(docs: DataFrame, pairs: DataFrame, reps: DataFrame, name: str) -> D
                     .where("x <> y").distinct(), f"{name}-pairs")
     needed = pairs.select(F.col("x").alias("fp")).union(pairs.select("y")).distinct()
     chosen = reps.join(needed, "fp").select("doc_id")
-    scan = passing(docs, id_filter(chosen))
 
     def sets(batches):
         for batch in batches:
@@ -294,7 +294,7 @@ def verified(docs: DataFrame, pairs: DataFrame, reps: DataFrame, name: str) -> D
                     [pa.array([set_id(s) for s in some], pa.int64()),
                      pa.array([s.tobytes() for s in some], pa.binary())], names=["fp", "s"])
 
-    held = scan.select("text").mapInArrow(sets, "fp long, s binary")
+    held = map_passing(docs, id_filter(chosen), sets, "fp long, s binary")
 
     def check(batches):
         for batch in batches:
@@ -318,8 +318,9 @@ def _p(n):
     return n - F.ceil(n * 3 / 4) + 1
 
 
-def set_elements(docs: DataFrame, name: str) -> DataFrame:
-    """(element, fp, n, first, last): shared ones of the first p elements of each set.
+def set_elements(docs: DataFrame, flat, name: str) -> DataFrame:
+    """(element, fp, n, first, last): shared ones of the first p elements of each set, of the documents
+    that ``flat`` may hold.
 
     The order is by how many of these sets have the element, then by hash, so that what very many
     share comes last.  Elements that no other set has need no row.  ``first`` and ``last`` number
@@ -341,7 +342,7 @@ def set_elements(docs: DataFrame, name: str) -> DataFrame:
                     [pa.array(s), pa.array(np.full(len(s), fp)),
                      pa.array(np.full(len(s), len(s)))], names=["element", "fp", "n"])
 
-    rows = written(docs.select("text").mapInArrow(run, "element long, fp long, n long").distinct(),
+    rows = written(map_passing(docs, flat, run, "element long, fp long, n long").distinct(),
                    f"{name}-sets")
     counts = rows.groupBy("element").agg(F.count(F.lit(1)).alias("df"))
     place = Window.partitionBy("fp").orderBy("df", "element")       # within one set
@@ -439,8 +440,7 @@ def roots_of(docs: DataFrame, hot: int = HOT) -> DataFrame:
     group = written(group.join(hots, "g", "left").withColumn(
         "hot1", F.coalesce("hot1", F.lit(0))), "groups")
     short = written(group.where(F.col("low") - F.col("hot1") < _p(F.col("n"))), "short-groups")
-    again = passing(docs, id_filter(reps_of(classes, short)))
-    two = meetings(again, "high", hot, "round2")
+    two = meetings(docs, "high", hot, "round2", id_filter(reps_of(classes, short)))
     hots = two.where("b = -1").select(F.col("a").alias("g"), F.col("shared").alias("hot2"))
     short = short.join(hots, "g", "left").select("g", F.coalesce("hot2", F.lit(0)).alias("hot2"))
     group = written(group.join(short, "g", "left"), "groups2")
@@ -462,7 +462,7 @@ def roots_of(docs: DataFrame, hot: int = HOT) -> DataFrame:
             ((F.col("shared") + F.col("more")) / n).alias("close")), "group-pairs")
 
     full = group.where(F.col("hot1") + F.col("hot2") >= F.ceil(F.col("n") * 3 / 4))
-    hot_rows = set_elements(passing(docs, id_filter(reps_of(classes, full))), "hot")
+    hot_rows = set_elements(docs, id_filter(reps_of(classes, full)), "hot")
 
     # first: the best partner of each group, each group's sets with its first, and the pivots
     ends = pairs.select("x", "y", "close").union(
@@ -475,7 +475,7 @@ def roots_of(docs: DataFrame, hot: int = HOT) -> DataFrame:
 
     # then: whatever could link and still lies in different components
     loose = written(unsettled(pairs, classes, group, roots), "loose-groups")
-    loose_rows = set_elements(passing(docs, id_filter(reps_of(classes, loose))), "loose")
+    loose_rows = set_elements(docs, id_filter(reps_of(classes, loose)), "loose")
     rest = apart(pairs.select("x", "y"), roots).union(
         across(loose_rows, roots)).union(across(hot_rows, roots))
     links = links.union(verified(docs, rest, reps, "then"))

@@ -2,11 +2,11 @@
 
 ``scan`` adds columns to any table with a text column.  The base kinds are the fixed patterns
 below.  The method's own kind, ``entropy``, looks at *candidates*: maximal runs of the characters
-secrets are written in.  Of every character class the maximal stretches of a candidate are taken
-(a key keeps its class behind a name and a sign), and a window slides over each; the window's entropy is kept by
-incremental counts (one character in, one out), and the windows at or above the class's bits are
-merged into a span.  Candidates that the allow-list matches, stretches that read as words, and spans
-within a base span are suppressed.
+secrets are written in.  Of every character class the maximal stretches of a candidate are taken (a
+key keeps its class behind a name and a sign), and a window slides over each; its entropy is kept
+by incremental counts (one character in, one out), and the windows at or above the class's bits are
+merged into a span.  Candidates that the allow-list matches, stretches that read as words, and
+spans within a base span are suppressed.
 
 Defined results: a null text is an empty text (no spans); positions are code points, end
 exclusive; equal spans of two kinds are both listed, in the order of ``KINDS``; repeated rows are
