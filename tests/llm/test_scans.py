@@ -185,3 +185,90 @@ def test_a_text_of_very_many_spans_is_scanned_in_linear_time():
     text = " ".join(f"password={i:08}x AUTH=0123456789ABCDEF0123456789FEDCBA" for i in range(30_000))
     base, found = secrets.all_spans(text)
     assert len(base) == 30_000 and len(found) == 30_000
+
+
+def plain_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        old, row = row, [i]
+        for j, y in enumerate(b, 1):
+            row.append(min(old[j] + 1, row[-1] + 1, old[j - 1] + (x != y)))
+    return row[-1]
+
+
+FILLER = ("you may use the software of people in any form copy it or a file and this work under "
+          "terms as published source").split()
+PLANTED = ["AGPL-3.0", "Apache-2.0", "BSD-3-Clause", "CC-BY-4.0", "CC-BY-NC-4.0", "CC-BY-SA-4.0",
+           "GPL-2.0", "GPL-3.0", "LGPL-3.0", "ISC", "MIT", "MPL-2.0", "Unlicense",
+           "SPDX:GPL-2.0-only", "SPDX:GPL-3.0-or-later", "SPDX:MIT"]
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(PLANTED), st.integers(0, 12), st.integers(0, 10 ** 6)),
+                min_size=1, max_size=4))
+def test_licenses_equal_all_pairs_of_parts_and_templates(plan):
+    """Every part of the text against every template: what is planted is found, by its name, with the
+    least number of differences that any part there has."""
+    import random
+
+    known = {k: licenses.words_of(v) for k, v in licenses.TEMPLATES.items()}
+    words, places = [], []
+    for name, gap, seed in plan:
+        rng = random.Random(seed)
+        words += [rng.choice(FILLER) for _ in range(gap + 8)]
+        own = list(known[name])
+        free = [i for i, w in enumerate(own) if not licenses.names_it(w) and "licen" not in w]
+        if int(licenses.MOST_DIFFERENT * len(own)) and free and seed % 2:
+            own[rng.choice(free)] = "zzz"
+        places.append((name, len(words), len(words) + len(own)))
+        words += own
+    words += FILLER[:8]
+    text = " ".join(words)
+    at, starts = 0, {}
+    for i, w in enumerate(words):
+        starts[at] = i
+        at += len(w) + 1
+    got = []
+    for name, a, b, saving, n, _ in licenses.Scanner(licenses.TEMPLATES)(text):
+        first = starts[a]
+        part = licenses.words_of(text[a:b])
+        assert n == plain_distance(known[name], part) <= int(0.2 * len(known[name]))
+        got.append((name, first, first + len(part), n))
+    for name, a, b in places:
+        best = min(plain_distance(known[name], words[x:y])
+                   for x in range(a - 3, a + 4) for y in range(max(x, b - 3), min(b + 4, len(words))))
+        assert any(g == name and x < b and a < y and n == best for g, x, y, n in got), (name, got)
+    exact = {(k, i, i + len(w)) for k, w in known.items() for i in range(len(words))
+             if words[i:i + len(w)] == w}
+    for name, a, b in exact:
+        assert any(x < b and a < y for _, x, y, _ in got), (name, got)
+
+
+@pytest.mark.parametrize("line", [
+    "Released under the BSD License.", "Licensed under CC BY-ND 4.0.",
+    "Licensed under the Apache License, Version 1.1.", "SPDX-License-Identifier: OSL-3.0",
+    "This work is licensed under the GNU Library General Licence, edition 3."])
+def test_a_difference_in_a_naming_word_refuses(line):
+    assert licenses.Scanner(licenses.TEMPLATES)(line) == []
+
+
+@pytest.mark.parametrize("line, name", [
+    ("Licensed under CC BY SA 4.0", "CC-BY-SA-4.0"), ("The code is MIT licensed.", "MIT-licensed"),
+    ("// SPDX-License-Identifier: LGPL-2.1-or-later", "SPDX:LGPL-2.1-or-later"),
+    ("This work is licensed under the GNU Lesser General Public License, version 3", "LGPL-3.0")])
+def test_near_names_are_told_apart(line, name):
+    assert [g[0] for g in licenses.Scanner(licenses.TEMPLATES)(line)] == [name]
+
+
+def test_a_long_text_full_of_cues_is_scanned_in_windows():
+    text = "the license of a copyright " * 4000 + "Released under the MIT License. " * 200
+    got = licenses.Scanner(licenses.TEMPLATES)(text)
+    assert [g[0] for g in got] == ["MIT"] * 200
+
+
+def test_license_scan_keeps_a_column_of_its_name(spark):
+    df = spark.createDataFrame([(1, "Released under the MIT License.", "kept"), (2, None, "kept")],
+                               "doc_id long, text string, Licenses string")
+    rows = licenses.scan(df).collect()
+    assert [r["Licenses"] for r in rows] == ["kept"] * 2
+    assert [len(r["licenses_"]) for r in rows] == [1, 0]
