@@ -1,13 +1,15 @@
 """Approximate nearest neighbours by largest inner product: robust-pruned directed graphs.
 
 Equal vectors are collapsed into one node first (a vector that a third of all rows hold is one
-node); nodes are dealt to shards of bounded size by a hash of the vector.  Per shard a graph is
+node).  Nodes are dealt to shards of bounded size by their length, in half octaves, and within such a
+band by a hash of the vector.  Per shard a graph is
 built in batches: greedy beam searches over the graph so far propose neighbours, and pruning with
 relaxed distances keeps the nearest candidate, drops those that are ``ALPHA`` times nearer to it
 than to the node, and so on, which leaves diverse edges.  Inner products become Euclidean distances
-by one more coordinate, sqrt(longest^2 - |x|^2).  Queries go to every shard in blocks; a beam
-search there returns its best nodes, exact scores are taken in double precision on the original
-vectors, and the shards' lists are merged.
+by one more coordinate, sqrt(longest^2 - |x|^2), which stays of the size of the others as no vector
+of a shard is much shorter than its longest.  One task per shard reads its graph once and lets all
+queries stream past it in batches; the beam search ranks by inner products in double precision,
+exact scores are taken on the original vectors, and the shards' lists are merged.
 
 Defined results: vectors that are null, empty, zero, or hold null or non-finite components take no
 part, nor do rows without an id or vectors of another length than most; rows equal in id and vector
@@ -22,7 +24,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rollcall.llm.common import written
@@ -33,7 +35,6 @@ ALPHA = 1.2
 BATCH = 512
 SHARD_ROWS = 100_000
 LEAST_SHARDS = 6
-QUERY_BLOCK = 4096
 ENTRIES = 8
 
 
@@ -71,16 +72,21 @@ class Graph:
         self.entries = np.unique(np.concatenate(
             ([middle], rng.choice(n, min(n, ENTRIES), replace=False)))).astype(np.int32)
 
-    def search(self, q: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
-        """(nodes, distances) of each query's beam, nearest first; -1 fills up."""
-        b, n = len(q), len(self.x)
+    def search(self, q: np.ndarray, beam: int,
+               v: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(nodes, distances) of each query's beam, nearest first; -1 fills up.
+
+        With ``v``, the vectors of the nodes, the nearest are those of the largest inner product.
+        """
+        x, sq = (self.x, self.sq) if v is None else (v, np.zeros(len(v), v.dtype))
+        b, n = len(q), len(x)
         starts = np.arange(n, dtype=np.int32) if n <= beam else self.entries
         ids = np.full((b, beam), -1, np.int32)
-        dist = np.full((b, beam), np.inf, np.float32)
+        dist = np.full((b, beam), np.inf, x.dtype)
         done = np.ones((b, beam), bool)
         seen = np.zeros((b, n), bool)
         k = min(len(starts), beam)
-        first = self.sq[starts] - 2 * q @ self.x[starts].T
+        first = sq[starts] - 2 * q @ x[starts].T
         order = np.argsort(first, axis=1)[:, :k]
         ids[:, :k] = starts[order]
         dist[:, :k] = np.take_along_axis(first, order, 1)
@@ -99,9 +105,9 @@ class Graph:
             fresh = (near >= 0) & ~seen[live[:, None], near]
             rows, cols = np.nonzero(fresh)
             seen[live[rows], near[rows, cols]] = True
-            d = np.full(near.shape, np.inf, np.float32)
+            d = np.full(near.shape, np.inf, x.dtype)
             to = near[rows, cols]
-            d[rows, cols] = self.sq[to] - 2 * np.einsum("ij,ij->i", q[live[rows]], self.x[to])
+            d[rows, cols] = sq[to] - 2 * np.einsum("ij,ij->i", q[live[rows]], x[to])
             all_d = np.concatenate((dist[live], d), axis=1)
             all_i = np.concatenate((ids[live], np.where(fresh, near, -1)), axis=1)
             all_done = np.concatenate((done[live], ~fresh), axis=1)
@@ -172,14 +178,52 @@ class Graph:
         return self
 
 
+def scaled(v: np.ndarray) -> np.ndarray:
+    """``v`` over the length of its longest row (nearly), so that nothing overflows."""
+    v = v / np.abs(v).max(initial=1e-300)
+    return v / np.sqrt(np.einsum("ij,ij->i", v, v).max(initial=1e-300))
+
+
 def augmented(v: np.ndarray) -> np.ndarray:
+    v = scaled(v)
     sq = np.einsum("ij,ij->i", v, v)
     more = np.sqrt(np.maximum(sq.max(initial=0.0) - sq, 0.0))
     return np.concatenate((v, more[:, None]), axis=1).astype(np.float32)
 
 
-def index(points: DataFrame, shards: int) -> DataFrame:
-    """(shard, graph): one graph per shard over all nodes (v, members), as written arrays."""
+def band(v: Column) -> Column:
+    """Number of the half octave of a vector's length; lengths near 1 are in the middle of one.
+    Doubles have about 4,200 of them."""
+    top = F.array_max(F.transform(v, F.abs))
+    square = F.aggregate(v, F.lit(0.0), lambda s, x: s + (x / top) * (x / top))
+    return F.floor(2 * F.log2(top) + F.log2(square) + 0.5).cast("int")
+
+
+def dealt(points: DataFrame) -> tuple[DataFrame, int]:
+    """(points with their shard, number of shards): a band has as many as its nodes ask for.
+
+    Neighbouring bands of no more than ``BEAM`` nodes together share one, which is searched whole.
+    """
+    banded = points.withColumn("band", band(F.col("v")))
+    counts = sorted((r["band"], r["count"]) for r in banded.groupBy("band").count().collect())
+    room = max(1, min(SHARD_ROWS, math.ceil(sum(n for _, n in counts) / LEAST_SHARDS)))
+    plan, shards, together = [], 0, BEAM
+    for number, n in counts:
+        if together + n <= BEAM:
+            plan.append((number, shards - 1, 1))
+            together += n
+        else:
+            plan.append((number, shards, math.ceil(n / room)))
+            shards += plan[-1][2]
+            together = n
+    first = points.sparkSession.createDataFrame(plan, "band int, first int, many int")
+    shard = F.col("first") + F.pmod(F.xxhash64("v"), F.col("many"))
+    return banded.join(F.broadcast(first), "band").select(
+        "v", "members", shard.cast("int").alias("shard")), shards
+
+
+def index(points: DataFrame) -> DataFrame:
+    """(shard, graph): one graph per shard over all nodes (v, members, shard), as written arrays."""
 
     def build(table: pa.Table) -> pa.Table:
         v = np.array(table.column("v").to_pylist(), np.float64)
@@ -194,50 +238,80 @@ def index(points: DataFrame, shards: int) -> DataFrame:
         return pa.table({"shard": pa.array([table.column("shard")[0].as_py()], pa.int32()),
                          "graph": pa.array([raw.getvalue()], pa.binary())})
 
-    dealt = points.withColumn("shard", F.pmod(F.xxhash64("v"), F.lit(shards)).cast("int"))
-    return dealt.groupBy("shard").applyInArrow(build, "shard int, graph binary")
+    return points.groupBy("shard").applyInArrow(build, "shard int, graph binary")
 
 
-def search(graphs: DataFrame, queries: DataFrame, shards: int, blocks: int, k: int,
-           beam: int = BEAM) -> DataFrame:
-    """(query_id, vec_id, score): each shard's best ``k`` for each query (id, v)."""
+class Searcher:
+    """The graph of one shard, as ``index`` writes it, ready for queries."""
 
-    def run(key, left: pa.Table, right: pa.Table) -> pa.Table:
+    def __init__(self, raw: bytes):
+        data = np.load(io.BytesIO(raw))
+        self.v, self.ends, self.members = data["v"], data["ends"], data["ids"]
+        self.starts = np.concatenate(([0], self.ends[:-1]))
+        self.plain = scaled(self.v)
+        self.graph = Graph(augmented(self.v))
+        self.graph.edges, self.graph.entries = data["edges"], data["entries"]
+
+    def best(self, own: np.ndarray, q: np.ndarray, k: int, beam: int):
+        """(query ids, vector ids, scores): the ``k`` best found for each query."""
+        unit = q / np.abs(q).max(axis=1, keepdims=True)
+        unit /= np.sqrt(np.einsum("ij,ij->i", unit, unit))[:, None]
+        near, _ = self.graph.search(unit, beam, self.plain)
         ids, found, scores = [], [], []
-        if left.num_rows and right.num_rows:
-            data = np.load(io.BytesIO(left.column("graph")[0].as_py()))
-            v, ends, members = data["v"], data["ends"], data["ids"]
-            starts = np.concatenate(([0], ends[:-1]))
-            graph = Graph(augmented(v))
-            graph.edges, graph.entries = data["edges"], data["entries"]
-            own = right.column("id").to_numpy()
-            q = np.array(right.column("v").to_pylist(), np.float64)
-            wide = np.concatenate((q, np.zeros((len(q), 1))), axis=1).astype(np.float32)
-            for lo in range(0, len(q), BATCH):
-                near, _ = graph.search(wide[lo:lo + BATCH], beam)
-                for i, row in enumerate(near):
-                    row = row[row >= 0]
-                    exact = v[row] @ q[lo + i]
-                    n = ends[row] - starts[row]
-                    cand = np.concatenate([members[starts[r]:ends[r]] for r in row])
-                    s = np.repeat(exact, n)
-                    cand, s = cand[cand != own[lo + i]], s[cand != own[lo + i]]
-                    top = np.lexsort((cand, -s))[:k]
-                    ids.append(np.full(len(top), own[lo + i]))
-                    found.append(cand[top])
-                    scores.append(s[top])
-        join = lambda parts, kind: (np.concatenate(parts) if parts else np.empty(0)).astype(kind)
-        return pa.table({"query_id": pa.array(join(ids, np.int64)),
-                         "vec_id": pa.array(join(found, np.int64)),
-                         "score": pa.array(join(scores, np.float64))})
-
-    block = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
-    each = F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))
-    asked = queries.select("id", "v", block.alias("block")).select("*", each.alias("shard"))
-    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    held = graphs.select("shard", "graph", every.alias("block"))
-    return held.groupBy("shard", "block").cogroup(asked.groupBy("shard", "block")).applyInArrow(
-        run, "query_id long, vec_id long, score double")
+        for i, row in enumerate(near):
+            row = row[row >= 0]
+            exact = self.v[row] @ q[i]
+            cand = np.concatenate([self.members[self.starts[r]:self.ends[r]] for r in row])
+            s = np.repeat(exact, self.ends[row] - self.starts[row])
+            cand, s = cand[cand != own[i]], s[cand != own[i]]
+            top = np.lexsort((cand, -s))[:k]
+            ids.append(np.full(len(top), own[i]))
+            found.append(cand[top])
+            scores.append(s[top])
+        return np.concatenate(ids), np.concatenate(found), np.concatenate(scores)
+
+
+def search(graphs: DataFrame, queries: DataFrame, shards: int, k: int,
+           beam: int = BEAM) -> DataFrame:
+    """(query_id, vec_id, score): each shard's best ``k`` for each query (id, v).
+
+    A shard is one partition, sorted so that its graph comes before the queries.
+    """
+
+    def run(batches):
+        searcher = None
+        for batch in batches:
+            held = batch.column("graph").is_valid().to_numpy(zero_copy_only=False)
+            for lo, hi in _pieces(held):
+                if held[lo]:
+                    searcher = Searcher(batch.column("graph")[lo].as_py())
+                    continue
+                part = batch.slice(lo, hi - lo)
+                v = np.array(part.column("v").to_pylist(), np.float64)
+                ids, found, scores = searcher.best(part.column("id").to_numpy(), v, k, beam)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ids.astype(np.int64)), pa.array(found.astype(np.int64)),
+                     pa.array(scores.astype(np.float64))], names=["query_id", "vec_id", "score"])
+
+    each = F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard")
+    asked = queries.select("id", "v", each, F.lit(None).cast("binary").alias("graph"))
+    held = graphs.select(F.lit(None).cast("long").alias("id"),
+                         F.lit(None).cast("array<double>").alias("v"), "shard", "graph")
+    both = held.unionByName(asked).withColumn("turn", F.col("graph").isNull().cast("int"))
+    streams = both.repartitionById(shards, "shard").sortWithinPartitions("shard", "turn")
+    return streams.mapInArrow(run, "query_id long, vec_id long, score double")
+
+
+def _pieces(held: np.ndarray):
+    """(first, end) of single graph rows and of runs of at most ``BATCH`` query rows."""
+    at = 0
+    while at < len(held):
+        end = at + 1
+        if not held[at]:
+            later = np.flatnonzero(held[at:at + BATCH])
+            end = at + (int(later[0]) if len(later) else min(BATCH, len(held) - at))
+        yield at, end
+        at = end
 
 
 def nearest(df: DataFrame, is_query, k: int = 20, key: str = "vec_id",
@@ -249,11 +323,10 @@ def nearest(df: DataFrame, is_query, k: int = 20, key: str = "vec_id",
         return df.sparkSession.createDataFrame(
             [], "query_id long, rank int, vec_id long, score double")
     rows = rows.where(F.size("v") == widths[0])
-    shards = max(LEAST_SHARDS, math.ceil(widths[1] / SHARD_ROWS))
+    points, shards = dealt(written(nodes(rows, k + 1), "nodes"))
+    graphs = written(index(points), "graphs")
     asked = rows.where(is_query(F.col("id"))).dropDuplicates(["id", "v"])
-    blocks = max(1, math.ceil(asked.count() / QUERY_BLOCK))
-    graphs = written(index(nodes(rows, k + 1), shards), "graphs")
-    found = search(graphs, asked, shards, blocks, k)
+    found = search(graphs, asked, shards, k)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score")

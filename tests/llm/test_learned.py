@@ -142,14 +142,42 @@ def test_graph_recall():
     graph = ann.Graph(ann.augmented(v)).build()
     assert (graph.edges >= 0).sum(axis=1).max() <= ann.DEGREE
     q = v[:200]
-    wide = np.concatenate((q, np.zeros((200, 1))), axis=1).astype(np.float32)
-    near, _ = graph.search(wide, ann.BEAM)
+    near, _ = graph.search(q, ann.BEAM, ann.scaled(v))
     true = np.argsort(-(q @ v.T), axis=1)[:, :20]
     hit = [len(set(t) & set(np.array(n)[np.argsort(-(v[n] @ x))][:20]))
            for t, n, x in zip(true, near, q)]
     assert np.mean(hit) / 20 >= 0.9
 
 
+@pytest.mark.parametrize("lengths", ["given", "stretched", "log-normal", "one very long", "huge"])
+def test_recall_of_nearest(spark, lengths):
+    rng = np.random.default_rng(8)
+    n = 6000
+    centres = rng.normal(size=(60, 24))
+    v = centres[rng.integers(60, size=n)] + 0.6 * rng.normal(size=(n, 24))
+    v /= np.linalg.norm(v, axis=1)[:, None]
+    if lengths == "stretched":
+        v *= rng.uniform(0.2, 5.0, size=(n, 1))
+    elif lengths == "log-normal":
+        v *= rng.lognormal(0, 1.5, size=(n, 1))
+    elif lengths == "one very long":
+        v[4321] *= 1e4
+    elif lengths == "huge":
+        v *= 10.0 ** rng.integers(-60, 60, size=(n, 1))
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)],
+                               "vec_id long, embedding array<double>")
+    got = {}
+    for r in ann.nearest(df, lambda key: key % 40 == 0).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    assert len(got) == n // 40
+    hit = 0
+    for q, found in got.items():
+        s = v @ v[q]
+        s[q] = -np.inf
+        hit += len(found & set(np.argsort(-s, kind="stable")[:20].tolist()))
+    assert hit >= 0.95 * 20 * len(got)
+
+
 def test_samples_are_bounded_by_rows_whatever_is_repeated(spark):
     from pyspark.sql import functions as F
 
