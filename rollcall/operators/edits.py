@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.functions.variants import kind
+from rollcall.functions.variants import kind, parse_whole
 from rollcall.operators.dedup import last_wins
 from rollcall.plans.session import written
 
@@ -78,7 +78,7 @@ def apply_edits(records: DataFrame, edits: DataFrame, keys: list[str],
     counted, problems = _settled(asked)
     counted = written(counted.where(F.size("path") <= DEEPEST), "edits-counted")
     levels = counted.agg(F.max(F.size("path"))).first()[0] or 0
-    root = F.coalesce(F.try_parse_json(data), F.parse_json(F.lit("{}")))
+    root = F.coalesce(parse_whole(F.col(data)), F.parse_json(F.lit("{}")))
     nodes = records.select(F.struct(*keys).alias("_id"), root.alias("v")).join(
         counted.select("_id").distinct(), "_id", "left_semi").select(
         "_id", F.expr("cast(array() as array<string>)").alias("path"), "v")

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from rollcall.constants import CONTENT_TYPE_WORDS, METHOD_FOLDERS, ZIP_FILE_TYPES
 from rollcall.functions.text import contains_any
-from rollcall.functions.variants import kind
+from rollcall.functions.variants import kind, parse_whole
 from rollcall.operators.dedup import last_wins
 from rollcall.schemas import ARTIFACTS, MAP_ARTIFACTS
 from rollcall.sources.elements import elements
@@ -36,13 +36,9 @@ def _files(spark: SparkSession, root: str, name: str) -> DataFrame | None:
     pattern = f"{root}/*/{name}.json"
     if not path_exists(spark, pattern):
         return None
-    # the parser ignores what follows a value, but in brackets and in braces nothing may follow it
-    listed = F.try_parse_json(F.concat(F.lit("["), "value", F.lit("]")))
-    held = F.try_parse_json(F.concat(F.lit('{"v":'), "value", F.lit("}")))
     return spark.read.text(pattern, wholetext=True).select(
         _tenant().alias("tenant"), "value",
-        F.when(F.try_variant_get(listed, "$[1]", "variant").isNull(),
-               F.try_variant_get(held, "$.v", "variant")).alias("doc"),
+        parse_whole(F.col("value")).alias("doc"),
     )
 
 

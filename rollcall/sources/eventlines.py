@@ -20,7 +20,7 @@ from rollcall.constants import (
 )
 from rollcall.functions.addresses import normalize_address
 from rollcall.functions.text import LINE_BREAK, bind, contains_any, strip_space
-from rollcall.functions.variants import kind, text_of
+from rollcall.functions.variants import kind, parse_whole, text_of
 
 
 def split_lines(df: DataFrame, text: str, out: str = "line", place: str = "line_no") -> DataFrame:
@@ -33,7 +33,7 @@ def _parsed(df: DataFrame, line: str) -> tuple[DataFrame, list[str]]:
     """Non-blank lines with their parsed value ``_v`` and its kind ``_k``, parsed once each."""
     rest = [c for c in df.columns if c != line]
     lines = df.withColumn(line, strip_space(F.col(line))).where(F.col(line) != "")
-    return bind(lines, F.try_parse_json(line), lambda v: {"_v": v, "_k": kind(v)}), rest
+    return bind(lines, parse_whole(F.col(line)), lambda v: {"_v": v, "_k": kind(v)}), rest
 
 
 def _event(v: Column) -> list[Column]:
@@ -97,7 +97,7 @@ def mention_events(df: DataFrame, line: str) -> DataFrame:
 def host_events(df: DataFrame, text: str) -> DataFrame:
     """Host names out of a whole tool output: events of host types, else host-shaped text."""
     rest = [c for c in df.columns if c != text]
-    parsed = bind(df, F.try_parse_json(text), lambda v: {"_v": v, "_k": kind(v)})
+    parsed = bind(df, parse_whole(F.col(text)), lambda v: {"_v": v, "_k": kind(v)})
     items = F.when(F.col("_k") == "ARRAY", F.try_variant_get("_v", "$", "array<variant>"))
     from_events = F.transform(
         F.filter(items, lambda e: (kind(e) == "OBJECT")
@@ -111,7 +111,7 @@ def host_events(df: DataFrame, text: str) -> DataFrame:
 
 def unparsed_lines(df: DataFrame, text: str) -> DataFrame:
     """The non-blank lines of outputs that are not JSON at all, kept so that nothing is lost."""
-    raw = df.where(F.try_parse_json(text).isNull())
+    raw = df.where(parse_whole(F.col(text)).isNull())
     return split_lines(raw, text, "unparsed_line").where(
         strip_space(F.col("unparsed_line")) != ""
     )
@@ -120,14 +120,14 @@ def unparsed_lines(df: DataFrame, text: str) -> DataFrame:
 def address_events(df: DataFrame, line: str) -> DataFrame:
     """Normalised addresses per line: the data of address events, else address-shaped text.
 
-    A line holding a JSON list is no match.
+    A line that is a JSON list, or an object of another type, is no match.
     """
     parsed, rest = _parsed(df, line)
     v, k = F.col("_v"), F.col("_k")
     found = F.when(
         (k == "OBJECT") & (text_of(v, "$.type") == ADDRESS_EVENT_TYPE),
         F.array(F.coalesce(text_of(v, "$.data"), F.lit(""))),
-    ).when(k.isNull(), F.regexp_extract_all(F.col(line), F.lit(ADDRESS_IN_TEXT), F.lit(0)))
+    ).when(~F.coalesce(k.isin("OBJECT", "ARRAY"), F.lit(False)), F.regexp_extract_all(F.col(line), F.lit(ADDRESS_IN_TEXT), F.lit(0)))
     return parsed.select(*rest, F.explode(found).alias("_a")).select(
         *rest, normalize_address(F.col("_a")).alias("email")
     )

@@ -5,7 +5,8 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from rollcall.sources import artifacts
+from rollcall.functions.variants import canonical
+from rollcall.sources import artifacts, eventlines
 
 
 @pytest.fixture
@@ -74,3 +75,16 @@ def test_signature(spark):
     got = [r[0] for r in df.select(
         artifacts.signature_ok(F.col("content"), F.col("ext"), F.col("kind"))).collect()]
     assert got == [True, True, False, True, False, False]
+
+
+def test_a_line_is_json_only_from_end_to_end(spark):
+    lines = ["470344 seen a.b@x.example", "true c@x.example", '"q" d@x.example', "[1] e@x.example",
+             '{"type": "EMAILADDR", "data": "no"} f@x.example', "1] g@x.example", '1, "w": "h@x.example"',
+             '"i@x.example"', '["j@x.example"]', '{"type": "OTHER", "data": "k@x.example"}',
+             '{"type": "EMAILADDR", "data": "L@x.example", "of": [1]}']
+    df = spark.createDataFrame(list(enumerate(lines)), "n int, line string")
+    found = {r.n: r.email[0] for r in eventlines.address_events(df, "line").collect()}
+    assert "".join(found[n] for n in sorted(found)) == "acdefghil" and len(found) == 9
+    assert sorted(r.n for r in eventlines.unparsed_lines(df, "line").collect()) == list(range(7))
+    same = df.select(canonical(F.col("line")).alias("c")).collect()
+    assert [r.c for r in same[:7]] == lines[:7] and same[8].c == lines[8]
