@@ -5,12 +5,13 @@ reader can split at any separator, so files are read as pieces that end in ``}``
 has.  Where a split begins, it is not known whether it lies in a string nor how deep; two passes
 tell:
 
-1. every split says what it does to both possible beginnings (in a string or not): how it ends, how
-   the depth changes, how many commas lie at each depth.  These summaries, one small row per split,
-   are put together in order on the driver, which gives each split its true beginning and number
-   of the first element;
-2. every split, knowing these, cuts its text at the commas of depth one.  The element on the border
-   of two splits comes in parts, which are joined by (file, number).
+1. every split says what it does to both possible beginnings (in a string or not): how it ends and
+   how the depth changes.  These summaries, one row of fixed size per split, are put together in
+   order on the driver, which gives each split its true beginning;
+2. every split, knowing it, cuts its text at the commas of depth one and numbers the elements from
+   its own beginning; its last row tells how many it closed.  Sums of these, again one row per
+   split, give the number of its first element.  The element on the border of two splits comes in
+   parts, which are joined by (file, number).
 
 No task holds more than a batch of pieces and one element.  An array of plain values without any
 ``}`` is one piece.  Strings, escapes and nesting are respected; a file that is not a well-formed
@@ -26,7 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rollcall.plans.session import written
@@ -39,7 +40,7 @@ STEP = np.zeros(256, np.int32)
 STEP[[ord("["), ord("{")]] = 1
 STEP[[ord("]"), ord("}")]] = -1
 SUMMARY = ("file string, start long, size long, pieces long, bytes long, first string, odd boolean, "
-           "depth array<long>, least array<long>, commas array<map<long,long>>")
+           "depth array<long>, least array<long>")
 ELEMENT = "file string, seq long, part long, whole boolean, text string"
 
 
@@ -72,8 +73,7 @@ def summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def row():
         return pa.RecordBatch.from_pylist([{
             "file": key[0], "start": key[1], "size": key[2], "pieces": n, "bytes": size,
-            "first": first, "odd": odd, "depth": depth, "least": least,
-            "commas": [list(c.items()) for c in commas]}], schema=SUMMARY_ARROW)
+            "first": first, "odd": odd, "depth": depth, "least": least}], schema=SUMMARY_ARROW)
 
     key = None
     for batch in batches:
@@ -82,16 +82,13 @@ def summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if key is not None:
                     yield row()
                 key, n, size, first, odd = now, 0, 0, None, False
-                depth, least, commas = [0, 0], [0, 0], [{}, {}]
+                depth, least = [0, 0], [0, 0]
             raw = "}".join(values).encode() + b"}"
             n, size = n + len(values), size + len(raw)
             first = first or (raw.strip()[:1].decode("utf-8", "replace") or None)
             for begin in (0, 1):
                 a, outside, _ = structure(raw, bool(begin) ^ odd)
                 at = depth[begin] + np.cumsum(np.where(outside, STEP[a], 0), dtype=np.int64)
-                held = commas[begin]
-                for d, c in zip(*np.unique(at[outside & (a == COMMA)], return_counts=True)):
-                    held[int(d)] = held.get(int(d), 0) + int(c)
                 least[begin] = min(least[begin], int(at.min()))
                 depth[begin] = int(at[-1])
             odd ^= bool((a == QUOTE).sum() & 1)
@@ -102,15 +99,13 @@ def summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 SUMMARY_ARROW = pa.schema([
     ("file", pa.string()), ("start", pa.int64()), ("size", pa.int64()), ("pieces", pa.int64()),
     ("bytes", pa.int64()), ("first", pa.string()), ("odd", pa.bool_()),
-    ("depth", pa.list_(pa.int64())), ("least", pa.list_(pa.int64())),
-    ("commas", pa.list_(pa.map_(pa.int64(), pa.int64())))])
+    ("depth", pa.list_(pa.int64())), ("least", pa.list_(pa.int64()))])
 
 
 def beginnings(rows: list, root: str) -> dict[tuple[str, int], dict]:
     """What holds where each split of the well-formed files begins.
 
-    ``seq`` is the element that is open there, ``closed`` says that the root is behind, and
-    ``open_end`` that no ``}`` follows the last piece.
+    ``closed`` says that the root is behind, and ``open_end`` that no ``}`` follows the last piece.
     """
     out: dict[tuple[str, int], dict] = {}
     by_file: dict[str, list] = {}
@@ -118,12 +113,11 @@ def beginnings(rows: list, root: str) -> dict[tuple[str, int], dict]:
         by_file.setdefault(r.file, []).append(r)
     for file, splits in by_file.items():
         splits.sort(key=lambda r: r.start)
-        inside, depth, seq, mine, fine = False, 0, 0, {}, splits[0].first == root
+        inside, depth, mine, fine = False, 0, {}, splits[0].first == root
         extra = sum(r.bytes for r in splits) - splits[0].size   # a last } that is not there
         for part, r in enumerate(splits):
-            mine[file, r.start] = {"inside": inside, "depth": depth, "seq": seq, "part": part,
+            mine[file, r.start] = {"inside": inside, "depth": depth, "part": part,
                                    "closed": part > 0 and depth == 0, "open_end": False}
-            seq += dict(r.commas[inside]).get(1 - depth, 0)
             last = part == len(splits) - 1
             fine &= extra in (0, 1) and (depth + r.least[inside] >= (-1 if last and extra else 0))
             depth, inside = depth + r.depth[inside], inside ^ r.odd
@@ -134,7 +128,8 @@ def beginnings(rows: list, root: str) -> dict[tuple[str, int], dict]:
 
 
 def cut(begin_of, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of ELEMENT; text outside the root's brackets makes a row with seq -1."""
+    """Rows of ELEMENT, numbered within their split; text outside the root's brackets makes a row
+    with seq -1, the end of a split one without text whose seq is the number of elements closed."""
     begins = begin_of()
     names = [f.split()[0] for f in ELEMENT.split(", ")]
     kinds = [pa.string(), pa.int64(), pa.int64(), pa.bool_(), pa.string()]
@@ -145,11 +140,12 @@ def cut(begin_of, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             [pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
 
     def tail():
-        """The element that is open where a split ends."""
+        """The element that is open where a split ends, and the end."""
         text = b"".join(held)
+        end = [(key[0], state["seq"], begin["part"], False, None)]
         if state["depth"] > 0:
-            return [(key[0], state["seq"], begin["part"], False, text.decode())]
-        return [(key[0], -1, 0, False, text.decode())] if text.strip() else []
+            return [(key[0], state["seq"], begin["part"], False, text.decode()), *end]
+        return [(key[0], -1, begin["part"], False, text.decode()), *end] if text.strip() else end
 
     def take(raw: bytes) -> list[tuple]:
         nonlocal held
@@ -167,7 +163,7 @@ def cut(begin_of, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             at = m + 1
             if step[m] == 1:                             # the root opens
                 if text.strip() or state["closed"]:
-                    rows.append((key[0], -1, 0, False, text.decode()))
+                    rows.append((key[0], -1, begin["part"], False, text.decode()))
             else:
                 rows.append((key[0], state["seq"], begin["part"], state["fresh"], text.decode()))
                 state["seq"] += int(step[m] == 0)
@@ -186,7 +182,7 @@ def cut(begin_of, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                     rows += tail()
                 key, held, begin = now, [], begins.get(now[:2])
                 if begin is not None:
-                    state = {**begin, "fresh": False}
+                    state = {**begin, "seq": 0, "fresh": False}
             if begin is not None:
                 rows += take("}".join(values).encode() + b"}")
         if rows:
@@ -203,7 +199,12 @@ def elements(spark: SparkSession, pattern: str, root: str) -> DataFrame:
     found = pieces(spark, pattern)
     begins = beginnings(found.mapInArrow(summaries, SUMMARY).collect(), root)   # one row per split
     held = spark.sparkContext.broadcast(begins)
-    rows = written(found.mapInArrow(lambda b: cut(lambda: held.value, b), ELEMENT), "elements")
+    cuts = written(found.mapInArrow(lambda b: cut(lambda: held.value, b), ELEMENT), "elements")
+    before = Window.partitionBy("file").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    firsts = written(cuts.where("text is null").select(
+        "file", "part", F.coalesce(F.sum("seq").over(before), F.lit(0)).alias("first")), "firsts")
+    rows = cuts.where("text is not null").join(firsts, ["file", "part"]).withColumn(
+        "seq", F.when(F.col("seq") >= 0, F.col("seq") + F.col("first")).otherwise(F.col("seq")))
     joined = rows.where("not whole and seq >= 0").groupBy("file", "seq").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("part", "text"))),
                                  lambda x: x["text"]), "").alias("text"))

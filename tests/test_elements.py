@@ -98,6 +98,19 @@ def test_one_file_is_read_by_many_tasks(spark, splits, tmp_path):
         (i, f"{i}@x.io") for i in range(5000)]
 
 
+def test_summaries_do_not_grow_with_the_elements(spark, splits, tmp_path):
+    """Read as if within a string, brackets in texts lead to ever new depths."""
+    rows = [{"email": f"{i}@x.io", "employee": '"},{ \\[é'} for i in range(2000)]
+    put(tmp_path, "t", "candidate_emails", json.dumps(rows, ensure_ascii=False))
+    splits(20_000)
+    found = elements.pieces(spark, f"{tmp_path}/*/candidate_emails.json")
+    told = found.mapInArrow(elements.summaries, elements.SUMMARY).collect()
+    assert len(told) > 3 and max(len(str(r)) for r in told) < 400
+    got = artifacts.scan_array(spark, str(tmp_path), "candidate_emails")
+    assert sorted(map(tuple, got.select("seq", "email").collect())) == [
+        (i, f"{i}@x.io") for i in range(2000)]
+
+
 def test_missing(spark, tmp_path):
     assert artifacts.scan_array(spark, str(tmp_path), "candidate_emails").collect() == []
     assert artifacts.scan_map(spark, str(tmp_path), "dns_infra").columns == [
