@@ -22,7 +22,7 @@ from rollcall.constants import (
     TIER_ORDER,
 )
 from rollcall.functions.hosts import host_keyword
-from rollcall.functions.text import acronym, contains_any, fold_for_match, let, strip_space
+from rollcall.functions.text import acronym, bind, contains_any, fold_for_match, let, strip_space
 
 
 def _fold_word(word: str) -> str:
@@ -100,44 +100,43 @@ def classify(
     key = host_keyword(F.col("matched_domain")) if keyword is None else keyword
     org = F.col("company_name") if name is None else name
 
-    # the per-row parts of the test are made once, not once per position
-    staged = people.withColumn("_key", key).withColumn("_org", name_keys(org))
+    # each step is bound, so that it is made once per row however often the results are used
+    def fitting(v: Column) -> dict[str, Column]:
+        def fits(p: Column) -> Column:
+            return position_matches(p["company_name"], v["key"], v["org"])
 
-    def fits(p: Column) -> Column:
-        return position_matches(p["company_name"], F.col("_key"), F.col("_org"))
+        return {"_cur": F.filter(F.col("current_position"), fits),
+                "_all": F.filter(F.col("all_positions"), fits)}
 
-    matched = staged.withColumn(
-        "_cur", F.filter(F.col("current_position"), fits)
-    ).withColumn("_all", F.filter(F.col("all_positions"), fits))
+    found = bind(people, F.struct(key.alias("key"), name_keys(org).alias("org")), fitting)
     slim = "array<struct<title:string>>"
 
     def titles_of(arr: Column) -> Column:
         return F.coalesce(F.transform(arr, lambda p: F.struct(p["title"].alias("title"))),
                           F.array().cast(slim))
 
-    matched = matched.withColumn(
-        "_now",
+    matched = bind(found, F.struct(
         F.concat(titles_of(F.col("_cur")),
-                 titles_of(F.filter("_all", lambda p: ongoing(p["end_date"])))),
-    ).withColumn("_past", titles_of(F.filter("_all", lambda p: ~ongoing(p["end_date"]))))
+                 titles_of(F.filter("_all", lambda p: ongoing(p["end_date"])))).alias("now"),
+        titles_of(F.filter("_all", lambda p: ~ongoing(p["end_date"]))).alias("past"),
+    ), lambda v: {"_now": v["now"], "_past": v["past"]})
 
     joined = F.array_join(
         F.transform("_now", lambda p: F.coalesce(p["title"], F.lit(""))), " "
     )
-    tested = matched.withColumn("_joined", joined).withColumn(
-        "_text", fold_for_match(F.col("_joined"))
-    ).withColumn(
-        "_t", F.when(F.size("_now") > 0, _titled(F.col("_now"))).otherwise(_titled(F.col("_past")))
-    )
-    none = (F.size("_now") == 0) & (F.size("_past") == 0)
-    tier = (
-        F.when(none, "reject")
-        .when(F.size("_now") == 0, "former_employee")
-        .when(_mentions(F.col("_text"), INTERN_WORDS, whole_word), "intern")
-        .when(_mentions(F.col("_text"), LEADERSHIP_WORDS, whole_word), "leadership")
-        .otherwise("current_employee")
-    )
-    out = tested.withColumn("employee_tier", tier)
+
+    def judged(text: Column) -> dict[str, Column]:
+        tier = (
+            F.when((F.size("_now") == 0) & (F.size("_past") == 0), "reject")
+            .when(F.size("_now") == 0, "former_employee")
+            .when(_mentions(text, INTERN_WORDS, whole_word), "intern")
+            .when(_mentions(text, LEADERSHIP_WORDS, whole_word), "leadership")
+            .otherwise("current_employee")
+        )
+        title = F.when(F.size("_now") > 0, _titled(F.col("_now"))).otherwise(_titled(F.col("_past")))
+        return {"employee_tier": tier, "_t": title}
+
+    out = bind(matched, fold_for_match(joined), judged)
     t = F.col("employee_tier")
     return out.withColumn("employee_tier_rank", tier_rank(t)).withColumn(
         "tier_reason",
@@ -146,7 +145,7 @@ def classify(
         .when(t == "intern", F.format_string(INTERN_REASON, "_t"))
         .when(t == "leadership", F.format_string(LEADERSHIP_REASON, "_t"))
         .otherwise(F.format_string(CURRENT_REASON, "_t")),
-    ).drop("_key", "_org", "_cur", "_all", "_now", "_past", "_joined", "_text", "_t")
+    ).drop("_cur", "_all", "_now", "_past", "_t")
 
 
 def tier_rank(tier: Column) -> Column:

@@ -22,3 +22,9 @@ def test_query(spark, con, name):
 def test_every_query_has_sql_and_entry_runs(spark):
     assert set(ORACLES) == set(QUERIES) <= set(entry.queries())
     assert entry.entry(spark).count() > 0
+
+
+def test_people_are_classified_once_per_row(spark):
+    """However often a tier is used, its tests stand in the plan once."""
+    plan = QUERIES["person_rows"](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("stagiaire") == 1 and len(plan) < 100_000
