@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -144,24 +145,40 @@ def score_batches(
     full = f"{kinds}, {schema}, records bigint, error string"
     names = T._parse_datatype_string(full).names
 
-    def scored(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        try:
-            found = scorer(part[columns])[made].assign(records=None, error=None)
-        except Exception as problem:  # a failed batch must not fail the job
-            found = pd.DataFrame({**dict.fromkeys(made, [None]), "records": [len(part)],
-                                  "error": [str(problem)]})
-        return found.assign(**dict(zip(batch, key)))[names]
+    def scored(frame: pd.DataFrame, starts: list[int]) -> pd.DataFrame:
+        """Verdicts of the batches from one start to the next, put together in one step."""
+        given, keys = frame[columns], frame[batch]
+        found, rows, failed, at = [], [], [], []
+        for start, end in zip(starts, starts[1:]):
+            try:
+                part = scorer(given.iloc[start:end])[made]
+                found.append(part)
+                rows.append(np.full(len(part), start))
+            except Exception as problem:  # a failed batch must not fail the job
+                failed.append((end - start, str(problem)))
+                at.append(start)
+        parts = []
+        if found:
+            good = pd.concat(found, ignore_index=True).assign(records=None, error=None)
+            parts.append(good.assign(**keys.iloc[np.concatenate(rows)].reset_index(drop=True)))
+        if failed:
+            bad = pd.DataFrame(failed, columns=["records", "error"]).assign(**dict.fromkeys(made))
+            parts.append(bad.assign(**keys.iloc[at].reset_index(drop=True)))
+        return pd.concat([p[names] for p in parts], ignore_index=True)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = None
         for frame in frames:
+            if not len(frame):
+                continue
             frame = frame if held is None else pd.concat([held, frame], ignore_index=True)
-            groups = list(frame.groupby(batch, sort=False, dropna=False))
-            held = groups[-1][1] if groups else None             # it may go on in the next frame
-            if done := [scored(k, g) for k, g in groups[:-1]]:
-                yield pd.concat(done, ignore_index=True)
-        if held is not None and len(held):
-            yield scored(tuple(held[batch].iloc[0]), held)
+            number = frame.groupby(batch, sort=False, dropna=False).ngroup().to_numpy()
+            starts = [0, *(np.flatnonzero(np.diff(number)) + 1).tolist()]
+            held = frame.iloc[starts[-1]:]                       # it may go on in the next frame
+            if len(starts) > 1:
+                yield scored(frame, starts)
+        if held is not None:
+            yield scored(held, [0, len(held)])
 
     together = records.select(*dict.fromkeys([*batch, *columns])).repartition(*batch)
     out = written(together.sortWithinPartitions(*dict.fromkeys([*batch, *columns])).mapInPandas(

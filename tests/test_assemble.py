@@ -85,6 +85,24 @@ def test_the_scorer_runs_once_a_batch_and_failures_keep_their_records(spark, tmp
         ("t", "[emails] Batch 1 failed (thirteen): keeping 10 record(s) unfiltered")]
 
 
+def test_verdicts_keep_their_batch_whatever_a_scorer_returns(spark):
+    """Verdicts may be fewer or more than the records of a batch."""
+    def scorer(batch):
+        import pandas as pd
+
+        times = int(batch["n"].iloc[0]) // 10 % 3
+        one = pd.DataFrame({"identifier": batch["record"], "keep": True, "seq": batch["n"]})
+        return one.loc[one.index.repeat(times)]
+
+    rows = [("t", i // 10, f"r{i}", i) for i in range(300)]
+    scores, failed = verdicts.score_batches(
+        spark.createDataFrame(rows, RECORDS).coalesce(1), scorer,
+        "identifier string, keep boolean, seq long", ["record", "n"], ["tenant", "batch"])
+    got = sorted((r.tenant, r.batch, r.identifier) for r in scores.collect())
+    assert got == sorted(("t", i // 10, f"r{i}") for i in range(300) for _ in range(i // 10 % 3))
+    assert failed.count() == 0
+
+
 def test_scoring_nothing(spark):
     scores, failed = verdicts.score_batches(
         spark.createDataFrame([], RECORDS), lambda b: b, "identifier string, keep boolean, seq long",
