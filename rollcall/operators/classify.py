@@ -41,13 +41,17 @@ def name_keys(name: Column) -> Column:
     def padded(word: Column) -> Column:
         return F.concat(F.lit(" "), word, F.lit(" "))
 
-    short = strip_space(fold_for_match(name))
-    initials = acronym(F.coalesce(name, F.lit("")))
-    one_word = F.regexp_like(short, F.lit(r"^[^\s\x1c-\x1f]{1,6}$"))
-    return F.struct(
-        F.when(one_word, padded(short)).alias("short"),
-        F.when(F.length(initials) >= 2, padded(initials)).alias("initials"),
-    )
+    def usable(n: Column) -> Column:
+        one_word = F.regexp_like(n["short"], F.lit(r"^[^\s\x1c-\x1f]{1,6}$"))
+        return F.struct(
+            F.when(one_word, padded(n["short"])).alias("short"),
+            F.when(F.length(n["initials"]) >= 2, padded(n["initials"])).alias("initials"),
+        )
+
+    return let(F.struct(
+        strip_space(fold_for_match(name)).alias("short"),
+        acronym(F.coalesce(name, F.lit(""))).alias("initials"),
+    ), usable)
 
 
 def position_matches(company: Column, keyword: Column, keys: Column) -> Column:
@@ -73,10 +77,9 @@ def ongoing(end_date: Column) -> Column:
     return F.coalesce(F.lower(strip_space(end_date)), F.lit("")).isin("", "present")
 
 
-def _titled(positions: Column) -> Column:
-    titles = F.filter(F.transform(positions, lambda p: p["title"]),
-                      lambda t: F.coalesce(t != "", F.lit(False)))
-    return strip_space(F.coalesce(F.get(titles, F.lit(0)), F.lit("")))
+def _titled(titles: Column) -> Column:
+    named = F.filter(titles, lambda t: F.coalesce(t != "", F.lit(False)))
+    return strip_space(F.coalesce(F.get(named, F.lit(0)), F.lit("")))
 
 
 def _mentions(text: Column, keywords, whole_word: bool) -> Column:
@@ -100,43 +103,44 @@ def classify(
     key = host_keyword(F.col("matched_domain")) if keyword is None else keyword
     org = F.col("company_name") if name is None else name
 
-    # each step is bound, so that it is made once per row however often the results are used
-    def fitting(v: Column) -> dict[str, Column]:
+    # each step is a lambda variable, so that it is made once per row however often it is used, and
+    # one generator binds the results: no array of positions is copied from step to step
+    def titles_of(arr: Column) -> Column:
+        return F.coalesce(F.transform(arr, lambda p: p["title"]), F.array().cast("array<string>"))
+
+    def fitting(v: Column) -> Column:
         def fits(p: Column) -> Column:
             return position_matches(p["company_name"], v["key"], v["org"])
 
-        return {"_cur": F.filter(F.col("current_position"), fits),
-                "_all": F.filter(F.col("all_positions"), fits)}
+        return F.struct(
+            titles_of(F.filter(F.col("current_position"), fits)).alias("current"),
+            F.transform(F.filter(F.col("all_positions"), fits), lambda p: F.struct(
+                p["title"].alias("title"), ongoing(p["end_date"]).alias("ongoing"))).alias("all"))
 
-    found = bind(people, F.struct(key.alias("key"), name_keys(org).alias("org")), fitting)
-    slim = "array<struct<title:string>>"
+    def dated(m: Column) -> Column:
+        return F.struct(
+            F.concat(m["current"], titles_of(F.filter(m["all"], lambda p: p["ongoing"]))).alias("now"),
+            titles_of(F.filter(m["all"], lambda p: ~p["ongoing"])).alias("past"))
 
-    def titles_of(arr: Column) -> Column:
-        return F.coalesce(F.transform(arr, lambda p: F.struct(p["title"].alias("title"))),
-                          F.array().cast(slim))
-
-    matched = bind(found, F.struct(
-        F.concat(titles_of(F.col("_cur")),
-                 titles_of(F.filter("_all", lambda p: ongoing(p["end_date"])))).alias("now"),
-        titles_of(F.filter("_all", lambda p: ~ongoing(p["end_date"]))).alias("past"),
-    ), lambda v: {"_now": v["now"], "_past": v["past"]})
-
-    joined = F.array_join(
-        F.transform("_now", lambda p: F.coalesce(p["title"], F.lit(""))), " "
-    )
+    def told(m: Column) -> Column:
+        joined = F.array_join(F.transform(m["now"], lambda t: F.coalesce(t, F.lit(""))), " ")
+        return F.struct(m["now"].alias("now"), m["past"].alias("past"),
+                        let(joined, fold_for_match).alias("text"))
 
-    def judged(text: Column) -> dict[str, Column]:
+    def judged(m: Column) -> dict[str, Column]:
+        now, past, text = m["now"], m["past"], m["text"]
         tier = (
-            F.when((F.size("_now") == 0) & (F.size("_past") == 0), "reject")
-            .when(F.size("_now") == 0, "former_employee")
+            F.when((F.size(now) == 0) & (F.size(past) == 0), "reject")
+            .when(F.size(now) == 0, "former_employee")
             .when(_mentions(text, INTERN_WORDS, whole_word), "intern")
             .when(_mentions(text, LEADERSHIP_WORDS, whole_word), "leadership")
             .otherwise("current_employee")
         )
-        title = F.when(F.size("_now") > 0, _titled(F.col("_now"))).otherwise(_titled(F.col("_past")))
-        return {"employee_tier": tier, "_t": title}
+        return {"employee_tier": tier,
+                "_t": F.when(F.size(now) > 0, _titled(now)).otherwise(_titled(past))}
 
-    out = bind(matched, fold_for_match(joined), judged)
+    found = let(F.struct(key.alias("key"), name_keys(org).alias("org")), fitting)
+    out = bind(people, let(let(found, dated), told), judged)
     t = F.col("employee_tier")
     return out.withColumn("employee_tier_rank", tier_rank(t)).withColumn(
         "tier_reason",
@@ -145,7 +149,7 @@ def classify(
         .when(t == "intern", F.format_string(INTERN_REASON, "_t"))
         .when(t == "leadership", F.format_string(LEADERSHIP_REASON, "_t"))
         .otherwise(F.format_string(CURRENT_REASON, "_t")),
-    ).drop("_cur", "_all", "_now", "_past", "_t")
+    ).drop("_t")
 
 
 def tier_rank(tier: Column) -> Column:

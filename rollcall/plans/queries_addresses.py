@@ -423,9 +423,10 @@ FILTERED = f"""
                           guess AND NOT infra AS guess) FROM g)"""
 
 
-def _filtered(spark, sf):
+def _filtered(spark, sf, given=None):
     """The merged addresses are read once for each half of the chain, so they are made once."""
-    return verdicts.filter_addresses(written(_merged(spark, sf), "merged"), _verdicts(spark, sf))
+    given = _verdicts(spark, sf) if given is None else given
+    return verdicts.filter_addresses(written(_merged(spark, sf), "merged"), given)
 
 
 @query("filter_addresses", sql("addr", body=f"""

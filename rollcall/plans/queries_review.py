@@ -644,12 +644,13 @@ def _(spark, sf):
 
 # --- warnings and the audit log ---------------------------------------------------------------
 
-def _all_verdicts(spark, sf):
+def _all_verdicts(spark, sf, addresses=None):
     """(tenant, category, identifier) of every verdict of a run but those on documents."""
+    addresses = QA._verdicts(spark, sf) if addresses is None else addresses
     hosts = QH._host_verdicts(spark, sf)
     out = None
     for category, given in (("domains", hosts), ("infrastructure", hosts),
-                            ("emails", QA._verdicts(spark, sf)), ("employees", QP._verdicts(spark, sf)),
+                            ("emails", addresses), ("employees", QP._verdicts(spark, sf)),
                             ("breaches", QE._exposure_verdicts(spark, sf)),
                             ("darkweb", QE._mention_verdicts(spark, sf))):
         rows = given.select("tenant", F.lit(category).alias("category"), "identifier")
@@ -678,20 +679,21 @@ GROUNDED = """
         WHERE yes IS NULL)"""
 
 
-def _run(spark, sf):
-    """What a filter run leaves: each table made once and written, for all that is read from it."""
-    filtered = written(QA._filtered(spark, sf), "filtered")
-    counted = written(QE._counted(spark, sf), "targets")
+def _run(spark, sf, counted=None):
+    """What a filter run leaves: what is read more than once here is made once and written.
+
+    ``outcome`` and ``warnings`` are not written: the audit log reads each of them once.
+    """
+    addresses = written(QA._verdicts(spark, sf), "address-verdicts")
+    filtered = written(QA._filtered(spark, sf, addresses), "filtered")
     shaped = written(_shaped(spark, sf, filtered, counted), "shaped")
-    outcome = written(QD._outcome(spark, sf).select("tenant", "filename", "error", "summary"),
-                      "outcome")
+    outcome = QD._outcome(spark, sf).select("tenant", "filename", "error", "summary")
     documents = verdicts.verdict_warnings(
         QD._verdict_rows(spark, sf), QD._doc_records(spark, sf), "record", "documents").drop("seq")
     warned = documents.unionByName(verdicts.address_warnings(filtered)).unionByName(
-        verdicts.grounding_warnings(_all_verdicts(spark, sf), shaped)).unionByName(
+        verdicts.grounding_warnings(_all_verdicts(spark, sf, addresses), shaped)).unionByName(
         verdicts.failed_batch_warnings(_scored(spark, sf)[2], "emails", "batch"))
-    return {"shaped": shaped, "targets": counted, "outcome": outcome,
-            "warnings": written(warned, "warnings")}
+    return {"shaped": shaped, "outcome": outcome, "warnings": warned}
 
 
 @query("grounding_warnings", sql("hosts", "addr", body=f"WITH {SHAPED}, {GROUNDED} SELECT * FROM grounded"))
@@ -738,8 +740,9 @@ MEASURES = f"""{AUDIT},
 
 
 def _measures(spark, sf):
-    run = _run(spark, sf)
-    return report.filter_measures(run["shaped"], run["targets"], run["outcome"], run["warnings"])
+    counted = written(QE._counted(spark, sf), "targets")
+    run = _run(spark, sf, counted)
+    return report.filter_measures(run["shaped"], counted, written(run["outcome"], "outcome"), run["warnings"])
 
 
 @query("filter_measures", sql("hosts", "addr", "docs", body=f"WITH {MEASURES} SELECT * FROM measured"))
