@@ -2,11 +2,25 @@
 
 import pytest
 
-from rollcall.plans import queries_addresses, views
+from rollcall.plans import queries_addresses, queries_review, views
+from rollcall.plans.registry import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
 
+@pytest.fixture
+def names(monkeypatch):
+    """Names of the tables that the review queries write."""
+    found, real = [], queries_review.written
+
+    def written(df, name):
+        found.append(name)
+        return real(df, name)
+
+    monkeypatch.setattr(queries_review, "written", written)
+    return found
+
+
 def test_verdicts_of_strangers_share_one_scan(spark):
     plan = queries_addresses._verdicts(spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Relation ") == 3          # orders, customers, parts
@@ -18,3 +32,8 @@ def test_strangers_say_the_opposite_later(spark, keep, other):
     own, strange = sorted(map(tuple, views.with_strangers(given).collect()), key=lambda r: r[3])
     assert own == ("a", "x", True if other is False else None, 7)
     assert strange == ("elsewhere", "x", other, 5_000_000_007)
+
+
+def test_audit_writes_only_what_it_reads_twice(spark, names):
+    QUERIES["exclusion_counts"](spark, SF_DIR)
+    assert sorted(names) == ["address-verdicts", "filtered", "shaped"]
