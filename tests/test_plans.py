@@ -37,3 +37,10 @@ def test_strangers_say_the_opposite_later(spark, keep, other):
 def test_audit_writes_only_what_it_reads_twice(spark, names):
     QUERIES["exclusion_counts"](spark, SF_DIR)
     assert sorted(names) == ["address-verdicts", "filtered", "shaped"]
+
+
+def test_grounding_judges_nothing(spark, names):
+    """It reads identifiers alone: no record is classified, nothing is written."""
+    df = QUERIES["grounding_warnings"](spark, SF_DIR)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert names == [] and "stagiaire" not in plan
