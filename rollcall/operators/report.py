@@ -256,11 +256,15 @@ def _exclusion_label() -> Column:
     return label
 
 
-def excluded_rows(shaped: DataFrame) -> DataFrame:
-    """Every excluded record with its reason: note, else tier, else '-'."""
+def _excluded(shaped: DataFrame) -> DataFrame:
     return shaped.where(~F.col("keep")).withColumn("label", _exclusion_label()).where(
         F.col("label").isNotNull()
-    ).select(
+    )
+
+
+def excluded_rows(shaped: DataFrame) -> DataFrame:
+    """Every excluded record with its reason: note, else tier, else '-'."""
+    return _excluded(shaped).select(
         "tenant", "label", F.coalesce("identifier", F.lit("-")).alias("identifier"),
         F.coalesce(first_truthy(F.col("note"), F.col("tier")), F.lit("-")).alias("reason"),
     )
@@ -279,7 +283,18 @@ def audit_log(shaped: DataFrame, documents: DataFrame, warnings: DataFrame) -> D
     return excluded_rows(shaped).unionByName(bad).unionByName(warned)
 
 
+def audit_labels(shaped: DataFrame, documents: DataFrame, warned: DataFrame) -> DataFrame:
+    """(tenant, label) for the counts of the audit log, which need no reason and no identifier.
+
+    Warnings count for no exclusion label, but their tenants have counts: ``warned`` names each of
+    these tenants, however often.
+    """
+    return _excluded(shaped).select("tenant", "label").unionByName(
+        errored_documents(documents).select("tenant", F.lit(DOCUMENTS_NOT_USABLE).alias("label"))
+    ).unionByName(warned.select("tenant", F.lit("Pipeline Warnings").alias("label")))
+
+
 def exclusion_counts(audit: DataFrame) -> DataFrame:
-    """Rows per tenant and exclusion label, zeros included."""
+    """Rows per tenant and exclusion label, zeros included; of the log it reads tenant and label."""
     labels = [shown for _, shown in EXCLUSION_LABELS] + [DOCUMENTS_NOT_USABLE]
     return long_counts(audit, {name: F.count_if(F.col("label") == name) for name in labels})

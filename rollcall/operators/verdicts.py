@@ -140,6 +140,21 @@ def score_batches(
     it, so the scorer is called once per batch however often they are used.  A failed batch is one
     row with its size and the error; its records get no verdict and are kept.
     """
+    out = written(_batch_run(records, scorer, schema, columns, batch), "scored")
+    return (out.where(F.col("error").isNull()).drop("records", "error"),
+            out.where(F.col("error").isNotNull()).select(*batch, "records", "error"))
+
+
+def failed_batches(
+    records: DataFrame, scorer: Scorer, schema: str, columns: list[str], batch: list[str]
+) -> DataFrame:
+    """The failed batches of :func:`score_batches` alone: the scorer runs over every batch, but its
+    verdicts neither leave Python nor are written.  Each action on the result runs the scorer."""
+    return _batch_run(records, scorer, schema, columns, batch, verdicts=False).select(
+        *batch, "records", "error")
+
+
+def _batch_run(records, scorer, schema, columns, batch, verdicts: bool = True) -> DataFrame:
     made = T._parse_datatype_string(schema).names
     kinds = ", ".join(f"{c} {dict(records.dtypes)[c]}" for c in batch)
     full = f"{kinds}, {schema}, records bigint, error string"
@@ -152,8 +167,9 @@ def score_batches(
         for start, end in zip(starts, starts[1:]):
             try:
                 part = scorer(given.iloc[start:end])[made]
-                found.append(part)
-                rows.append(np.full(len(part), start))
+                if verdicts:
+                    found.append(part)
+                    rows.append(np.full(len(part), start))
             except Exception as problem:  # a failed batch must not fail the job
                 failed.append((end - start, str(problem)))
                 at.append(start)
@@ -164,6 +180,8 @@ def score_batches(
         if failed:
             bad = pd.DataFrame(failed, columns=["records", "error"]).assign(**dict.fromkeys(made))
             parts.append(bad.assign(**keys.iloc[at].reset_index(drop=True)))
+        if not found:         # plain objects: text in several Arrow chunks cannot go back to Spark
+            parts = [p.astype(object) for p in parts] or [pd.DataFrame(columns=names, dtype=object)]
         return pd.concat([p[names] for p in parts], ignore_index=True)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -181,10 +199,7 @@ def score_batches(
             yield scored(held, [0, len(held)])
 
     together = records.select(*dict.fromkeys([*batch, *columns])).repartition(*batch)
-    out = written(together.sortWithinPartitions(*dict.fromkeys([*batch, *columns])).mapInPandas(
-        run, full), "scored")
-    return (out.where(F.col("error").isNull()).drop("records", "error"),
-            out.where(F.col("error").isNotNull()).select(*batch, "records", "error"))
+    return together.sortWithinPartitions(*dict.fromkeys([*batch, *columns])).mapInPandas(run, full)
 
 
 def failed_batch_warnings(failed: DataFrame, category: str, number: str,
@@ -213,6 +228,20 @@ def grounding_warnings(verdicts: DataFrame, shaped: DataFrame) -> DataFrame:
     return blank.unionByName(unknown).drop("_id")
 
 
+def ungrounded_tenants(verdicts: DataFrame, shaped: DataFrame) -> DataFrame:
+    """The tenants of :func:`grounding_warnings`, told by one aggregation of both sides.
+
+    Repeated identifiers go before the shuffle; one that no record has is the verdicts' own.
+    """
+    def side(df: DataFrame, known: bool) -> DataFrame:
+        return df.select("tenant", "category", identity(F.col("identifier")).alias("_id"),
+                         F.lit(known).alias("_known"))
+
+    both = side(verdicts, False).unionByName(side(shaped, True).where(F.col("_id") != ""))
+    return both.groupBy("tenant", "category", "_id").agg(F.bool_or("_known").alias("_known")).where(
+        ~F.col("_known")).select("tenant").distinct()
+
+
 # --- address corrections: order matters, tier rules -> catch-all -> guesses --------------------
 
 def _warn(df: DataFrame, hit: Column, text: Column) -> DataFrame:

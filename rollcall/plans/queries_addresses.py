@@ -127,8 +127,15 @@ def _(spark, sf):
 
 # --- address tables ---------------------------------------------------------------------------
 
-def _merged(spark, sf):
-    a = views.addresses(spark, sf)
+def _observed(spark, sf):
+    """The observations, made and written once for the verdicts and for both sides of the merge."""
+    return written(views.addresses(spark, sf).select(
+        "tenant", "email", "employee", "tag", "validation_status", "confidence", "is_catch_all", "seq",
+        "o_orderstatus", "o_orderpriority", "o_totalprice"), "observed")
+
+
+def _merged(spark, sf, observed=None):
+    a = views.addresses(spark, sf) if observed is None else observed
     candidates = a.select("tenant", "email", "employee", "seq", F.array("tag").alias("sources"))
     validated = a.where("o_orderstatus <> 'F'").select(
         "tenant", F.upper("email").alias("email"), F.lit(None).cast("string").alias("employee"),
@@ -316,9 +323,10 @@ def _(spark, sf):
 
 # --- verdicts on addresses --------------------------------------------------------------------
 
-def _verdicts(spark, sf):
+def _verdicts(spark, sf, observed=None):
     """One verdict per address that has an order on time; tiers follow the last order."""
-    last = views.addresses(spark, sf).where("o_orderpriority <> '4-NOT SPECIFIED'").groupBy(
+    a = views.addresses(spark, sf) if observed is None else observed
+    last = a.where("o_orderpriority <> '4-NOT SPECIFIED'").groupBy(
         "tenant", "email").agg(F.max_by("o_totalprice", "seq").alias("price"),
                                F.max("seq").alias("seq"))
     p = C("price")
@@ -423,10 +431,10 @@ FILTERED = f"""
                           guess AND NOT infra AS guess) FROM g)"""
 
 
-def _filtered(spark, sf, given=None):
+def _filtered(spark, sf, given=None, observed=None):
     """The merged addresses are read once for each half of the chain, so they are made once."""
-    given = _verdicts(spark, sf) if given is None else given
-    return verdicts.filter_addresses(written(_merged(spark, sf), "merged"), given)
+    given = _verdicts(spark, sf, observed) if given is None else given
+    return verdicts.filter_addresses(written(_merged(spark, sf, observed), "merged"), given)
 
 
 @query("filter_addresses", sql("addr", body=f"""
