@@ -112,9 +112,10 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with the value computed once.
 
     Catalyst inlines a column into every place a pushed-down filter uses it; a lambda variable
-    is the one binding it keeps.
+    is the one binding it keeps.  It is bound by the last step of a fold over nothing: an element of a
+    transformed array would walk the whole body for its type again on every row.
     """
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+    return F.aggregate(F.array(), value, lambda v, _: v, body)
 
 
 def bind(df: DataFrame, value: Column, fields: Callable[[Column], dict[str, Column]]) -> DataFrame:

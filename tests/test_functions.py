@@ -94,3 +94,13 @@ def test_guess_only(spark):
     )
     got = df.select(*[addresses.guess_only(F.col(c)).alias(c) for c in "abcd"]).first()
     assert tuple(got) == (True, False, False, False)
+
+
+def test_a_bound_value_is_no_array_element(spark):
+    """An element of a transformed array walks the whole body for its type on every row."""
+    from rollcall.functions.text import let
+
+    df = spark.sql("select * from values ('A b'), (null) t(x)")
+    out = df.select(let(F.lower("x"), lambda v: F.concat_ws("|", F.coalesce(v, F.lit("none")), v)).alias("y"))
+    assert [r.y for r in out.collect()] == ["a b|a b", "none"]
+    assert "transform(" not in out._jdf.queryExecution().optimizedPlan().toString()
